@@ -219,7 +219,7 @@ MANAGED_ZIPS = "zips_managed"
 def _managed_zips(spark, sf_dir):
     from logledger.sinks import cache_table, save_table
     spark.sql(f"DROP TABLE IF EXISTS {MANAGED_ZIPS}")
-    save_table(zips(spark, sf_dir), MANAGED_ZIPS)
+    save_table(zips(spark, sf_dir), MANAGED_ZIPS, path=scratch_path(spark, MANAGED_ZIPS))
     cache_table(spark, MANAGED_ZIPS)
     return fl.read_table(spark, MANAGED_ZIPS)
 
