@@ -4,7 +4,8 @@ Each pattern is applied with *search* semantics (the first match anywhere in
 the line, like ``Matcher.find``); a line that does not match is dropped.
 
 One regex pass per line: the line is rewritten as ``\\n g1 \\n g2 ...`` by a
-whole-line ``regexp_replace`` and split on ``\\n``.  Lines produced by
+whole-line ``regexp_replace`` and split on ``\\n`` (inside a generator, so
+the regex is evaluated once per line however many columns use the groups).  Lines produced by
 ``spark.read.text`` never contain a newline, so a leading newline marks a
 match and no captured group can contain the separator.  This keeps the work
 inside whole-stage codegen at one regex evaluation per row instead of one
@@ -49,9 +50,11 @@ def extract_groups(lines: DataFrame, pattern: str, names: Sequence[str],
     replacement = "".join("\n$%d" % (i + 1) for i in range(n))
     rewritten = F.regexp_replace(F.col(col), F.lit(whole), F.lit(replacement))
     parts = F.split(rewritten, "\n")
-    out = (lines.select(parts.alias("_p"))
-           .filter(F.col("_p")[0] == F.lit(""))        # leading separator = matched
-           .filter(F.size("_p") == n + 1))
+    # The split runs inside a generator: its output is an attribute, so the
+    # optimizer cannot inline the regex into every group column or push the
+    # match test below it (either would run the regex again per column).
+    matched = F.filter(F.array(parts), lambda p: (p[0] == F.lit("")) & (F.size(p) == n + 1))
+    out = lines.select(F.explode(matched).alias("_p"))
     return out.select(*[F.col("_p")[i + 1].alias(nm) for i, nm in enumerate(names)])
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logledger.functions.time import log_time_to_utc
 from logledger.operators.extract import extract_access
+from logledger.operators.joins import spread
 from logledger.operators.topk import top_counts, top_k
 from logledger.sinks import coalesce_by_fraction
 
@@ -88,7 +89,9 @@ def access_value_join(lines: DataFrame, prices: DataFrame, price_col: str = "pri
     partition: AQE's skew-join split handles it in the sort-merge plan, and
     the planner broadcasts the price list when its estimated size is small.
     """
-    log = access_records(lines)
+    # every size meets many prices: spread the (parsed, small) log side so the
+    # fan-out is produced by many tasks, not by the few that read the file
+    log = spread(access_records(lines))
     j = prices.join(log, prices[price_col] == log["content_size"], "inner")
     return j.select(*keep, "ip_address", "endpoint", "content_size",
                     F.year("dt").alias("year"), F.month("dt").alias("month"))
