@@ -27,9 +27,12 @@ STATE_GROUPINGS = {"state": ["state"], "resource": ["resource"],
 
 
 def states_in_range(lines: DataFrame, side: str, rng: Range | None = None,
-                    listener_digits: int = 1) -> DataFrame:
+                    listener_digits: int = 1, states: Sequence[str] | None = None) -> DataFrame:
+    """One side's state rows in the pub_id range, optionally only some states."""
     df = extract_states(lines, side, listener_digits)
-    return df.filter(within("pub_id", *rng)) if rng else df
+    if rng:
+        df = df.filter(within("pub_id", *rng))
+    return df.filter(F.col("state").isin(list(states))) if states else df
 
 
 def state_counts(lines: DataFrame, side: str, rng: Range | None = None, by: str = "resource_state",
