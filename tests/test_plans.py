@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
@@ -36,7 +37,8 @@ def test_topk_is_take_ordered_with_pushed_filter(spark):
 
 def test_crosstab_groupings_share_one_aggregate(spark):
     p = plan(E.queries()["state_crosstab"](spark, SF_SMALL))
-    assert "Expand" in p and p.count("HashAggregate") == 2   # partial + final, once
+    nodes = re.findall(r"^\(\d+\) (\w+)", p, re.M)
+    assert "Expand" in nodes and nodes.count("HashAggregate") == 2   # partial + final, once
 
 
 def test_one_sided_uses_anti_joins(spark):
