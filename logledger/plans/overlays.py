@@ -41,3 +41,22 @@ def station_overlays(csv: DataFrame) -> DataFrame:
     return csv.select(F.col("sourceStationId").alias("rovi_id"),
                       F.lit("station_overlay").alias("resource_type"), "mfsid",
                       packed_id("st", F.col("mfsid")).alias("st_numeric"))
+
+
+def save_overlays(content: DataFrame | None, station: DataFrame | None, fmt: str, path: str,
+                  **options) -> None:
+    """Write the lookup collection: content overlays replace it (overwrite),
+    station overlays are added to it (append).  Rows keep a common column set
+    (missing packed ids are null)."""
+    from logledger.sinks import write_format
+    cols = {"rovi_id": "long", "resource_type": "string", "mfsid": "int", "ct_numeric": "long",
+            "coll_tmsid": "int", "cl_numeric": "long", "title": "string", "st_numeric": "long"}
+
+    def shaped(df):
+        return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
+                           for c, t in cols.items()])
+
+    if content is not None:
+        write_format(shaped(content), fmt, path, mode="overwrite", **options)
+    if station is not None:
+        write_format(shaped(station), fmt, path, mode="append", **options)

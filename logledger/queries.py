@@ -105,7 +105,7 @@ SQL_DRIFT_CAND = """CASE resource WHEN 'ResAF' THEN d * 2 WHEN 'ResAO' THEN CAST
 SQL_DETAIL = """
 det_ctl AS (SELECT resource, rovi_id, pub_id, old_pub_id, state, d FROM res_rows WHERE l_orderkey % 3 <> 0),
 det_cand AS (SELECT resource, rovi_id, pub_id, old_pub_id, state,
-                    d + CASE WHEN l_orderkey % 5 = 0 THEN (l_suppkey % 7) * 6 ELSE 0 END AS d
+                    CAST(d + CASE WHEN l_orderkey % 5 = 0 THEN (l_suppkey % 7) * 6 ELSE 0 END AS INTEGER) AS d
              FROM res_rows WHERE l_orderkey % 4 <> 0)
 """
 
