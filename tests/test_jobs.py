@@ -1,0 +1,72 @@
+"""Command-line jobs over files on disk (rendered from the small tables)."""
+
+import contextlib
+import io
+
+from pyspark.sql import functions as F
+
+from logledger import jobs
+from logledger.queries import new_user_ratings, ratings, t
+from logledger.sources import counts as cn
+from logledger.sources import render as rd
+from tests.conftest import SF_SMALL
+
+
+def run(spark, name, *args) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        jobs.JOBS[name](spark, *[str(a) for a in args])
+    return buf.getvalue()
+
+
+def test_reconciliation_jobs(spark, tmp_path):
+    li, o = t(spark, SF_SMALL, "lineitem"), t(spark, SF_SMALL, "orders")
+    rd.resolver_drift_lines(li, "control").write.text(str(tmp_path / "rc"))
+    rd.resolver_drift_lines(li, "candidate").write.option("compression", "gzip").text(str(tmp_path / "rd"))
+    rd.state_lines(o, "control").write.text(str(tmp_path / "sc"))
+    rd.state_lines(o, "candidate").write.text(str(tmp_path / "sd"))
+    out = run(spark, "resolver-drift", tmp_path / "rc", tmp_path / "rd", 0, 10000099999, 10000100000, -1,
+              10000200000, -1)
+    assert "ResAF" in out and "++" in out
+    assert "ResNO" in run(spark, "resolver-shared", tmp_path / "rc", tmp_path / "rd", 0, -1, "true")
+    assert "difference" in run(spark, "resolver-details", tmp_path / "rc", tmp_path / "rd", 0, -1, "ResAF")
+    assert "control_pub_id" in run(spark, "resolver-one-sided", tmp_path / "rc", tmp_path / "rd", 0, -1,
+                                   "update", "ResAF")
+    assert "candidate_sum" in run(spark, "states-crosstab", tmp_path / "sc", tmp_path / "sd", 0, -1, 0, -1)
+    assert "control_by_resource_state" in run(spark, "states", tmp_path / "sc", tmp_path / "sd")
+
+
+def test_count_jobs(spark, tmp_path):
+    o = t(spark, SF_SMALL, "orders")
+    for env in ("control", "candidate", "third"):
+        cn.render_count_lines(rd.priority_counts(o, env)).coalesce(1).write.text(str(tmp_path / env))
+    out = run(spark, "count-compare", tmp_path / "control", tmp_path / "candidate", "orders", "true")
+    assert "control_total" in out and "5-LOW" in out
+    out = run(spark, "size-compare", f"a={tmp_path / 'control'}", f"b={tmp_path / 'candidate'}",
+              f"c={tmp_path / 'third'}")
+    assert "count_c" in out
+
+
+def test_catalogue_and_report_jobs(spark, tmp_path):
+    rd.content_overlay_rows(t(spark, SF_SMALL, "part")).write.option("header", True).csv(str(tmp_path / "cov"))
+    rd.station_overlay_rows(t(spark, SF_SMALL, "supplier")).write.option("header", True).csv(str(tmp_path / "sov"))
+    assert "movie_overlay" in run(spark, "content-overlays", tmp_path / "cov", tmp_path / "lookup")
+    run(spark, "station-overlays", tmp_path / "sov", tmp_path / "lookup")
+    assert spark.read.parquet(str(tmp_path / "lookup")).filter("resource_type = 'station_overlay'").count() > 0
+    rd.flights_from_events(t(spark, SF_SMALL, "events")).write.parquet(str(tmp_path / "fl"))
+    assert "total_departures" in run(spark, "flights", tmp_path / "fl")
+    rd.zips_rows(t(spark, SF_SMALL, "customer"), t(spark, SF_SMALL, "nation")).write.json(str(tmp_path / "z"))
+    assert "zip_int" in run(spark, "zips", tmp_path / "z", "NATION_3", 5000)
+    rd.access_lines(t(spark, SF_SMALL, "events")).write.text(str(tmp_path / "log"))
+    rd.price_list(t(spark, SF_SMALL, "part")).write.option("header", True).csv(str(tmp_path / "prices"))
+    assert "ip_address" in run(spark, "weblog", tmp_path / "log", tmp_path / "prices")
+
+
+def test_recommender_jobs(spark, tmp_path):
+    rd.rating_lines(ratings(spark, SF_SMALL)).write.text(str(tmp_path / "r"))
+    rd.rating_lines(new_user_ratings(spark)).write.text(str(tmp_path / "p"))
+    rd.movie_lines(t(spark, SF_SMALL, "part")).write.text(str(tmp_path / "m"))
+    out = run(spark, "recommend", tmp_path / "r", tmp_path / "p", tmp_path / "m", 1000000)
+    assert "validation_rmse" in out and "prediction" in out
+    run(spark, "convert-delimited", tmp_path / "m", tmp_path / "mcsv")
+    assert spark.read.option("header", True).csv(str(tmp_path / "mcsv")).count() == t(spark, SF_SMALL, "part").count()
