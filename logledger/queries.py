@@ -552,8 +552,8 @@ def q_delimiter_convert(spark, sf_dir):
 @query("rating_baseline_rmse", f"""
 WITH {SQL_RATINGS},
 m AS (SELECT avg(rating) AS mu FROM rt WHERE b < 8)
-SELECT round(any_value(mu), 6) AS train_mean,
-       round(sqrt(avg(CASE WHEN b = 9 THEN (rating - mu) * (rating - mu) END)), 6) AS baseline_rmse,
+SELECT CAST(any_value(mu) AS DECIMAL(12, 6)) AS train_mean,
+       CAST(sqrt(avg(CASE WHEN b = 9 THEN (rating - mu) * (rating - mu) END)) AS DECIMAL(12, 6)) AS baseline_rmse,
        count(CASE WHEN b < 8 THEN 1 END) AS n_train, count(CASE WHEN b = 8 THEN 1 END) AS n_validation,
        count(CASE WHEN b = 9 THEN 1 END) AS n_test
 FROM rt, m""")
