@@ -42,18 +42,34 @@ def _sep(dialect: str) -> str:
 
 
 def extract_groups(lines: DataFrame, pattern: str, names: Sequence[str],
-                   col: str = "value") -> DataFrame:
-    """Keep lines where ``pattern`` is found; one string column per group."""
+                   col: str = "value", require: Sequence[str] | None = None) -> DataFrame:
+    """Keep lines where ``pattern`` is found; one string column per group.
+
+    ``require``: literals of which every matching line contains at least one.
+    They are tested first with a plain substring search, so the regex only
+    runs on candidate lines (most lines of a real log are something else).
+    A necessary condition only - the result is the same with or without it.
+    """
     n = len(names)
     body = pattern[1:] if pattern.startswith("^") else r".*?(?:" + pattern + ")"
     whole = r"(?s)^" + (r"(?:" + body + ")" if pattern.startswith("^") else body) + r".*$"
     replacement = "".join("\n$%d" % (i + 1) for i in range(n))
-    rewritten = F.regexp_replace(F.col(col), F.lit(whole), F.lit(replacement))
-    parts = F.split(rewritten, "\n")
-    # The split runs inside a generator: its output is an attribute, so the
-    # optimizer cannot inline the regex into every group column or push the
-    # match test below it (either would run the regex again per column).
-    matched = F.filter(F.array(parts), lambda p: (p[0] == F.lit("")) & (F.size(p) == n + 1))
+    # Everything runs inside one generator over a one-element array: the line
+    # is read once, the literal test gates the regex, and the generator's
+    # output is an attribute, so the optimizer can neither inline the regex
+    # into every group column nor push the match test below it (each would
+    # run the regex again).
+    line = F.array(F.col(col))
+    if require:
+        def candidate(v):
+            cond = None
+            for lit in require:
+                c = v.contains(lit)
+                cond = c if cond is None else cond | c
+            return cond
+        line = F.filter(line, candidate)
+    parts = F.transform(line, lambda v: F.split(F.regexp_replace(v, F.lit(whole), F.lit(replacement)), "\n"))
+    matched = F.filter(parts, lambda p: (p[0] == F.lit("")) & (F.size(p) == n + 1))
     out = lines.select(F.explode(matched).alias("_p"))
     return out.select(*[F.col("_p")[i + 1].alias(nm) for i, nm in enumerate(names)])
 
@@ -74,7 +90,7 @@ ACCESS_COLUMNS = ["ip_address", "client_identd", "user_id", "date_time", "method
 
 def extract_access(lines: DataFrame, col: str = "value") -> DataFrame:
     """Access-log lines -> 9 typed columns (``date_time`` stays text)."""
-    g = extract_groups(lines, ACCESS_PATTERN, ACCESS_COLUMNS, col)
+    g = extract_groups(lines, ACCESS_PATTERN, ACCESS_COLUMNS, col, require=['] "'])
     return g.select(*ACCESS_COLUMNS[:7],
                     _int("response_code").alias("response_code"),
                     _long("content_size").alias("content_size"))
@@ -89,7 +105,8 @@ def extract_states(lines: DataFrame, dialect: str = "control",
     (lines from listener 10+ are not accepted with the default of 1).
     """
     pat = STATE_PATTERN % (listener_digits, _sep(dialect))
-    g = extract_groups(lines, pat, ["state", "resource", "rovi_id", "pub_id"], col)
+    g = extract_groups(lines, pat, ["state", "resource", "rovi_id", "pub_id"], col,
+                       require=["[listener-"])
     return g.select(_long("rovi_id").alias("rovi_id"), "resource", "state",
                     _long("pub_id").alias("pub_id"))
 
@@ -123,7 +140,12 @@ def extract_resolver_raw(lines: DataFrame, dialect: str = "control",
     compilation).
     """
     pat = RESOLVER_PATTERN % (r"\w+", _sep(dialect))
-    g = extract_groups(lines, pat, ["resource", "rovi_id", "pub_id", "old_pub_id", "dirty_size"], col)
+    literal_sep = " " if dialect == "control" else "-"
+    # with a resource list only lines naming one of them can match
+    require = ([f"RESOLVE {r}{literal_sep}" for r in resources] if resources is not None
+               else ["RESOLVE "])
+    g = extract_groups(lines, pat, ["resource", "rovi_id", "pub_id", "old_pub_id", "dirty_size"], col,
+                       require=require)
     if resources is not None:
         g = g.filter(F.col("resource").isin(list(resources)))
     return g.select(
