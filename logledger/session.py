@@ -52,11 +52,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and points at shared storage;
-    it is read, never overridden.  Only when it is unset (local runs, tests)
-    a folder under the system temp dir is chosen.
+    it is read, never overridden, and a missing setting is an error.  Only in
+    local mode (tests, one machine) an unset value falls back to a folder
+    under the system temp dir.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
+                               "for checkpoints and scratch output on a cluster")
         import tempfile
         d = tempfile.mkdtemp(prefix="logledger-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
