@@ -43,12 +43,26 @@ def state_counts(lines: DataFrame, side: str, rng: Range | None = None, by: str
 
 
 def state_report(control: DataFrame, candidate: DataFrame, control_range: Range | None = None,
-                 candidate_range: Range | None = None, listener_digits: int = 1) -> dict[str, DataFrame]:
-    """The six tables of the per-side state summary."""
+                 candidate_range: Range | None = None, listener_digits: int = 1,
+                 cache: bool = True) -> dict[str, DataFrame]:
+    """The six tables of the per-side state summary (by state, by resource, by
+    both, for each side) from one scan of each log and one grouping-sets
+    aggregate; the aggregate (one row per key) is kept in memory."""
+    c = states_in_range(control, "control", control_range, listener_digits).withColumn("side", F.lit("control"))
+    d = states_in_range(candidate, "candidate", candidate_range, listener_digits).withColumn(
+        "side", F.lit("candidate"))
+    g = c.unionByName(d).groupingSets(
+        [["side", "state"], ["side", "resource"], ["side", "resource", "state"]],
+        "side", "resource", "state").agg(F.count(F.lit(1)).alias("count"), F.grouping_id().alias("_g"))
+    if cache:
+        g = g.persist()
+    level = {"state": 2, "resource": 1, "resource_state": 0}   # grouping_id over (side, resource, state)
     out = {}
-    for side, lines, rng in (("control", control, control_range), ("candidate", candidate, candidate_range)):
-        for by in ("state", "resource", "resource_state"):
-            out[f"{side}_by_{by}"] = state_counts(lines, side, rng, by, listener_digits)
+    for side in ("control", "candidate"):
+        for by, gid in level.items():
+            keys = STATE_GROUPINGS[by]
+            out[f"{side}_by_{by}"] = (g.filter((F.col("_g") == gid) & (F.col("side") == side))
+                                      .select(*keys, "count").orderBy(*keys))
     return out
 
 

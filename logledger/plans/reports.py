@@ -13,24 +13,74 @@ from logledger.sinks import coalesce_by_fraction
 
 
 # R11 -----------------------------------------------------------------------
+# name -> (group keys, condition on a flight or None, count column)
+FLIGHT_TABLES = {
+    "departures": (["origin"], None, "total_departures"),
+    "delays_ge15": (["origin"], ("depdelay", ">=", 15), "total_delays_ge15"),
+    "delays_ge60": (["origin"], ("depdelay", ">=", 60), "total_delays_ge60"),
+    "cancellations_by_origin": (["origin"], ("cancelled", "==", 1), "total_cancellations"),
+    "cancellations_by_quarter": (["quarter"], ("cancelled", "==", 1), "total_cancellations"),
+    "routes": (["origin", "dest"], None, "total_flights"),
+}
+
+
+def _flight_cond(spec):
+    if spec is None:
+        return None
+    c, op, v = spec
+    return F.col(c) >= v if op == ">=" else F.col(c) == v
+
+
+def _flight_base(flights: DataFrame, min_year: int) -> DataFrame:
+    return flights.filter(F.col("year") >= min_year).select(
+        "quarter", "origin", "dest", "depdelay", "cancelled")
+
+
+def flight_report(flights: DataFrame, name: str, k: int = 10, min_year: int = 1990) -> DataFrame:
+    """One flight table: filter (pushed to the scan), partial + final count,
+    ``TakeOrderedAndProject``; ties cut by the key."""
+    keys, cond, col = FLIGHT_TABLES[name]
+    return top_counts(_flight_base(flights, min_year), keys, k, col, _flight_cond(cond))
+
+
 def flight_reports(flights: DataFrame, k: int = 10, min_year: int = 1990,
-                   keep_fraction: float | None = None) -> dict[str, DataFrame]:
+                   keep_fraction: float | None = None, cache: bool = True) -> dict[str, DataFrame]:
     """Top-k departures, delays >= 15 / >= 60, cancellations by origin and by
-    quarter, and busiest routes.  Every table is a partial+final count and a
-    ``TakeOrderedAndProject``; ties are cut by the key."""
-    base = flights.filter(F.col("year") >= min_year).select(
-        "quarter", "origin", "dest", "depdelay", "cancelled")
+    quarter, and busiest routes.
+
+    One scan and one shuffle for all six tables (use :func:`flight_report`
+    for a single table, which can push its filter into the scan): a grouping-sets aggregate over
+    (origin), (quarter), (origin, dest) with conditional counts (partial
+    aggregation before the shuffle), kept in memory (it has one row per key,
+    not per flight).  Each table is a top-k of that aggregate; keys whose count
+    is zero are left out, as a filter before counting would; ties are cut by
+    the key.
+    """
+    base = _flight_base(flights, min_year)
     if keep_fraction is not None:
         base = coalesce_by_fraction(base, keep_fraction)
+    agg = base.groupingSets([["origin"], ["quarter"], ["origin", "dest"]], "origin", "quarter", "dest").agg(
+        F.count(F.lit(1)).alias("_all"),
+        F.count(F.when(F.col("depdelay") >= 15, 1)).alias("_d15"),
+        F.count(F.when(F.col("depdelay") >= 60, 1)).alias("_d60"),
+        F.count(F.when(F.col("cancelled") == 1, 1)).alias("_cx"),
+        F.grouping_id().alias("_g"))
+    if cache:
+        agg = agg.persist()
+    by_origin, by_quarter, by_route = 3, 5, 2      # grouping_id over (origin, quarter, dest)
+
+    def top(level, keys, measure, name):
+        rows = agg.filter((F.col("_g") == level) & (F.col(measure) > 0)).select(
+            *keys, F.col(measure).alias(name))
+        return top_k(rows, [F.col(name).desc()], k, tie_break=list(keys))
+
     return {
-        "departures": top_counts(base, ["origin"], k, "total_departures"),
-        "delays_ge15": top_counts(base, ["origin"], k, "total_delays_ge15", F.col("depdelay") >= 15),
-        "delays_ge60": top_counts(base, ["origin"], k, "total_delays_ge60", F.col("depdelay") >= 60),
-        "cancellations_by_origin": top_counts(base, ["origin"], k, "total_cancellations",
-                                              F.col("cancelled") == 1),
-        "cancellations_by_quarter": top_counts(base, ["quarter"], k, "total_cancellations",
-                                               F.col("cancelled") == 1),
-        "routes": top_counts(base, ["origin", "dest"], k, "total_flights"),
+        "departures": top(by_origin, ["origin"], "_all", "total_departures"),
+        "delays_ge15": top(by_origin, ["origin"], "_d15", "total_delays_ge15"),
+        "delays_ge60": top(by_origin, ["origin"], "_d60", "total_delays_ge60"),
+        "cancellations_by_origin": top(by_origin, ["origin"], "_cx", "total_cancellations"),
+        "cancellations_by_quarter": top(by_quarter, ["quarter"], "_cx", "total_cancellations"),
+        "routes": top(by_route, ["origin", "dest"], "_all", "total_flights"),
     }
 
 

@@ -136,7 +136,7 @@ def _flights(spark, sf_dir, source):
 def _flight_query(name, source, report, sql):
     @query(name, sql)
     def q(spark, sf_dir):
-        return rp.flight_reports(_flights(spark, sf_dir, source), FLIGHT_TOP)[report]
+        return rp.flight_report(_flights(spark, sf_dir, source), report, FLIGHT_TOP)
     return q
 
 

@@ -44,6 +44,16 @@ def test_flight_reports_six_tables(spark):
     assert all(df.count() <= 3 for df in rep.values())
 
 
+def test_one_pass_flight_tables_equal_single_tables(spark):
+    fl = rd.routes(t(spark, SF_SMALL, "orders"), t(spark, SF_SMALL, "lineitem")).unionByName(
+        rd.flights_from_events(t(spark, SF_SMALL, "events")).withColumn("dest", F.lit(None).cast("long"))
+        .withColumn("origin", F.col("origin") % 30))
+    fl = fl.withColumn("cancelled", (F.col("origin") % 3 == 0).cast("int"))
+    allt = rp.flight_reports(fl, k=7)
+    for name in rp.FLIGHT_TABLES:
+        assert allt[name].collect() == rp.flight_report(fl, name, k=7).collect(), name
+
+
 def test_cross_validated_job(spark, tmp_path):
     r = ratings(spark, SF_SMALL)
     mine = new_user_ratings(spark).select("user_id", "movie_id", F.col("rating").cast("int").alias("rating"))
