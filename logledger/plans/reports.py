@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logledger.functions.time import log_time_to_utc
 from logledger.operators.extract import extract_access
-from logledger.operators.joins import spread
+from logledger.operators.joins import salted_join, spread
 from logledger.operators.topk import top_counts, top_k
 from logledger.sinks import coalesce_by_fraction
 
@@ -131,17 +131,22 @@ def access_records(lines: DataFrame) -> DataFrame:
 
 
 def access_value_join(lines: DataFrame, prices: DataFrame, price_col: str = "price",
-                      keep: tuple[str, ...] = ("item_id", "brand")) -> DataFrame:
+                      keep: tuple[str, ...] = ("item_id", "brand"), salts: int | None = None) -> DataFrame:
     """Access records joined to a price list where price == content size, with
     year and month of the request.
 
     The join key has few distinct values (sizes), so a hot size is a skewed
     partition: AQE's skew-join split handles it in the sort-merge plan, and
     the planner broadcasts the price list when its estimated size is small.
+    ``salts`` forces a salted join instead (hot sizes spread over that many
+    tasks, the price list replicated per salt).
     """
     # every size meets many prices: spread the (parsed, small) log side so the
     # fan-out is produced by many tasks, not by the few that read the file
     log = spread(access_records(lines))
-    j = prices.join(log, prices[price_col] == log["content_size"], "inner")
+    if salts:
+        j = salted_join(log, prices, "content_size", price_col, salts)
+    else:
+        j = prices.join(log, prices[price_col] == log["content_size"], "inner")
     return j.select(*keep, "ip_address", "endpoint", "content_size",
                     F.year("dt").alias("year"), F.month("dt").alias("month"))

@@ -66,3 +66,12 @@ def test_cross_validated_job(spark, tmp_path):
     assert min(rows, key=lambda x: x.avg_rmse).is_best
     assert user_rows.count() <= 5
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() > 0
+
+
+def test_salted_access_join_equals_plain(spark):
+    lines = rd.access_lines(t(spark, SF_SMALL, "events"))
+    prices = rd.price_list(t(spark, SF_SMALL, "part"))
+    a = rp.access_value_join(lines, prices)
+    b = rp.access_value_join(lines, prices, salts=8)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
