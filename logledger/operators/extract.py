@@ -97,13 +97,21 @@ def extract_access(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 # X2 / X3 / X4 --------------------------------------------------------------
+def is_lines(df: DataFrame, col: str = "value") -> bool:
+    """True for a raw line table, False for already extracted (landed) rows."""
+    return df.columns == [col]
+
+
 def extract_states(lines: DataFrame, dialect: str = "control",
                    listener_digits: int = 1, col: str = "value") -> DataFrame:
     """Publish-state lines -> (rovi_id, resource, state, pub_id).
 
     ``listener_digits`` is the exact digit count of the listener number
     (lines from listener 10+ are not accepted with the default of 1).
+    Landed rows (see ``logledger.sources.landing``) pass through.
     """
+    if not is_lines(lines, col):
+        return lines.select("rovi_id", "resource", "state", "pub_id")
     pat = STATE_PATTERN % (listener_digits, _sep(dialect))
     g = extract_groups(lines, pat, ["state", "resource", "rovi_id", "pub_id"], col,
                        require=["[listener-"])
@@ -137,8 +145,12 @@ def extract_resolver_raw(lines: DataFrame, dialect: str = "control",
     ``resources`` keeps only the named resources; an unanchored alternation of
     names followed by the dialect separator is the same as exact equality, so
     an ``isin`` filter is used (pushed below the projection, no per-row regex
-    compilation).
+    compilation).  Landed rows pass through (the resource list becomes a
+    partition filter there).
     """
+    if not is_lines(lines, col):
+        g = lines if resources is None else lines.filter(F.col("resource").isin(list(resources)))
+        return g.select(*RAW_RESOLVER_COLUMNS)
     pat = RESOLVER_PATTERN % (r"\w+", _sep(dialect))
     literal_sep = " " if dialect == "control" else "-"
     # with a resource list only lines naming one of them can match
