@@ -46,7 +46,8 @@ def states_crosstab(spark, control, candidate, cl, cu, dl, du):
     """R2: side-by-side counts by state, resource, resource+state, state+resource."""
     c, d = fl.read_lines(spark, control), fl.read_lines(spark, candidate)
     # all groupings from one pass over the logs; the small result is cached
-    allg = rc.state_crosstab_all(c, d, _rng(cl, cu), _rng(dl, du)).persist()
+    allg = rc.state_crosstab_all(c, d, _rng(cl, cu), _rng(dl, du), totals=True).persist()
+    _show("parsed rows per side", allg.filter(F.col("grouping") == "total").select("control_sum", "candidate_sum"))
     for by, level in (("state", "state"), ("resource", "resource"),
                       ("resource_state", "resource_state"), ("state_resource", "resource_state")):
         keys = rc.STATE_GROUPINGS[by]
@@ -58,14 +59,14 @@ def resolver_drift(spark, control, candidate, lower, upper, cl, cu, dl, du, coun
     """Drift per resource (shared range or per-side ranges)."""
     _show("drift by resource", rc.resolver_drift(
         fl.read_lines(spark, control), fl.read_lines(spark, candidate), _rng(lower, upper),
-        _rng(cl, cu), _rng(dl, du), count_only.lower() == "true"))
+        _rng(cl, cu), _rng(dl, du), count_only.lower() == "true", totals=True))
 
 
 def resolver_shared(spark, control, candidate, lower, upper, count_only="false"):
     """Drift per resource in one shared range."""
     _show("drift by resource", rc.resolver_drift(
         fl.read_lines(spark, control), fl.read_lines(spark, candidate), _rng(lower, upper),
-        count_only=count_only.lower() == "true"))
+        count_only=count_only.lower() == "true", totals=True))
 
 
 def resolver_details(spark, control, candidate, lower, upper, *resources):

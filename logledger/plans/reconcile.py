@@ -85,40 +85,56 @@ def state_crosstab(control: DataFrame, candidate: DataFrame, control_range: Rang
 
 
 def state_crosstab_all(control: DataFrame, candidate: DataFrame, control_range: Range | None = None,
-                       candidate_range: Range | None = None, listener_digits: int = 1) -> DataFrame:
+                       candidate_range: Range | None = None, listener_digits: int = 1,
+                       totals: bool = False) -> DataFrame:
     """All groupings of the crosstab from one scan and one aggregate (grouping sets).
 
     ``grouping`` names the level (state / resource / resource_state); the key
     not in that level is null.  The state-then-resource table is the
-    resource_state level in another order.
+    resource_state level in another order.  ``totals`` adds a ``total`` row:
+    the number of parsed rows per side, from the same pass.
     """
     t = tagged_states(control, candidate, control_range, candidate_range, listener_digits)
-    g = t.groupingSets([["state"], ["resource"], ["resource", "state"]], "resource", "state").agg(
+    sets = [["state"], ["resource"], ["resource", "state"]] + ([[]] if totals else [])
+    g = t.groupingSets(sets, "resource", "state").agg(
         F.sum("control_n").cast("long").alias("control_sum"),
         F.sum("candidate_n").cast("long").alias("candidate_sum"),
         F.grouping_id().alias("_gid"))
     level = (F.when(F.col("_gid") == 1, "resource").when(F.col("_gid") == 2, "state")
-             .otherwise("resource_state"))
+             .when(F.col("_gid") == 3, "total").otherwise("resource_state"))
     return (g.select(level.alias("grouping"), "resource", "state", "control_sum", "candidate_sum")
             .orderBy("grouping", "resource", "state"))
 
 
 # R3 / R4 -------------------------------------------------------------------
+TOTAL = "(total)"
+
+
 def resolver_drift(control: DataFrame, candidate: DataFrame, shared: Range | None,
                    control_range: Range | None = None, candidate_range: Range | None = None,
-                   count_only: bool = False) -> DataFrame:
+                   count_only: bool = False, totals: bool = False) -> DataFrame:
     """Per-resource dirty-size (or line-count) sums of both sides, signed
     difference text and severity flag.
 
     A line is kept when its pub_id is in the shared range or in its side's own
     range.  Hot resources only meet the partial (map-side) aggregate, so the
-    shuffle carries one row per resource per task.
+    shuffle carries one row per resource per task.  ``totals`` adds a
+    ``(total)`` row over all resources (in count mode: the parsed line count
+    of each side) from the same aggregate.
     """
     c = extract_resolver_tagged(control, "control", count_only).filter(
         within_any("pub_id", shared, control_range))
     d = extract_resolver_tagged(candidate, "candidate", count_only).filter(
         within_any("pub_id", shared, candidate_range))
-    s = side_sums(c.unionByName(d), ["resource"])
+    u = c.unionByName(d)
+    if totals:
+        s = u.groupingSets([["resource"], []], "resource").agg(
+            F.sum("control_n").cast("long").alias("control_sum"),
+            F.sum("candidate_n").cast("long").alias("candidate_sum"),
+            F.grouping_id().alias("_g"))
+        s = s.withColumn("resource", F.when(F.col("_g") == 1, F.lit(TOTAL)).otherwise(F.col("resource")))
+    else:
+        s = side_sums(u, ["resource"])
     diff = F.col("candidate_sum") - F.col("control_sum")
     return (s.select("resource", "control_sum", "candidate_sum",
                      signed_text(diff).alias("difference"),

@@ -102,3 +102,19 @@ def test_size_compare_is_outer(spark, lines):
             "c": parse_count_lines(lines("Z - 4"))}
     r = {x.resource: tuple(x)[1:] for x in rc.size_compare(envs).collect()}
     assert r == {"X": (1, None, None), "Y": (2, 3, None), "Z": (None, None, 4)}
+
+
+def test_totals_rows_are_parsed_counts(spark):
+    li = t(spark, SF_SMALL, "lineitem")
+    c, d = rd.resolver_detail_lines(li, "control"), rd.resolver_detail_lines(li, "candidate")
+    rep = {r.resource: r for r in rc.resolver_drift(c, d, (0, None), count_only=True, totals=True).collect()}
+    tot = rep.pop(rc.TOTAL)
+    assert (tot.control_sum, tot.candidate_sum) == (extract_resolver_raw(c).count(),
+                                                    extract_resolver_raw(d, "candidate").count())
+    assert tot.control_sum == sum(r.control_sum for r in rep.values())
+    sc, sd = _state_logs(spark)
+    g = rc.state_crosstab_all(sc, sd, STATE_CONTROL_RANGE, STATE_CANDIDATE_RANGE, totals=True)
+    row = g.filter(F.col("grouping") == "total").first()
+    assert (row.control_sum, row.candidate_sum) == (
+        rc.states_in_range(sc, "control", STATE_CONTROL_RANGE).count(),
+        rc.states_in_range(sd, "candidate", STATE_CANDIDATE_RANGE).count())
