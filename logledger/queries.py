@@ -560,3 +560,87 @@ FROM rt, m""")
 def q_rating_baseline_rmse(spark, sf_dir):
     from logledger.plans.recommend import baseline_report
     return baseline_report(ratings(spark, sf_dir))
+
+
+# --- one-pass and alternative paths (same results as above, other plans) ----
+_FLIGHT_SQL_CONDS = {"departures": "TRUE", "delays_ge15": "value >= 15", "delays_ge60": "value >= 60"}
+
+
+def _events_flights_all(spark, sf_dir):
+    ev = rd.flights_from_events(t(spark, sf_dir, "events")).withColumn("dest", F.lit(None).cast("long"))
+    return ev
+
+
+@query("flight_tables_one_pass", " UNION ALL ".join(
+    f"""SELECT * FROM (SELECT '{name}' AS report, user_id AS origin, count(*) AS total FROM events
+        WHERE year(ts) >= 1990 AND {cond} GROUP BY user_id ORDER BY total DESC, origin LIMIT 10)"""
+    for name, cond in _FLIGHT_SQL_CONDS.items()))
+def q_flight_tables_one_pass(spark, sf_dir):
+    """Three origin tables of the flight report from one grouping-sets pass."""
+    reps = rp.flight_reports(_events_flights_all(spark, sf_dir), FLIGHT_TOP)
+    cols = {"departures": "total_departures", "delays_ge15": "total_delays_ge15",
+            "delays_ge60": "total_delays_ge60"}
+    out = None
+    for name, col in cols.items():
+        part = reps[name].select(F.lit(name).alias("report"), "origin", F.col(col).alias("total"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("state_report_all", f"""
+WITH {SQL_STATES.strip()},
+sides AS (SELECT 'control' AS side, resource, state FROM ctl UNION ALL SELECT 'candidate', resource, state FROM cand)
+SELECT side, 'state' AS level, NULL AS resource, state, count(*) AS count FROM sides GROUP BY side, state
+UNION ALL SELECT side, 'resource', resource, NULL, count(*) FROM sides GROUP BY side, resource
+UNION ALL SELECT side, 'resource_state', resource, state, count(*) FROM sides GROUP BY side, resource, state""")
+def q_state_report_all(spark, sf_dir):
+    """R1's six tables (one grouping-sets pass) as one frame."""
+    c, d = _state_logs(spark, sf_dir)
+    rep = rc.state_report(c, d, STATE_CONTROL_RANGE, STATE_CANDIDATE_RANGE)
+    out = None
+    for side in ("control", "candidate"):
+        for level in ("state", "resource", "resource_state"):
+            df = rep[f"{side}_by_{level}"]
+            part = df.select(F.lit(side).alias("side"), F.lit(level).alias("level"),
+                             (F.col("resource") if "resource" in df.columns else F.lit(None).cast("string")).alias("resource"),
+                             (F.col("state") if "state" in df.columns else F.lit(None).cast("string")).alias("state"),
+                             "count")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+_DRIFT_TOTALS_INNER = _drift_sql(f"{_SH} OR pub_id >= {DRIFT_CONTROL[0]}",
+                                 f"{_SH} OR pub_id >= {DRIFT_CANDIDATE[0]}", "1", "1",
+                                 ctl_rows="det_ctl", cand_rows="det_cand")
+_DRIFT_TOTALS = _DRIFT_TOTALS_INNER.replace(
+    "FROM s", f"""FROM (SELECT * FROM s UNION ALL
+      SELECT '{rc.TOTAL}', CAST(sum(control_sum) AS BIGINT), CAST(sum(candidate_sum) AS BIGINT) FROM s) s""")
+
+
+@query("resolver_drift_totals", _DRIFT_TOTALS)
+def q_resolver_drift_totals(spark, sf_dir):
+    c, d = _detail_logs(spark, sf_dir)
+    return rc.resolver_drift(c, d, DRIFT_SHARED, DRIFT_CONTROL, DRIFT_CANDIDATE, count_only=True, totals=True)
+
+
+@query("overlay_movie_samples", f"WITH {SQL_OVERLAY} SELECT * FROM ov WHERE resource_type = 'movie_overlay'")
+def q_overlay_movie_samples(spark, sf_dir):
+    return ov.overlay_samples(ov.content_overlays(rd.content_overlay_rows(t(spark, sf_dir, "part"))))
+
+
+@query("access_value_join_salted", ORACLE["access_value_join"])
+def q_access_value_join_salted(spark, sf_dir):
+    return rp.access_value_join(rd.access_lines(t(spark, sf_dir, "events")),
+                                rd.price_list(t(spark, sf_dir, "part")), salts=8)
+
+
+@query("resolver_drift_landed", ORACLE["resolver_drift"])
+def q_resolver_drift_landed(spark, sf_dir):
+    """The drift report over extracted rows landed once as parquet."""
+    from logledger.sources import landing as ld
+    c, d = _drift_logs(spark, sf_dir)
+    pc, pd_ = scratch_path(spark, "landed-control"), scratch_path(spark, "landed-candidate")
+    ld.land_resolver(c, "control", pc)
+    ld.land_resolver(d, "candidate", pd_)
+    return rc.resolver_drift(ld.read_landed(spark, pc), ld.read_landed(spark, pd_),
+                             DRIFT_SHARED, DRIFT_CONTROL, DRIFT_CANDIDATE)
