@@ -19,11 +19,6 @@ def group_count(df: DataFrame, keys: Sequence[str], name: str = "count") -> Data
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def global_sum(df: DataFrame, col: str, name: str) -> DataFrame:
-    """One-row frame with the sum (left as a frame; no driver round trip)."""
-    return df.agg(F.sum(col).cast("long").alias(name))
-
-
 def rmse(pred: DataFrame, label: str = "rating", prediction: str = "prediction") -> DataFrame:
     """One-row frame ``rmse = sqrt(avg((label - prediction)^2))``."""
     d = F.col(label).cast("double") - F.col(prediction).cast("double")

@@ -55,3 +55,16 @@ def test_split_drops_only_trailing_empty(spark):
     df = spark.createDataFrame([("a|b|",), ("a||b",), ("a|b||",), ("x",)], "s string")
     got = [r[0] for r in df.select(split_drop_trailing_empty("s", r"\|")).collect()]
     assert got == [["a", "b"], ["a", "", "b"], ["a", "b"], ["x"]]
+
+
+def test_key_range_check(spark):
+    from logledger.functions.ids import key_in_int_range
+    df = spark.createDataFrame([(7,), (-1,), (2**31,)], "k long")
+    assert [r[0] for r in df.select(key_in_int_range("k")).collect()] == [True, False, False]
+
+
+def test_rmse_operator_equals_evaluator(spark):
+    from logledger.operators.aggregate import rmse
+    from logledger.plans.recommend import rmse_evaluator
+    df = spark.createDataFrame([(1.0, 1.5), (2.0, 1.0), (4.0, 4.0), (3.0, 5.0)], "rating double, prediction double")
+    assert abs(rmse(df).first()[0] - rmse_evaluator().evaluate(df)) < 1e-12

@@ -80,7 +80,6 @@ def test_top_n_per_group_bounds(spark):
 
 
 def test_count_compare_keeps_candidate_only_resources(spark, lines):
-    ctl = rc.count_compare  # noqa
     from logledger.sources.counts import parse_count_lines
     c = parse_count_lines(lines("A - 5", "B - 7", "C - 1"))
     d = parse_count_lines(lines("A - 6", "B - 7", "D - 1"))
