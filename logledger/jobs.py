@@ -8,9 +8,13 @@ Bounds use the original conventions (``-1`` upper = open).
 
 from __future__ import annotations
 
+import os
 import sys
 
-from pyspark.sql import functions as F
+if __package__ in (None, ""):      # run as a file: spark-submit logledger/jobs.py <job> ...
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark.sql import functions as F  # noqa: E402
 
 from logledger.operators.filters import open_upper
 from logledger.plans import overlays as ov
