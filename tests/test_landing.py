@@ -43,3 +43,24 @@ def test_state_reports_on_landed_rows(spark, tmp_path):
     lc, lcand = ld.read_landed(spark, str(tmp_path / "c")), ld.read_landed(spark, str(tmp_path / "d"))
     assert _same(rc.state_crosstab_all(c, d, (0, None), (25000000100, None)),
                  rc.state_crosstab_all(lc, lcand, (0, None), (25000000100, None)))
+
+
+def test_bucketed_sides_join_without_shuffle(spark, tmp_path):
+    from logledger.session import scratch_path
+    li = t(spark, SF_SMALL, "lineitem")
+    c, d = rd.resolver_detail_lines(li, "control"), rd.resolver_detail_lines(li, "candidate")
+    ld.land_resolver_bucketed(c, "control", "bk_control", 8, path=scratch_path(spark, "bk_control"))
+    ld.land_resolver_bucketed(d, "candidate", "bk_candidate", 8, path=scratch_path(spark, "bk_candidate"))
+    res = ["ResAF", "ResNO"]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # force the sort-merge plan
+    try:
+        got = rc.one_sided_keys(spark.table("bk_control"), spark.table("bk_candidate"), 0, -1, "update", res)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            got.explain()
+        plan = buf.getvalue()
+        assert plan.count("LeftAnti") == 2 and "hashpartitioning" not in plan
+        assert _same(got, rc.one_sided_keys(c, d, 0, -1, "update", res))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
