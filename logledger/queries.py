@@ -238,7 +238,13 @@ def q_udf_sorted(spark, sf_dir):
     return spark.sql(f"SELECT city, zip_to_int(zip) AS zip_int FROM {MANAGED_ZIPS} ORDER BY zip_int")
 
 
-@query("list_tables")
+_TABLE_NAMES = ", ".join(f"'{n}'" for n in TABLES)
+
+
+@query("list_tables", f"""
+SELECT DISTINCT table_name AS name, CAST(NULL AS VARCHAR) AS database, 'TEMPORARY' AS table_type,
+       TRUE AS is_temporary
+FROM information_schema.tables WHERE table_name IN ({_TABLE_NAMES})""")
 def q_list_tables(spark, sf_dir):
     from logledger.sinks import list_tables
     for name in TABLES:
