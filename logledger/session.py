@@ -16,6 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
@@ -39,10 +40,30 @@ def build_session(master: str | None = None, app: str = "logledger",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not shuffle_partitions and "spark.sql.shuffle.partitions" not in (extra or {}):
+        size_shuffles(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+PARTITIONS_PER_CORE = 4
+
+
+def size_shuffles(spark: SparkSession) -> int:
+    """Start every shuffle with at least 4 partitions per core of the cluster.
+
+    Spark's default of 200 would make 500 GB partitions out of a 100 TB
+    shuffle; AQE can only merge partitions, so the start must be fine-grained
+    and AQE coalesces the small ones toward ``advisoryPartitionSizeInBytes``.
+    A value set by the deployment is kept when it is larger.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = max(current, PARTITIONS_PER_CORE * cores)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Session time zone to UTC (runtime-settable; parquet timestamps are UTC)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
