@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 @F.pandas_udf("int")
 def zip_to_int(z: pd.Series) -> pd.Series:
-    """Zip text -> int (null when not a number).  Native form: ``try_cast(zip AS INT)``."""
-    return pd.to_numeric(z, errors="coerce").astype("Int32")
+    """Zip text -> int; null when not a whole number in int range (as
+    ``try_cast(zip AS INT)``, the native form)."""
+    n = pd.to_numeric(z, errors="coerce")
+    n = n.where((n == n.round()) & (n >= -2**31) & (n < 2**31))
+    return n.astype("Int32")
 
 
 def register_zip_to_int(spark: SparkSession, name: str = "zip_to_int") -> None:

@@ -68,3 +68,12 @@ def test_rmse_operator_equals_evaluator(spark):
     from logledger.plans.recommend import rmse_evaluator
     df = spark.createDataFrame([(1.0, 1.5), (2.0, 1.0), (4.0, 4.0), (3.0, 5.0)], "rating double, prediction double")
     assert abs(rmse(df).first()[0] - rmse_evaluator().evaluate(df)) < 1e-12
+
+
+def test_zip_to_int_udf_from_sql(spark):
+    from logledger.functions.udfs import register_zip_to_int
+    register_zip_to_int(spark)
+    df = spark.createDataFrame([("01001",), ("99950",), ("x1",), ("12.5",), ("99999999999",), (None,)], "zip string")
+    df.createOrReplaceTempView("zip_udf_test")
+    got = [r[0] for r in spark.sql("SELECT zip_to_int(zip) FROM zip_udf_test").collect()]
+    assert got == [1001, 99950, None, None, None, None]
