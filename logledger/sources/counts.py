@@ -61,6 +61,15 @@ def catalog_tables(spark: SparkSession, names: Sequence[str]) -> dict[str, DataF
     return {n: spark.table(n) for n in names}
 
 
+def catalog_table_counts(spark: SparkSession, database: str | None = None,
+                         exclude_prefix: str = "system") -> DataFrame:
+    """(resource, count) for every table and view of a database whose name does
+    not start with ``exclude_prefix`` - one union plan, one count per table."""
+    names = sorted(t.name for t in spark.catalog.listTables(database)
+                   if not t.name.startswith(exclude_prefix))
+    return table_counts({n: spark.table(f"{database}.{n}" if database else n) for n in names})
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

@@ -88,3 +88,10 @@ def test_sinks_roundtrip(spark, tmp_path):
     names = [r.name for r in sinks.list_tables(spark).collect()]
     assert "t_sink_test" in names
     assert sinks.coalesce_by_fraction(df.repartition(9), 2 / 3).rdd.getNumPartitions() == 6
+
+
+def test_catalog_table_counts_skips_system_prefix(spark):
+    spark.range(3).createOrReplaceTempView("cnt_alpha")
+    spark.range(5).createOrReplaceTempView("system_hidden")
+    got = {r.resource: r["count"] for r in cn.catalog_table_counts(spark).collect()}
+    assert got["cnt_alpha"] == 3 and "system_hidden" not in got
