@@ -24,7 +24,7 @@ from logledger.plans import reports as rp
 from logledger.session import build_session, scratch_path
 from logledger.sources import counts as cn
 from logledger.sources import files as fl
-from logledger.sources import movielens as ml
+from logledger.sources import ratings_files as ml
 
 SHOW = 500
 

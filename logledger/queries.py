@@ -19,7 +19,7 @@ from logledger.plans import reports as rp
 from logledger.session import scratch_path, table_path
 from logledger.sources import counts as cn
 from logledger.sources import files as fl
-from logledger.sources import movielens as ml
+from logledger.sources import ratings_files as ml
 from logledger.sources import render as rd
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from logledger.plans import overlays as ov
 from logledger.sources import counts as cn
 from logledger.sources import files as fl
-from logledger.sources import movielens as ml
+from logledger.sources import ratings_files as ml
 
 
 def test_text_gz(spark, tmp_path):
