@@ -1 +1 @@
-"""Readers (files, tables, formats) and renderers of reference-shaped inputs."""
+"""Readers (files, tables, formats) and renderers of the original input layouts."""

@@ -1,4 +1,4 @@
-"""Reference-shaped inputs rendered from the driver tables.
+"""Log, catalogue, zip, flight and rating inputs rendered from the driver tables.
 
 The reconciled logs, count files, catalogue files, zips, flights and rating
 files of the original jobs are not shipped.  Each renderer derives the same
@@ -150,7 +150,7 @@ PROGRAM_BASE, STATION_BASE = 5_000_000, 9_000_000
 
 
 def content_overlay_rows(part: DataFrame) -> DataFrame:
-    """Content overlay catalogue (reference column names) from ``part``."""
+    """Content overlay catalogue (its original column names) from ``part``."""
     key = F.col("p_partkey")
     series = F.when(key % SERIES_BAD_EVERY == 0, F.lit("SHxxxxxxxxxx")).otherwise(
         F.concat(F.lit("SH"), F.lpad(((key * SERIES_MULT) % SERIES_MOD).cast("string"), 10, "0")))
