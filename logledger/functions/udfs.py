@@ -1,21 +1,30 @@
 """User functions callable from SQL text (Arrow-batched pandas UDFs).
 
 No ``from __future__ import annotations`` here: pandas UDF type hints must be
-real types for Spark to infer the UDF kind."""
+real types for Spark to infer the UDF kind.  The function body is built
+inside a factory, so it is shipped to the Python workers by value and they
+need not import this package.
+"""
 
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
-@F.pandas_udf("int")
-def zip_to_int(z: pd.Series) -> pd.Series:
+def make_zip_to_int():
     """Zip text -> int; null when not a whole number in int range (as
     ``try_cast(zip AS INT)``, the native form)."""
-    n = pd.to_numeric(z, errors="coerce")
-    n = n.where((n == n.round()) & (n >= -2**31) & (n < 2**31))
-    return n.astype("Int32")
+
+    def zip_to_int(z: pd.Series) -> pd.Series:
+        n = pd.to_numeric(z, errors="coerce")
+        n = n.where((n == n.round()) & (n >= -2**31) & (n < 2**31))
+        return n.astype("Int32")
+
+    return F.pandas_udf(zip_to_int, "int")
+
+
+zip_to_int = make_zip_to_int()
 
 
 def register_zip_to_int(spark: SparkSession, name: str = "zip_to_int") -> None:
-    spark.udf.register(name, zip_to_int)
+    spark.udf.register(name, make_zip_to_int())
