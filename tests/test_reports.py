@@ -75,3 +75,18 @@ def test_salted_access_join_equals_plain(spark):
     b = rp.access_value_join(lines, prices, salts=8)
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_coldstart_job(spark):
+    r = ratings(spark, SF_SMALL)
+    mine = new_user_ratings(spark).select("user_id", "movie_id", F.col("rating").cast("int").alias("rating"))
+    movies = t(spark, SF_SMALL, "part").select(F.col("p_partkey").cast("int").alias("movie_id"),
+                                               F.col("p_name").alias("title"))
+    out = rm.coldstart_job(r, mine, movies, NEW_USER, k=5)
+    rows = out["tuning"].collect()
+    assert len(rows) == 6 and sum(x.is_best for x in rows) == 1
+    assert min(rows, key=lambda x: x.validation_rmse).is_best
+    unrated = out["user_unrated"]
+    assert unrated.count() == 5
+    assert unrated.join(mine, ["movie_id"]).count() == 0          # rated movies excluded
+    assert out["user_from_all"].count() <= 5
