@@ -1,7 +1,8 @@
 """Two-environment reconciliation reports (control vs candidate).
 
-Inputs are line tables (column ``value``) of each side; outputs are report
-DataFrames.  Ranges are inclusive ``(lower, upper)`` tuples, ``None`` = open.
+Inputs are line tables (column ``value``) of each side, or the extracted rows
+landed by ``logledger.sources.landing``; outputs are report DataFrames.
+Ranges are inclusive ``(lower, upper)`` tuples, ``None`` = open.
 """
 
 from __future__ import annotations
