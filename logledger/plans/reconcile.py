@@ -173,12 +173,18 @@ def matched_differences(control: DataFrame, candidate: DataFrame, lower: int | N
 
 # R6 ------------------------------------------------------------------------
 def one_sided_keys(control: DataFrame, candidate: DataFrame, lower: int | None, upper: int | None,
-                   state: str, resources: Sequence[str], n: int | None = None) -> DataFrame:
+                   state: str, resources: Sequence[str], n: int | None = None,
+                   materialize: bool = False) -> DataFrame:
     """Entries (resource, rovi_id, state) resolved on one side only.
 
     Equivalent to a full outer join keeping rows with a missing side, written
     as two anti joins: matched keys never pair up, so keys repeated on both
     sides cannot multiply rows.  Control-only rows (flag 0) come first.
+
+    Each side feeds both joins.  ``materialize=True`` extracts each side once
+    and writes the (filtered, much smaller) rows as a reliable checkpoint in
+    ``spark.checkpoint.dir`` before the joins, instead of running the
+    extraction over the raw lines twice (eager: runs the extraction jobs).
     """
     keys = ["resource", "rovi_id", "state"]
 
@@ -189,6 +195,8 @@ def one_sided_keys(control: DataFrame, candidate: DataFrame, lower: int | None,
                         F.col("dirty_size").alias(f"{pfx}_dirty_size")))
 
     c, d = side(control, "control", "control"), side(candidate, "candidate", "candidate")
+    if materialize:
+        c, d = c.checkpoint(eager=True), d.checkpoint(eager=True)
     only_c = c.join(d.select(*keys), keys, "left_anti").select(
         *keys, "control_pub_id", "control_dirty_size",
         F.lit(None).cast("long").alias("candidate_pub_id"),
