@@ -1,6 +1,5 @@
 """Extraction of the log layouts: sample lines, dialects, quirks kept on purpose."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from logledger.operators.extract import (extract_access, extract_groups, extract_resolver_raw,

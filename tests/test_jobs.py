@@ -3,7 +3,6 @@
 import contextlib
 import io
 
-from pyspark.sql import functions as F
 
 from logledger import jobs
 from logledger.queries import new_user_ratings, ratings, t

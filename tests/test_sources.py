@@ -1,7 +1,6 @@
 """Readers and sinks: gz text, CSV inference, typed JSON, Latin-1 movies, count lines."""
 
 import gzip
-import os
 
 import pytest
 from pyspark.sql import functions as F
