@@ -54,23 +54,22 @@ def extract_groups(lines: DataFrame, pattern: str, names: Sequence[str],
     body = pattern[1:] if pattern.startswith("^") else r".*?(?:" + pattern + ")"
     whole = r"(?s)^" + (r"(?:" + body + ")" if pattern.startswith("^") else body) + r".*$"
     replacement = "".join("\n$%d" % (i + 1) for i in range(n))
-    # Everything runs inside one generator over a one-element array: the line
-    # is read once, the literal test gates the regex, and the generator's
-    # output is an attribute, so the optimizer can neither inline the regex
-    # into every group column nor push the match test below it (each would
-    # run the regex again).
-    line = F.array(F.col(col))
+    # The split result is wrapped in a one-element array and exploded: the
+    # generator's output is an attribute, so the optimizer can neither inline
+    # the regex into every group column nor push the match test below it (each
+    # would run the regex again).  The literal test gates the regex: a line
+    # without a required literal gives a null array, which explodes to no row.
+    # Plain expressions only (no lambdas), so the whole stage is code-generated.
+    v = F.col(col)
+    wrapped = F.array(F.split(F.regexp_replace(v, F.lit(whole), F.lit(replacement)), "\n"))
     if require:
-        def candidate(v):
-            cond = None
-            for lit in require:
-                c = v.contains(lit)
-                cond = c if cond is None else cond | c
-            return cond
-        line = F.filter(line, candidate)
-    parts = F.transform(line, lambda v: F.split(F.regexp_replace(v, F.lit(whole), F.lit(replacement)), "\n"))
-    matched = F.filter(parts, lambda p: (p[0] == F.lit("")) & (F.size(p) == n + 1))
-    out = lines.select(F.explode(matched).alias("_p"))
+        cond = None
+        for lit in require:
+            c = v.contains(lit)
+            cond = c if cond is None else cond | c
+        wrapped = F.when(cond, wrapped)
+    out = (lines.select(F.explode(wrapped).alias("_p"))
+           .filter((F.size("_p") == n + 1) & (F.col("_p")[0] == F.lit(""))))
     return out.select(*[F.col("_p")[i + 1].alias(nm) for i, nm in enumerate(names)])
 
 
