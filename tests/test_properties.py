@@ -56,3 +56,23 @@ def test_split_matches_java_semantics(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = [r[0] for r in df.select(split_drop_trailing_empty("s", r"\|")).collect()]
     assert got == [py_split(v, "|") for v in values]
+
+
+word = st.text(alphabet="abcXYZ_019", min_size=1, max_size=12)
+digits = st.integers(min_value=0, max_value=10**15)
+record = st.tuples(word, digits, digits, st.one_of(st.just("empty"), digits.map(str)),
+                   st.integers(0, 10**6), st.text(alphabet="ab :[]-", max_size=10))
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(record, min_size=200, max_size=200))
+def test_resolver_lines_round_trip(spark, recs):
+    from logledger.operators.extract import extract_resolver_raw
+    for side, sep in (("control", " "), ("candidate", "-")):
+        lines = [f"{noise}INFO [listener-3] - RESOLVE {r}{sep}{i} ({p} replacing {o}) , {d} dirty size: 1b"
+                 for r, i, p, o, d, noise in recs]
+        lines += ["INFO poll only", f"RESOLVE broken{sep}1 (2 replacing) , 3 dirty"]     # must be dropped
+        df = spark.createDataFrame([(x,) for x in lines], "value string")
+        got = sorted(tuple(x) for x in extract_resolver_raw(df, side).collect())
+        want = sorted((r, i, p, o, "new" if o == "empty" else "update", d) for r, i, p, o, d, _ in recs)
+        assert got == want
