@@ -76,3 +76,19 @@ def test_resolver_lines_round_trip(spark, recs):
         got = sorted(tuple(x) for x in extract_resolver_raw(df, side).collect())
         want = sorted((r, i, p, o, "new" if o == "empty" else "update", d) for r, i, p, o, d, _ in recs)
         assert got == want
+
+
+state_rec = st.tuples(st.integers(0, 29), st.sampled_from(["PUBLISH", "NOPUBLISH", "UNPUBLISH"]), word,
+                      digits, digits)
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(state_rec, min_size=200, max_size=200))
+def test_state_lines_round_trip_and_listener_rule(spark, recs):
+    from logledger.operators.extract import extract_states
+    for side, sep in (("control", " "), ("candidate", "-")):
+        lines = [f"2017-01-31 [listener-{n}] - {s} {r}{sep}{i} ({p}) - (root only)" for n, s, r, i, p in recs]
+        df = spark.createDataFrame([(x,) for x in lines], "value string")
+        got = sorted(tuple(x) for x in extract_states(df, side).collect())
+        want = sorted((i, r, s, p) for n, s, r, i, p in recs if n < 10)      # one-digit listeners only
+        assert got == want
