@@ -92,3 +92,28 @@ def test_state_lines_round_trip_and_listener_rule(spark, recs):
         got = sorted(tuple(x) for x in extract_states(df, side).collect())
         want = sorted((i, r, s, p) for n, s, r, i, p in recs if n < 10)      # one-digit listeners only
         assert got == want
+
+
+access_rec = st.tuples(
+    st.datetimes(min_value=__import__("datetime").datetime(1990, 1, 1),
+                 max_value=__import__("datetime").datetime(2030, 12, 31)).map(lambda d: d.replace(microsecond=0)),
+    st.integers(-12, 14), st.sampled_from([0, 30, 45]), st.sampled_from(["GET", "POST"]),
+    st.text(alphabet="abc/?=&._", min_size=1, max_size=15), st.integers(100, 599), st.integers(0, 10**12))
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(access_rec, min_size=200, max_size=200))
+def test_access_lines_time_and_fields(spark, recs):
+    import datetime as dtm
+    from logledger.plans.reports import access_records
+    lines, want = [], []
+    for local, hh, mm, method, endpoint, status, size in recs:
+        sign = "-" if hh < 0 else "+"
+        off = f"{sign}{abs(hh):02d}{mm:02d}"
+        stamp = local.strftime("%d/%b/%Y:%H:%M:%S")
+        lines.append(f'10.1.2.3 - - [{stamp} {off}] "{method} /{endpoint} HTTP/1.1" {status} {size}')
+        delta = dtm.timedelta(hours=abs(hh), minutes=mm) * (-1 if sign == "-" else 1)
+        want.append(("/" + endpoint, local - delta, status, size))
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = sorted((r.endpoint, r.dt, r.response_code, r.content_size) for r in access_records(df).collect())
+    assert got == sorted(want)
