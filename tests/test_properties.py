@@ -117,3 +117,18 @@ def test_access_lines_time_and_fields(spark, recs):
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     got = sorted((r.endpoint, r.dt, r.response_code, r.content_size) for r in access_records(df).collect())
     assert got == sorted(want)
+
+
+def py_packed(kind: str, key: int) -> int:
+    code = {"st": 523, "cl": 313}.get(kind, 320)
+    v = (code << 40) | (key & 0xFFFFFFFFFFFFFFFF if key < 0 else key)     # sign-extended key
+    return v - (1 << 64) if v >= (1 << 63) else v
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.integers(-(2**31), 2**31 - 1), min_size=200, max_size=200))
+def test_packed_id_matches_python(spark, keys):
+    from logledger.functions.ids import packed_id
+    df = spark.createDataFrame([(k,) for k in keys], "k int")
+    got = df.select(packed_id("st", "k"), packed_id("cl", "k"), packed_id("ct", "k")).collect()
+    assert [tuple(r) for r in got] == [(py_packed("st", k), py_packed("cl", k), py_packed("ct", k)) for k in keys]
