@@ -94,3 +94,21 @@ def test_catalog_table_counts_skips_system_prefix(spark):
     spark.range(5).createOrReplaceTempView("system_hidden")
     got = {r.resource: r["count"] for r in cn.catalog_table_counts(spark).collect()}
     assert got["cnt_alpha"] == 3 and "system_hidden" not in got
+
+
+def test_size_checked_broadcast_and_checkpoint(spark):
+    import contextlib
+    import io
+
+    from logledger import sinks
+    from logledger.operators.joins import is_at_most, join_small
+    big = spark.range(10_000).withColumn("k", F.col("id") % 100)
+    small = spark.range(100).withColumnRenamed("id", "k")
+    assert is_at_most(small, 100) and not is_at_most(big, 100)
+    j = join_small(big, small, "k", max_rows=100)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        j.explain()
+    assert "BroadcastHashJoin" in buf.getvalue() and j.count() == 10_000
+    c = sinks.checkpoint(big.filter("k < 3"))           # reliable, into spark.checkpoint.dir
+    assert c.count() == 300
