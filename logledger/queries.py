@@ -669,3 +669,23 @@ def q_resolver_drift_stream(spark, sf_dir):
     d.write.text(ddir)
     start_drift_to_table(drift_stream(spark, cdir, ddir, _STREAM_RANGE), out).awaitTermination()
     return spark.read.parquet(out)
+
+
+@query("one_sided_keys_materialized", ORACLE["one_sided_keys"])
+def q_one_sided_keys_materialized(spark, sf_dir):
+    """R6 with each side extracted once into a reliable checkpoint."""
+    c, d = _detail_logs(spark, sf_dir)
+    return rc.one_sided_keys(c, d, 0, -1, ONE_SIDED_STATE, DETAIL_RESOURCES, materialize=True)
+
+
+@query("state_crosstab_totals", f"""
+WITH {SQL_STATES.strip()}
+SELECT CASE WHEN grouping(resource) = 1 AND grouping(state) = 1 THEN 'total'
+            WHEN grouping(resource) = 1 THEN 'state' WHEN grouping(state) = 1 THEN 'resource'
+            ELSE 'resource_state' END AS "grouping",
+       resource, state, CAST(sum(c) AS BIGINT) AS control_sum, CAST(sum(d) AS BIGINT) AS candidate_sum
+FROM tagged GROUP BY GROUPING SETS ((state), (resource), (resource, state), ())""")
+def q_state_crosstab_totals(spark, sf_dir):
+    """R2 with the parsed-row totals of both sides from the same aggregate."""
+    c, d = _state_logs(spark, sf_dir)
+    return rc.state_crosstab_all(c, d, STATE_CONTROL_RANGE, STATE_CANDIDATE_RANGE, totals=True)
