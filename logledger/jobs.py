@@ -34,13 +34,24 @@ def _show(title: str, df, n: int = SHOW) -> None:
     df.show(n, truncate=False)
 
 
+LANDED = "parquet:"
+
+
+def _side(spark, path):
+    """Raw log lines, or ``parquet:<folder>`` for rows landed by land-resolver /
+    land-states (works the same on any file system)."""
+    if path.startswith(LANDED):
+        return spark.read.parquet(path[len(LANDED):])
+    return fl.read_lines(spark, path)
+
+
 def _rng(lo, hi):
     return (int(lo), open_upper(int(hi)))
 
 
 def states(spark, control, candidate, *b):
     """Per-side state counts (bounds optional)."""
-    c, d = fl.read_lines(spark, control), fl.read_lines(spark, candidate)
+    c, d = _side(spark, control), _side(spark, candidate)
     cr, dr = (_rng(b[0], b[1]), _rng(b[2], b[3])) if len(b) >= 4 else (None, None)
     for name, df in rc.state_report(c, d, cr, dr).items():
         _show(name, df)
@@ -48,7 +59,7 @@ def states(spark, control, candidate, *b):
 
 def states_crosstab(spark, control, candidate, cl, cu, dl, du):
     """R2: side-by-side counts by state, resource, resource+state, state+resource."""
-    c, d = fl.read_lines(spark, control), fl.read_lines(spark, candidate)
+    c, d = _side(spark, control), _side(spark, candidate)
     # all groupings from one pass over the logs; the small result is cached
     allg = rc.state_crosstab_all(c, d, _rng(cl, cu), _rng(dl, du), totals=True).persist()
     _show("parsed rows per side", allg.filter(F.col("grouping") == "total").select("control_sum", "candidate_sum"))
@@ -62,28 +73,28 @@ def states_crosstab(spark, control, candidate, cl, cu, dl, du):
 def resolver_drift(spark, control, candidate, lower, upper, cl, cu, dl, du, count_only="false"):
     """Drift per resource (shared range or per-side ranges)."""
     _show("drift by resource", rc.resolver_drift(
-        fl.read_lines(spark, control), fl.read_lines(spark, candidate), _rng(lower, upper),
+        _side(spark, control), _side(spark, candidate), _rng(lower, upper),
         _rng(cl, cu), _rng(dl, du), count_only.lower() == "true", totals=True))
 
 
 def resolver_shared(spark, control, candidate, lower, upper, count_only="false"):
     """Drift per resource in one shared range."""
     _show("drift by resource", rc.resolver_drift(
-        fl.read_lines(spark, control), fl.read_lines(spark, candidate), _rng(lower, upper),
+        _side(spark, control), _side(spark, candidate), _rng(lower, upper),
         count_only=count_only.lower() == "true", totals=True))
 
 
 def resolver_details(spark, control, candidate, lower, upper, *resources):
     """Top 50 matched discrepancies per resource."""
     _show("top discrepancies", rc.matched_differences(
-        fl.read_lines(spark, control), fl.read_lines(spark, candidate), int(lower),
+        _side(spark, control), _side(spark, candidate), int(lower),
         open_upper(int(upper)), list(resources), 50))
 
 
 def resolver_one_sided(spark, control, candidate, lower, upper, state, *resources):
     """Entries resolved on one side only, first 500 per resource."""
     _show("one-sided entries", rc.one_sided_keys(
-        fl.read_lines(spark, control), fl.read_lines(spark, candidate), int(lower), int(upper),
+        _side(spark, control), _side(spark, candidate), int(lower), int(upper),
         state, list(resources), 500))
 
 
@@ -183,6 +194,19 @@ def recommend_cv(spark, ratings, personal, movies, out_dir, user="0"):
     _show("user", mine)
 
 
+def land_resolver(spark, lines, side, out):
+    """Parse resolver lines once into parquet partitioned by resource; every
+    reconciliation job accepts the landed folder in place of raw logs."""
+    from logledger.sources.landing import land_resolver as land
+    land(fl.read_lines(spark, lines), side, out)
+
+
+def land_states(spark, lines, side, out):
+    """Parse publish-state lines once into parquet partitioned by resource."""
+    from logledger.sources.landing import land_states as land
+    land(fl.read_lines(spark, lines), side, out)
+
+
 def convert_delimited(spark, movies, out):
     """K10: '::' movie file -> CSV with header (titles with commas quoted)."""
     ml.movies_to_csv(ml.read_movies(spark, movies), out)

@@ -69,3 +69,14 @@ def test_recommender_jobs(spark, tmp_path):
     assert "validation_rmse" in out and "prediction" in out
     run(spark, "convert-delimited", tmp_path / "m", tmp_path / "mcsv")
     assert spark.read.option("header", True).csv(str(tmp_path / "mcsv")).count() == t(spark, SF_SMALL, "part").count()
+
+
+def test_landing_jobs_feed_the_reports(spark, tmp_path):
+    li = t(spark, SF_SMALL, "lineitem")
+    rd.resolver_drift_lines(li, "control").write.text(str(tmp_path / "rc"))
+    rd.resolver_drift_lines(li, "candidate").write.text(str(tmp_path / "rd"))
+    run(spark, "land-resolver", tmp_path / "rc", "control", tmp_path / "lc")
+    run(spark, "land-resolver", tmp_path / "rd", "candidate", tmp_path / "ld")
+    raw = run(spark, "resolver-shared", tmp_path / "rc", tmp_path / "rd", 0, -1)
+    landed = run(spark, "resolver-shared", f"parquet:{tmp_path / 'lc'}", f"parquet:{tmp_path / 'ld'}", 0, -1)
+    assert raw == landed and "ResAF" in raw
