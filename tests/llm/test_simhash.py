@@ -1,0 +1,87 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from logledger.llm import components, simhash
+from logledger.llm.queries import QUERIES
+from tests.llm.conftest import SF, rows
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_fingerprint(text, shingle=4):
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(prints, radius):
+    """prints: (id, fingerprint); the smallest id reachable, per place."""
+    v = np.array([p for _, p in prints], np.uint64)
+    near = np.bitwise_count(v[:, None] ^ v[None, :]) <= radius
+    group = np.arange(len(v))
+    while True:
+        least = np.where(near, group[None, :], len(v)).min(axis=1)
+        if (least == group).all():
+            break
+        group = least
+    ids = {}
+    for g, (i, _) in zip(group, prints, strict=True):
+        if i is not None:
+            ids[g] = min(ids.get(g, i), i)
+    return [ids.get(g) for g in group]
+
+
+def expected(docs):
+    prints = [(r.doc_id, brute_fingerprint(r.text)) for r in docs]
+    return sorted(((i, f"{p:016x}", c) for (i, p), c in zip(prints, brute_components(prints, 4), strict=True)), key=repr)
+
+
+def test_query_matches_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    assert rows(QUERIES["op7_simhash_near_dedup"](spark, SF)) == expected(docs)
+
+
+def test_odd_rows(spark, odd_docs):
+    out = simhash.near_duplicates(odd_docs)
+    got = sorted(((r.doc_id, f"{r.fingerprint % 2 ** 64:016x}", r.component_id) for r in out.collect()), key=repr)
+    assert got == expected(odd_docs.collect())
+    assert simhash.near_duplicates(odd_docs.limit(0)).count() == 0
+
+
+def test_fingerprint_equals_spark_hash(spark):
+    r = spark.sql("select xxhash64('some words here now') as h").first()
+    assert r.h % 2 ** 64 == xxhash.xxh64_intdigest(b"some words here now", 42)
+
+
+@pytest.mark.parametrize("shard", [4096, 7])
+def test_links_have_all_components(spark, shard):
+    rng = random.Random(shard)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    prints = {0, 2 ** 64 - 1} | set(base)
+    for b in base[:5]:
+        for _ in range(40):
+            x = b
+            for bit in rng.sample(range(64), rng.randint(1, 9)):
+                x ^= 1 << bit
+            prints.add(x)
+    prints = sorted(prints)
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    edges = simhash.links(spark.createDataFrame(signed, "fingerprint long"), shard=shard)
+    found = dict(map(tuple, components.connected_components(edges).collect()))
+    want = brute_components([(i, p) for i, p in enumerate(prints)], 4)
+    got = [found.get(s, s) for (s,) in signed]
+    assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
+
+
+def test_components_of_a_chain_and_of_nothing(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (101, 100), (100, 101)], "a long, b long")
+    found = dict(map(tuple, components.connected_components(chain).collect()))
+    assert found == {i: 0 for i in range(61)} | {100: 100, 101: 100}
+    assert components.connected_components(chain.limit(0)).count() == 0
