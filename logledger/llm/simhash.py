@@ -180,21 +180,22 @@ def links(prints: DataFrame, radius: int = RADIUS, agree: int = AGREE, shard: in
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS) -> DataFrame:
-    """``docs`` without the text, plus ``fingerprint`` (signed long) and ``component_id``.
+    """``docs`` without the text, plus ``fingerprint`` (signed long), ``component_id`` and ``root``.
 
     ``component_id`` is the smallest ``key`` among the rows whose fingerprints
     can be reached by links of ``radius`` bits or fewer.  Null, empty and
     blank texts have fingerprint zero and link like any other.  Rows without a
     key count for no smallest key; a component without any key has a null id.
+    ``root``, a fingerprint, tells components apart even so.
     Repeated rows stay.  An empty table gives an empty result.  Input columns
     named like an output are replaced.
     """
-    docs = docs.drop("component_id", "_least", "_root")
+    docs = docs.drop("component_id", "root", "_least")
     printed = add_fingerprints(docs, text, shingle).checkpoint()
     prints = printed.groupBy("fingerprint").agg(F.min(key).alias("_least")).checkpoint()
     found = connected_components(links(prints.select("fingerprint"), radius))
     rooted = (prints.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-              .select("fingerprint", "_least", F.coalesce("component", "fingerprint").alias("_root")))
-    ids = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    named = rooted.join(ids, "_root").select("fingerprint", "component_id")
+              .select("fingerprint", "_least", F.coalesce("component", "fingerprint").alias("root")))
+    ids = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
+    named = rooted.join(ids, "root").select("fingerprint", "component_id", "root")
     return printed.join(named, "fingerprint")
