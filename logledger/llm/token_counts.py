@@ -267,6 +267,6 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     chunks = long.mapInArrow(cut, placed.schema).repartition("_row", "_no")
     maps = chunks.mapInArrow(mapped, placed.select(
         "_row", key, "n_bytes", "_no", F.lit("").alias("head"), F.lit(0).cast("long").alias("n"),
-        F.lit("").cast("string").alias("tail")).schema)
+        F.lit(None).cast("string").alias("tail")).schema)
     counted = short.mapInArrow(whole, kinds).unionByName(maps.groupBy("_row").applyInPandas(joined, kinds))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -86,7 +86,7 @@ def _least_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 def _link(cosine: float):
     """Rows (a, b, n): the links n of home vector a, or an edge (a, b) of a forest over the block's links."""
     def run(homes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"a": pd.Series([], "int64"), "b": pd.Series([], "Int64"), "n": pd.Series([], "Int64")})
+        empty = pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="Int64"), "n": pd.Series([], dtype="Int64")})
         if homes.empty or members.empty:
             return empty
         near = _matrix(homes["_unit"]) @ _matrix(members["_unit"]).T >= cosine
@@ -139,6 +139,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     chosen = known.filter((F.xxhash64("cid") == F.col("_h")) | (unit_hash < F.col("_share")))
     dealt = known.withColumn("_block", F.pmod(F.xxhash64("cid", F.lit(1)), F.col("_blocks")).cast("int"))
     for_blocks = chosen.select(*GROUP, "cid", "_unit", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
+    for_blocks = for_blocks.toDF(*for_blocks.columns)  # columns of its own: both sides come from one table
     by = [*GROUP, "_block"]
     placed = (dealt.select(*by, "cid", "copies", "_unit").groupBy(*by).cogroup(for_blocks.groupBy(*by))
               .applyInPandas(_assign(radius), "_label string, _dim int, cell long, home boolean, cid long, copies long,"
@@ -151,6 +152,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     homes = sized.filter("home").select("cell", own("_hs").alias("_hb"), every("_ms").alias("_mb"), "cid", "_unit")
     members = sized.filter("_hs > 0").select("cell", every("_hs").alias("_hb"), own("_ms").alias("_mb"), "cid", "copies",
                                              "_unit")
+    members = members.toDF(*members.columns)
     by = ["cell", "_hb", "_mb"]
     linked = (homes.groupBy(*by).cogroup(members.groupBy(*by))
               .applyInPandas(_link(cosine), "a long, b long, n long").checkpoint())

@@ -1,0 +1,89 @@
+import base64
+import gzip
+import hashlib
+import io
+
+import pytest
+
+from logledger.llm import warc
+from logledger.llm.queries import ORACLE, QUERIES
+from tests.llm.conftest import SF, compare_with_oracle, rows
+
+
+def test_query_matches_oracle(spark, con):
+    compare_with_oracle(con, ORACLE["op1_warc"], QUERIES["op1_warc"](spark, SF))
+
+
+def pages(spark):
+    data = [(5, "http://a/ä b", "same é"), (3, "http://b", "same é"), (9, None, None), (8, "u", ""), (1, "x\r\ny", "z" * 300_000),
+            (None, "n", "same é"), (None, "n", "alone"), (3, "http://b", "same é"), (7, "p", "a\r\n\r\nb\r\n\r\n")]
+    return spark.createDataFrame([(*r, "junk") for r in data], "page_id long, url string, html string, payload_digest string")
+
+
+def test_odd_rows_and_payloads(spark, tmp_path):
+    p = pages(spark)
+    got = warc.archive_round_trip(p, f"{tmp_path}/w", payloads=True)
+    smallest = {}
+    for r in p.collect():
+        if r.page_id is not None:
+            smallest[r.html or ""] = min(smallest.get(r.html or "", 1 << 60), r.page_id)
+    want = []
+    for r in p.collect():
+        data = (r.html or "").encode()
+        first = smallest.get(r.html or "")
+        revisit = first is not None and first != r.page_id
+        want.append((r.page_id, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(),
+                     "revisit" if revisit else "response", first if revisit else None, None if revisit else data))
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
+    found = sorted(((*r[:5], None if r[5] is None else bytes(r[5])) for r in got.select(*names).collect()), key=repr)
+    assert found == sorted(want, key=repr)
+    assert warc.archive_round_trip(p.limit(0), f"{tmp_path}/none").count() == 0
+
+
+def test_short_payloads_are_responses(spark, tmp_path):
+    got = warc.archive_round_trip(pages(spark), f"{tmp_path}/w", least_bytes=100)
+    assert {r.record_type for r in got.collect()} == {"response"}
+
+
+def test_archives_roll_and_other_readers_read_them(spark, tmp_path):
+    manifest = warc.write_archives(pages(spark), f"{tmp_path}/w", archive_bytes=1)
+    assert manifest.count() == 9 and {r.records for r in manifest.collect()} == {1}
+    for r in manifest.collect():
+        with gzip.open(r.path.removeprefix("file://")) as f:
+            assert f.read().startswith(b"WARC/1.1\r\n")
+    assert rows(warc.read_archives(spark, manifest).select("page_id"))[0] == (1,)
+
+
+class Slow(io.BytesIO):
+    """Gives a few bytes at a time."""
+
+    def read(self, n=-1):
+        return super().read(min(n, 7) if n > 0 else n)
+
+
+def archive():
+    digest = warc.base32(hashlib.sha1(b"<p>x</p>").digest())
+    return warc.record(1, "http://a", b"<p>x</p>", 8, digest) + warc.record(2, "http://b", None, 8, digest, 1)
+
+
+def test_reader_by_small_steps():
+    one, two = warc.read_archive(Slow(archive()), payloads=True)
+    assert (one["type"], one["payload"], one["id"]) == ("response", b"<p>x</p>", "urn:x-page:1")
+    assert (two["type"], two["refers_to"], two["payload_bytes"], two["payload"]) == ("revisit", "urn:x-page:1", 8, None)
+
+
+@pytest.mark.parametrize("spoil", ["cut", "block", "payload", "length", "junk"])
+def test_broken_archives_fail(spoil):
+    whole = gzip.decompress(warc.record(1, "http://a", b"<p>x</p>", 8, warc.base32(hashlib.sha1(b"<p>x</p>").digest())))
+    if spoil == "cut":
+        data = archive()[:-5]
+    elif spoil == "block":
+        data = gzip.compress(whole.replace(b"<p>x", b"<p>y"))
+    elif spoil == "payload":
+        data = warc.record(1, "http://a", b"<p>x</p>", 8, warc.base32(hashlib.sha1(b"other").digest()))
+    elif spoil == "length":
+        data = gzip.compress(whole.replace(b"type=response\r\nContent-Length: ", b"type=response\r\nContent-Length: 1"))
+    else:
+        data = archive() + b"not gzip"
+    with pytest.raises(warc.WarcError):
+        list(warc.read_archive(io.BytesIO(data)))
