@@ -82,11 +82,12 @@ def test_coldstart_job(spark):
     mine = new_user_ratings(spark).select("user_id", "movie_id", F.col("rating").cast("int").alias("rating"))
     movies = t(spark, SF_SMALL, "part").select(F.col("p_partkey").cast("int").alias("movie_id"),
                                                F.col("p_name").alias("title"))
-    out = rm.coldstart_job(r, mine, movies, NEW_USER, k=5)
+    old = r.first()["user_id"]
+    out = rm.coldstart_job(r, mine, movies, [NEW_USER, old], k=5)
     rows = out["tuning"].collect()
     assert len(rows) == 6 and sum(x.is_best for x in rows) == 1
     assert min(rows, key=lambda x: x.validation_rmse).is_best
-    unrated = out["user_unrated"]
+    unrated = out[f"user_{NEW_USER}_unrated"]
     assert unrated.count() == 5
     assert unrated.join(mine, ["movie_id"]).count() == 0          # rated movies excluded
-    assert out["user_from_all"].count() <= 5
+    assert out[f"user_{NEW_USER}_from_all"].count() == 5 and out[f"user_{old}_from_all"].count() == 5
