@@ -23,8 +23,3 @@ def packed_id(kind: str, key: Column | str) -> Column:
     head = (SCHEME << 56) | (code << 40) | (NAMESPACE << 32)
     return F.lit(head).cast("long").bitwiseOR(k.try_cast("int").cast("long"))
 
-
-def key_in_int_range(key: Column | str) -> Column:
-    """True when the key fits the 32-bit slot without touching the type bits."""
-    k = F.col(key) if isinstance(key, str) else key
-    return k.between(0, 2**31 - 1)

@@ -20,12 +20,10 @@ def split_drop_trailing_empty(col: Column | str, pattern: str) -> Column:
     """``split`` with Java ``String.split`` semantics: trailing empty parts removed.
 
     Spark keeps them (``'a|b|'`` gives ``['a','b','']``).  Only the *trailing*
-    run of empty strings is dropped; inner empty parts stay.
+    run of empty strings is dropped; inner empty parts stay; a text of
+    separators alone has no parts.  The parts are those of one line, so a line
+    break can hold their places while the end is trimmed (no lambda per part).
     """
     c = F.col(col) if isinstance(col, str) else col
-    parts = F.split(c, pattern)
-    # index of the last non-empty element (0 when none): keep 1..that index
-    last = F.aggregate(
-        F.transform(parts, lambda x, i: F.when(x != F.lit(""), i + 1).otherwise(0)),
-        F.lit(0), lambda acc, x: F.greatest(acc, x))
-    return F.slice(parts, 1, last)
+    kept = F.rtrim(F.array_join(F.split(c, pattern), "\n"), F.lit("\n"))
+    return F.when(kept == "", F.array().cast("array<string>")).otherwise(F.split(kept, "\n"))

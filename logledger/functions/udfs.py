@@ -16,9 +16,10 @@ def make_zip_to_int():
     ``try_cast(zip AS INT)``, the native form)."""
 
     def zip_to_int(z: pd.Series) -> pd.Series:
-        n = pd.to_numeric(z, errors="coerce")
-        n = n.where((n == n.round()) & (n >= -2**31) & (n < 2**31))
-        return n.astype("Int32")
+        # an optional sign and digits, as the cast reads them
+        digits = z.str.strip().str.extract(r"^([+-]?[0-9]+)$", expand=False)
+        n = pd.Series([None if pd.isna(t) else int(t) for t in digits], dtype="object")
+        return n.where(n.map(lambda x: x is not None and -2**31 <= x < 2**31), None).astype("Int32")
 
     return F.pandas_udf(zip_to_int, "int")
 

@@ -24,6 +24,7 @@ from logledger.plans import reports as rp
 from logledger.session import build_session, scratch_path
 from logledger.sources import counts as cn
 from logledger.sources import files as fl
+from logledger.sources.landing import RESOLVER_SCHEMA, STATE_SCHEMA, read_landed
 from logledger.sources import ratings_files as ml
 
 SHOW = 500
@@ -35,13 +36,16 @@ def _show(title: str, df, n: int = SHOW) -> None:
 
 
 LANDED = "parquet:"
+CONTENT_COLUMNS = {"SHOWTYPE": "int", "TMSID": "string", "SERIESTMSID": "string", "mfsid": "int",
+                   "sourceProgramId": "long", "TITLE": "string"}
+STATION_COLUMNS = {"sourceStationId": "long", "mfsid": "int"}
 
 
-def _side(spark, path):
+def _side(spark, path, schema=None):
     """Raw log lines, or ``parquet:<folder>`` for rows landed by land-resolver /
     land-states (works the same on any file system)."""
     if path.startswith(LANDED):
-        return spark.read.parquet(path[len(LANDED):])
+        return read_landed(spark, path[len(LANDED):], schema or RESOLVER_SCHEMA)
     return fl.read_lines(spark, path)
 
 
@@ -51,7 +55,7 @@ def _rng(lo, hi):
 
 def states(spark, control, candidate, *b):
     """Per-side state counts (bounds optional)."""
-    c, d = _side(spark, control), _side(spark, candidate)
+    c, d = _side(spark, control, STATE_SCHEMA), _side(spark, candidate, STATE_SCHEMA)
     cr, dr = (_rng(b[0], b[1]), _rng(b[2], b[3])) if len(b) >= 4 else (None, None)
     for name, df in rc.state_report(c, d, cr, dr).items():
         _show(name, df)
@@ -59,7 +63,7 @@ def states(spark, control, candidate, *b):
 
 def states_crosstab(spark, control, candidate, cl, cu, dl, du):
     """R2: side-by-side counts by state, resource, resource+state, state+resource."""
-    c, d = _side(spark, control), _side(spark, candidate)
+    c, d = _side(spark, control, STATE_SCHEMA), _side(spark, candidate, STATE_SCHEMA)
     # all groupings from one pass over the logs; the small result is cached
     allg = rc.state_crosstab_all(c, d, _rng(cl, cu), _rng(dl, du), totals=True).persist()
     _show("parsed rows per side", allg.filter(F.col("grouping") == "total").select("control_sum", "candidate_sum"))
@@ -84,18 +88,18 @@ def resolver_shared(spark, control, candidate, lower, upper, count_only="false")
         count_only=count_only.lower() == "true", totals=True))
 
 
-def resolver_details(spark, control, candidate, lower, upper, *resources):
-    """Top 50 matched discrepancies per resource."""
+def resolver_details(spark, control, candidate, lower, upper, *resources, n=50):
+    """The n largest matched discrepancies per resource."""
     _show("top discrepancies", rc.matched_differences(
         _side(spark, control), _side(spark, candidate), int(lower),
-        open_upper(int(upper)), list(resources), 50))
+        open_upper(int(upper)), list(resources), n))
 
 
-def resolver_one_sided(spark, control, candidate, lower, upper, state, *resources):
-    """Entries resolved on one side only, first 500 per resource."""
+def resolver_one_sided(spark, control, candidate, lower, upper, state, *resources, n=SHOW):
+    """Entries resolved on one side only, n per resource shown."""
     _show("one-sided entries", rc.one_sided_keys(
         _side(spark, control), _side(spark, candidate), int(lower), int(upper),
-        state, list(resources), 500))
+        state, list(resources), n))
 
 
 def count_compare(spark, control, candidate, name, include_totals="false"):
@@ -116,14 +120,14 @@ def size_compare(spark, *named_paths):
 
 def content_overlays(spark, csv, out, fmt="parquet"):
     """Categorise, pack ids, count per type, write (overwrite)."""
-    o = ov.content_overlays(fl.read_csv(spark, csv))
+    o = ov.content_overlays(fl.read_csv(spark, csv, columns=CONTENT_COLUMNS))
     _show("count by type", ov.overlay_type_counts(o))
     ov.save_overlays(o, None, fmt, out)
 
 
 def station_overlays(spark, csv, out, fmt="parquet"):
     """Station ids packed and appended."""
-    ov.save_overlays(None, ov.station_overlays(fl.read_csv(spark, csv)), fmt, out)
+    ov.save_overlays(None, ov.station_overlays(fl.read_csv(spark, csv, columns=STATION_COLUMNS)), fmt, out)
 
 
 def flights(spark, path):
@@ -166,9 +170,9 @@ def _ml_inputs(spark, ratings, personal, movies):
 
 
 def recommend(spark, ratings, personal, movies, user="0"):
-    """Tuned ALS, test gain, top 10 unrated movies of the user."""
+    """Tuned ALS, test gain, the unrated movies of the user, best first."""
     r, p, m = _ml_inputs(spark, ratings, personal, movies)
-    report, recs = rm.recommender_job(r, m, p, int(user))
+    report, recs = rm.recommender_job(r, m, p, int(user), k=None)
     _show("grid", report)
     _show("recommendations", recs, 50)
 
@@ -178,10 +182,10 @@ def recommend_source(spark, fmt, ratings, personal, movies, out, user="0"):
     _show("written", rm.recommender_from_source(spark, fmt, ratings, personal, movies, out, int(user)))
 
 
-def recommend_coldstart(spark, ratings, personal, movies, user="0"):
-    """Cold-start drop, grid, both kinds of top 10 for the user."""
+def recommend_coldstart(spark, ratings, personal, movies, user="0", other="6001"):
+    """Cold-start drop, grid, both kinds of top 10 for the new user and an existing one."""
     r, p, m = _ml_inputs(spark, ratings, personal, movies)
-    for name, df in rm.coldstart_job(r, p, m, int(user)).items():
+    for name, df in rm.coldstart_job(r, p, m, [int(user), int(other)]).items():
         _show(name, df)
 
 

@@ -18,8 +18,3 @@ def side_sums(tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
 def group_count(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
-
-def rmse(pred: DataFrame, label: str = "rating", prediction: str = "prediction") -> DataFrame:
-    """One-row frame ``rmse = sqrt(avg((label - prediction)^2))``."""
-    d = F.col(label).cast("double") - F.col(prediction).cast("double")
-    return pred.agg(F.sqrt(F.avg(d * d)).alias("rmse"))

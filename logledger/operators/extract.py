@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 ACCESS_PATTERN = (r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] '
                   r'"(\S+) (\S+) (\S+)" (\d{3}) (\d+)')
-STATE_VALUES = "PUBLISH|NOPUBLISH|UNPUBLISH"
-STATE_PATTERN = r"\[listener\-\d{%d}\] - (" + STATE_VALUES + r") (\w+)%s(\d+) \((\d+)\)"
+STATE_PATTERN = r"\[listener\-\d{%d}\] - (PUBLISH|NOPUBLISH|UNPUBLISH) (\w+)%s(\d+) \((\d+)\)"
 RESOLVER_PATTERN = r"RESOLVE (%s)%s(\d+) \((\d+) replacing (\w+)\) , (\d+) dirty"
 NEW_MARK = "empty"          # old publication id of a first resolution
 # separator between resource and id, per side
@@ -126,11 +125,6 @@ def tag_side(df: DataFrame, side: str) -> DataFrame:
         "candidate_n": F.lit(1 if side == "candidate" else 0)})
 
 
-def extract_states_tagged(lines: DataFrame, side: str, listener_digits: int = 1,
-                          col: str = "value") -> DataFrame:
-    return tag_side(extract_states(lines, side, listener_digits, col), side)
-
-
 # X5 / X6 -------------------------------------------------------------------
 RAW_RESOLVER_COLUMNS = ["resource", "rovi_id", "pub_id", "old_pub_id", "state", "dirty_size"]
 
@@ -141,29 +135,28 @@ def extract_resolver_raw(lines: DataFrame, dialect: str = "control",
     """Resolver lines -> (resource, rovi_id, pub_id, old_pub_id, state, dirty_size).
 
     ``state`` is ``new`` when the old id is the word ``empty``, else ``update``.
-    ``resources`` keeps only the named resources; an unanchored alternation of
-    names followed by the dialect separator is the same as exact equality, so
-    an ``isin`` filter is used (pushed below the projection, no per-row regex
-    compilation).  Landed rows pass through (the resource list becomes a
-    partition filter there).
+    ``resources`` keeps only the named resources: their names are in the
+    pattern, so on a line with several resolutions the first wanted one counts.
+    A dirty size beyond a long fails the job rather than leaving the sums.
+    Landed rows pass through (the resource list becomes a partition filter
+    there).
     """
     if not is_lines(lines, col):
         g = lines if resources is None else lines.filter(F.col("resource").isin(list(resources)))
         return g.select(*RAW_RESOLVER_COLUMNS)
-    pat = RESOLVER_PATTERN % (r"\w+", _sep(dialect))
+    names = r"\w+" if resources is None else "|".join(rf"\Q{r}\E" for r in resources)
+    pat = RESOLVER_PATTERN % (names, _sep(dialect))
     literal_sep = " " if dialect == "control" else "-"
     # with a resource list only lines naming one of them can match
     require = ([f"RESOLVE {r}{literal_sep}" for r in resources] if resources is not None
                else ["RESOLVE "])
     g = extract_groups(lines, pat, ["resource", "rovi_id", "pub_id", "old_pub_id", "dirty_size"], col,
                        require=require)
-    if resources is not None:
-        g = g.filter(F.col("resource").isin(list(resources)))
     return g.select(
         "resource", _long("rovi_id").alias("rovi_id"), _long("pub_id").alias("pub_id"),
         "old_pub_id",
         F.when(F.col("old_pub_id") == NEW_MARK, "new").otherwise("update").alias("state"),
-        _int("dirty_size").alias("dirty_size"))
+        F.col("dirty_size").cast("bigint").alias("dirty_size"))
 
 
 def extract_resolver_tagged(lines: DataFrame, side: str, count_only: bool = False,
@@ -174,8 +167,8 @@ def extract_resolver_tagged(lines: DataFrame, side: str, count_only: bool = Fals
     ``count_only``; the other side's measure is 0.
     """
     raw = extract_resolver_raw(lines, side, None, col)
-    m = F.lit(1) if count_only else F.col("dirty_size")
-    zero = F.lit(0)
+    m = F.lit(1).cast("bigint") if count_only else F.col("dirty_size")
+    zero = F.lit(0).cast("bigint")
     return raw.select("resource", "rovi_id", "pub_id", "state",
                       (m if side == "control" else zero).alias("control_n"),
                       (m if side == "candidate" else zero).alias("candidate_n"))

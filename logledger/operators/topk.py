@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+GROUP_PARTS = 16
+
+
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
@@ -36,13 +39,18 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str | C
                     n: int | None, rank_col: str | None = None) -> DataFrame:
     """Keep the first ``n`` rows of every group by ``order`` (all rows when n is None).
 
-    ``row_number() <= n`` is planned with a partial ``WindowGroupLimit`` before
-    the shuffle, so a hot group sends at most n rows per map task instead of
-    all its rows to one reducer.  ``order`` should end in a unique tie-break.
+    In two stages, whatever n is: a group is dealt into ``GROUP_PARTS`` parts
+    by a hash of the whole row, each part keeps its first n, and the group's
+    first n are taken from those.  A hot group is ranked by as many tasks, and
+    the last one sees n rows of each part at most.  ``order`` should end in a
+    unique tie-break.
     """
     if n is None:
         return df
-    w = Window.partitionBy(*group).orderBy(*_cols(order))
     rc = rank_col or "_rn"
-    out = df.withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n)
+    dealt = df.withColumn("_part", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(GROUP_PARTS)))
+    for keys in ([*group, "_part"], list(group)):
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        dealt = dealt.withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n)
+    out = dealt.drop("_part")
     return out if rank_col else out.drop(rc)

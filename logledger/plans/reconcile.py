@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logledger.functions.flags import drift_flag
@@ -173,44 +173,35 @@ def matched_differences(control: DataFrame, candidate: DataFrame, lower: int | N
 
 # R6 ------------------------------------------------------------------------
 def one_sided_keys(control: DataFrame, candidate: DataFrame, lower: int | None, upper: int | None,
-                   state: str, resources: Sequence[str], n: int | None = None,
-                   materialize: bool = False) -> DataFrame:
+                   state: str, resources: Sequence[str], n: int | None = None) -> DataFrame:
     """Entries (resource, rovi_id, state) resolved on one side only.
 
-    Equivalent to a full outer join keeping rows with a missing side, written
-    as two anti joins: matched keys never pair up, so keys repeated on both
-    sides cannot multiply rows.  Control-only rows (flag 0) come first.
-
-    Each side feeds both joins.  ``materialize=True`` extracts each side once
-    and writes the (filtered, much smaller) rows as a reliable checkpoint in
-    ``spark.checkpoint.dir`` before the joins, instead of running the
-    extraction over the raw lines twice (eager: runs the extraction jobs).
+    Equivalent to a full outer join keeping rows with a missing side: each
+    side is extracted once, both are brought together by key in one exchange,
+    and a key stays if it has rows of one side only; keys repeated on both
+    sides cannot multiply rows.  Control-only rows (flag 0) come first.  With
+    ``n``, the first n rows of each resource in order; without, all rows,
+    unsorted: the result is as large as what differs.
     """
     keys = ["resource", "rovi_id", "state"]
 
-    def side(lines, dialect, pfx):
+    def side(lines, dialect, flag):
         return (extract_resolver_raw(lines, dialect, resources)
                 .filter(within("rovi_id", lower, open_upper(upper)) & (F.col("state") == state))
-                .select(*keys, F.col("pub_id").alias(f"{pfx}_pub_id"),
-                        F.col("dirty_size").alias(f"{pfx}_dirty_size")))
-
-    c, d = side(control, "control", "control"), side(candidate, "candidate", "candidate")
-    if materialize:
-        c, d = c.checkpoint(eager=True), d.checkpoint(eager=True)
-    only_c = c.join(d.select(*keys), keys, "left_anti").select(
-        *keys, "control_pub_id", "control_dirty_size",
-        F.lit(None).cast("long").alias("candidate_pub_id"),
-        F.lit(None).cast("int").alias("candidate_dirty_size"), F.lit(0).alias("flag"))
-    only_d = d.join(c.select(*keys), keys, "left_anti").select(
-        *keys, F.lit(None).cast("long").alias("control_pub_id"),
-        F.lit(None).cast("int").alias("control_dirty_size"),
-        "candidate_pub_id", "candidate_dirty_size", F.lit(1).alias("flag"))
-    both = only_c.unionByName(only_d)
+                .select(*keys, "pub_id", "dirty_size", F.lit(flag).alias("flag")))
+
+    both = side(control, "control", 0).unionByName(side(candidate, "candidate", 1))
+    of_key = Window.partitionBy(*keys)
+    both = both.withColumn("_other", F.min("flag").over(of_key) != F.max("flag").over(of_key)).filter(~F.col("_other"))
+    only = lambda c, flag: F.when(F.col("flag") == flag, F.col(c))
+    both = both.select(
+        "resource", "rovi_id", "flag",
+        only("pub_id", 0).alias("control_pub_id"), only("dirty_size", 0).alias("control_dirty_size"),
+        only("pub_id", 1).alias("candidate_pub_id"), only("dirty_size", 1).alias("candidate_dirty_size"))
     order = ["flag", "control_pub_id", "candidate_pub_id", "rovi_id"]
-    both = top_n_per_group(both, ["resource"], order, n)
-    return (both.orderBy("resource", *order)
-            .select("resource", "rovi_id", "control_pub_id", "control_dirty_size",
-                    "candidate_pub_id", "candidate_dirty_size"))
+    if n is not None:
+        both = top_n_per_group(both, ["resource"], order, n).orderBy("resource", *order)
+    return both.drop("flag")
 
 
 # R7 / R8 -------------------------------------------------------------------

@@ -131,19 +131,21 @@ def access_records(lines: DataFrame) -> DataFrame:
 
 
 def access_value_join(lines: DataFrame, prices: DataFrame, price_col: str = "price",
-                      keep: tuple[str, ...] = ("item_id", "brand"), salts: int | None = None) -> DataFrame:
+                      keep: tuple[str, ...] = ("item_id", "brand"), salts: int | None = None,
+                      partitions: int | None = None) -> DataFrame:
     """Access records joined to a price list where price == content size, with
     year and month of the request.
 
-    The join key has few distinct values (sizes), so a hot size is a skewed
-    partition: AQE's skew-join split handles it in the sort-merge plan, and
-    the planner broadcasts the price list when its estimated size is small.
-    ``salts`` forces a salted join instead (hot sizes spread over that many
-    tasks, the price list replicated per salt).
+    A hot size is a skewed partition: AQE's skew-join split handles it in the
+    sort-merge plan, and the planner broadcasts the price list when its
+    estimated size is small.  ``salts`` forces a salted join instead (hot sizes
+    spread over that many tasks, the price list replicated per salt);
+    ``partitions`` deals the records first, for one-file logs whose sizes meet
+    many prices.
     """
-    # every size meets many prices: spread the (parsed, small) log side so the
-    # fan-out is produced by many tasks, not by the few that read the file
-    log = spread(access_records(lines))
+    log = access_records(lines)
+    if partitions:
+        log = spread(log, partitions)
     if salts:
         j = salted_join(log, prices, "content_size", price_col, salts)
     else:

@@ -66,7 +66,7 @@ def catalog_table_counts(spark: SparkSession, database: str | None = None,
     """(resource, count) for every table and view of a database whose name does
     not start with ``exclude_prefix`` - one union plan, one count per table."""
     names = sorted(t.name for t in spark.catalog.listTables(database)
-                   if not t.name.startswith(exclude_prefix))
+                   if not t.name.startswith(exclude_prefix) and not (database and t.isTemporary))
     return table_counts({n: spark.table(f"{database}.{n}" if database else n) for n in names})
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -15,10 +16,14 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              header: bool = True, sep: str = ",", encoding: str = "UTF-8",
-             infer_sampling: float = 1.0) -> DataFrame:
-    """CSV with header.  With ``schema`` no inference pass is made (use it at
-    scale); without it types are inferred, optionally from a sample."""
+             infer_sampling: float = 1.0, columns: Mapping[str, str] | None = None) -> DataFrame:
+    """CSV with header.  ``columns`` (name -> type) picks fields by their names
+    in the header and casts them, ``schema`` takes all fields in file order;
+    neither makes an inference pass (use them at scale).  Without both, types
+    are inferred, optionally from a sample."""
     r = spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
+    if columns is not None:
+        return r.csv(path).select(*[F.col(c).cast(k).alias(c) for c, k in columns.items()])
     if schema is not None:
         r = r.schema(schema)
     else:

@@ -11,39 +11,32 @@ landed rows).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logledger.operators.extract import extract_resolver_raw, extract_states
 
+RESOLVER_SCHEMA = "rovi_id long, pub_id long, old_pub_id string, state string, dirty_size long, resource string"
+STATE_SCHEMA = "rovi_id long, state string, pub_id long, resource string"
 
-ENTITY_KEY = ["resource", "rovi_id", "state"]
 
-
-def land_resolver(lines: DataFrame, dialect: str, path: str, mode: str = "overwrite") -> None:
-    """Resolver lines -> parquet of (resource, rovi_id, pub_id, old_pub_id, state, dirty_size)."""
-    (extract_resolver_raw(lines, dialect).sortWithinPartitions("resource", "pub_id")
-     .write.mode(mode).partitionBy("resource").parquet(path))
+def _land(rows: DataFrame, path: str, mode: str, tasks: int) -> None:
+    """Parquet partitioned by resource; a resource's rows meet in ``tasks`` tasks, so in as many files."""
+    part = F.pmod(F.xxhash64("pub_id", "rovi_id"), F.lit(tasks))
+    (rows.withColumn("_part", part).repartition("resource", "_part").drop("_part")
+     .sortWithinPartitions("resource", "pub_id").write.mode(mode).partitionBy("resource").parquet(path))
 
 
-def land_resolver_bucketed(lines: DataFrame, dialect: str, table: str, buckets: int,
-                           path: str | None = None, mode: str = "overwrite") -> None:
-    """Resolver rows as a catalogue table bucketed by (resource, rovi_id, state).
-
-    Both sides landed with the same bucket count join on that key without a
-    shuffle (the one-sided-keys report), and each bucket is sorted, so the
-    sort-merge join needs no sort either."""
-    w = (extract_resolver_raw(lines, dialect).write.mode(mode).format("parquet")
-         .bucketBy(buckets, *ENTITY_KEY).sortBy(*ENTITY_KEY))
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(table)
+def land_resolver(lines: DataFrame, dialect: str, path: str, mode: str = "overwrite", tasks: int = 8) -> None:
+    """Resolver lines -> parquet of (resource, rovi_id, pub_id, old_pub_id, state, dirty_size)."""
+    _land(extract_resolver_raw(lines, dialect), path, mode, tasks)
 
 
 def land_states(lines: DataFrame, dialect: str, path: str, listener_digits: int = 1,
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", tasks: int = 8) -> None:
     """State lines -> parquet of (rovi_id, resource, state, pub_id)."""
-    (extract_states(lines, dialect, listener_digits).sortWithinPartitions("resource", "pub_id")
-     .write.mode(mode).partitionBy("resource").parquet(path))
+    _land(extract_states(lines, dialect, listener_digits), path, mode, tasks)
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_landed(spark: SparkSession, path: str, schema: str = RESOLVER_SCHEMA) -> DataFrame:
+    """Landed rows by a fixed schema: a resource named ``007`` stays text."""
+    return spark.read.schema(schema).parquet(path)

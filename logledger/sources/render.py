@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 STATE_PUB_BASE = 25_000_000_000          # state log: pub_id = base + o_orderkey
 RESOLVER_PUB_BASE = 10_000_000_000       # resolver log: base + orderkey*10 + linenumber
-STATE_CONTROL_GAP, STATE_CANDIDATE_GAP = 17, 13     # every n-th order lost on that side
+STATE_CONTROL_GAP, STATE_CANDIDATE_GAP = 17, 13     # every n-th order from a listener of two digits
 LISTENERS = 12                           # listeners 0..11; 10 and 11 fail the 1-digit test
-DETAIL_CONTROL_GAP, DETAIL_CANDIDATE_GAP = 3, 4
+DETAIL_CONTROL_GAP, DETAIL_CANDIDATE_GAP = 3, 4     # every n-th order in a line that is not a resolution
 DETAIL_BUMP_EVERY, DETAIL_BUMP_SUPP, DETAIL_BUMP_STEP = 5, 7, 6
 ACCESS_OFFSET = "-0800"
 ACCESS_BAD_EVERY = 11                    # every 11th event has size '-' (line dropped)
 ACCESS_IPS = 250
+ACCESS_HOT_EVERY, ACCESS_HOT_REST, HOT_SIZE = 10, 3, 0  # a tenth of the requests have one size
+PRICE_STEP = 5                           # price = part key * 5: about one request each
 
 
 def _state_word(status: Column) -> Column:
@@ -33,19 +35,22 @@ def _state_word(status: Column) -> Column:
 
 
 def _state_resource(priority: Column) -> Column:
-    return F.lower(F.regexp_replace(F.substring(priority, 3, 1 << 20), " ", "_"))
+    return F.lower(F.regexp_replace(F.substr(priority, F.lit(3)), " ", "_"))
 
 
 def state_lines(orders: DataFrame, side: str) -> DataFrame:
-    """Publish-state log lines of one side from ``orders``."""
+    """Publish-state log lines of one side from ``orders``, one per order.
+
+    Every gap-th order comes from listener 10 or later, which extraction
+    refuses: that is how the sides come to differ."""
     gap = STATE_CONTROL_GAP if side == "control" else STATE_CANDIDATE_GAP
     sep = " " if side == "control" else "-"
-    o = orders.filter(F.col("o_orderkey") % gap != 0)
-    line = _text("2017-02-06 10:00:00,123 INFO  [listener-", F.col("o_custkey") % LISTENERS, "] - ",
+    listener = F.col("o_custkey") % LISTENERS + F.when(F.col("o_orderkey") % gap == 0, 10).otherwise(0)
+    line = _text("2017-02-06 10:00:00,123 INFO  [listener-", listener, "] - ",
                  _state_word(F.col("o_orderstatus")), " ", _state_resource(F.col("o_orderpriority")),
                  sep, F.col("o_orderkey"), " (", F.col("o_orderkey") + F.lit(STATE_PUB_BASE),
                  ") transform done")
-    return o.select(line.alias("value"))
+    return orders.select(line.alias("value"))
 
 
 def _text(*parts) -> Column:
@@ -55,10 +60,10 @@ def _text(*parts) -> Column:
 
 
 def _resolver_line(side: str, resource: Column, orderkey: Column, pub: Column,
-                   old: Column, dirty: Column, listener: Column) -> Column:
+                   old: Column, dirty: Column, listener: Column, verb: Column | None = None) -> Column:
     sep = " " if side == "control" else "-"
-    return _text("INFO [listener-", listener, "] - RESOLVE ", resource, sep, orderkey, " (", pub,
-                 " replacing ", old, ") , ", dirty, " dirty size: 2024b poll: 3ms")
+    return _text("INFO [listener-", listener, "] - ", F.lit("RESOLVE ") if verb is None else verb, resource, sep,
+                 orderkey, " (", pub, " replacing ", old, ") , ", dirty, " dirty entries merged")
 
 
 def _resolver_parts(li: DataFrame) -> dict[str, Column]:
@@ -95,23 +100,25 @@ def resolver_drift_lines(lineitem: DataFrame, side: str) -> DataFrame:
 
 
 def resolver_detail_lines(lineitem: DataFrame, side: str) -> DataFrame:
-    """Resolver lines for the detail reports: each side loses a different set of
-    orders, and the candidate's size grows on every 5th order."""
+    """Resolver lines for the detail reports, one per row: each side postpones a
+    different set of orders (extraction drops those lines), and the
+    candidate's size grows on every 5th order."""
     gap = DETAIL_CONTROL_GAP if side == "control" else DETAIL_CANDIDATE_GAP
-    li = lineitem.filter(F.col("l_orderkey") % gap != 0)
-    p = _resolver_parts(li)
+    verb = F.when(F.col("l_orderkey") % gap == 0, "POSTPONE ").otherwise("RESOLVE ")
+    p = _resolver_parts(lineitem)
     dirty = p["dirty"]
     if side == "candidate":
         dirty = dirty + F.when(F.col("l_orderkey") % DETAIL_BUMP_EVERY == 0,
                                (F.col("l_suppkey") % DETAIL_BUMP_SUPP) * DETAIL_BUMP_STEP).otherwise(0)
-    return li.select(_resolver_line(side, p["resource"], p["orderkey"], p["pub"],
-                                    p["old"], dirty, p["listener"]).alias("value"))
+    return lineitem.select(_resolver_line(side, p["resource"], p["orderkey"], p["pub"],
+                                          p["old"], dirty, p["listener"], verb).alias("value"))
 
 
 def access_lines(events: DataFrame) -> DataFrame:
     """Access-log lines from ``events`` (time written as local time at -0800)."""
-    size = F.when(F.col("event_id") % ACCESS_BAD_EVERY == 0, F.lit("-")).otherwise(
-        F.floor("value").cast("long").cast("string"))
+    hot = F.col("event_id") % ACCESS_HOT_EVERY == ACCESS_HOT_REST
+    size = F.when(F.col("event_id") % ACCESS_BAD_EVERY == 0, F.lit("-")).when(
+        hot, F.lit(str(HOT_SIZE))).otherwise(F.col("event_id").cast("string"))
     line = _text("10.0.0.", F.col("user_id") % ACCESS_IPS, " - - [",
                  F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), " " + ACCESS_OFFSET + '] "GET /',
                  F.col("event_type"), ' HTTP/1.1" ',
@@ -120,28 +127,30 @@ def access_lines(events: DataFrame) -> DataFrame:
 
 
 def price_list(part: DataFrame) -> DataFrame:
-    """Price list keyed by part: price = p_size."""
+    """Price list keyed by part, one price each; part 1 has the requests' hot size."""
+    price = F.when(F.col("p_partkey") == 1, HOT_SIZE).otherwise(F.col("p_partkey") * PRICE_STEP).cast("int")
     return part.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"),
-                       F.col("p_brand").alias("brand"), F.col("p_size").alias("price"))
+                       F.col("p_brand").alias("brand"), price.alias("price"))
 
 
 # count files ---------------------------------------------------------------
 def priority_counts(orders: DataFrame, env: str) -> DataFrame:
-    """(resource, count) per order priority for one environment.
+    """(resource, count) per order priority for one environment; every order counts somewhere.
 
-    control: all priorities but ``5-LOW``; candidate: orders with an even key;
-    third: orders whose key is a multiple of 3.
+    control: ``5-LOW`` is kept under a name with the prefix ``MX``; candidate:
+    orders with an odd key are under names with ``Published``; third: orders
+    whose key is no multiple of 3 are under ``Other``.
     """
+    name = F.col("o_orderpriority")
     if env == "control":
-        o = orders.filter(F.col("o_orderpriority") != "5-LOW")
+        resource = F.when(name == "5-LOW", F.concat(F.lit("MX"), name)).otherwise(name)
     elif env == "candidate":
-        o = orders.filter(F.col("o_orderkey") % 2 == 0)
+        resource = F.when(F.col("o_orderkey") % 2 == 0, name).otherwise(F.concat(F.lit("Published"), name))
     elif env == "third":
-        o = orders.filter(F.col("o_orderkey") % 3 == 0)
+        resource = F.when(F.col("o_orderkey") % 3 == 0, name).otherwise(F.lit("Other"))
     else:
         raise ValueError(env)
-    return o.groupBy(F.col("o_orderpriority").alias("resource")).agg(
-        F.count(F.lit(1)).alias("count"))
+    return orders.groupBy(resource.alias("resource")).agg(F.count(F.lit(1)).alias("count"))
 
 
 # catalogue -----------------------------------------------------------------
@@ -172,7 +181,8 @@ def zips_rows(customer: DataFrame, nation: DataFrame) -> DataFrame:
 
     ``nation`` is a fixed 25-row dimension, so it is broadcast."""
     c = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey)
-    return c.select(F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("_id"),
+    key = F.col("c_custkey").cast("string")
+    return c.select(F.when(F.length(key) < 5, F.lpad(key, 5, "0")).otherwise(key).alias("_id"),
                     F.col("c_mktsegment").alias("city"),
                     F.array(F.col("c_acctbal"), F.col("n_nationkey").cast("double")).alias("loc"),
                     F.col("c_acctbal").cast("long").alias("pop"),

@@ -80,3 +80,19 @@ def test_one_regex_pass_matches_rlike_extract(spark):
         *[F.regexp_extract("value", pat, i + 1).alias(n) for i, n in enumerate(names)])
     assert fast == sorted(tuple(r) for r in ref.collect())
     assert len(fast) == 3
+
+
+def test_second_resolution_on_a_line_counts_if_only_that_one_is_wanted(lines):
+    log = lines("RESOLVE A 1 (2 replacing 3) , 4 dirty RESOLVE B 5 (6 replacing empty) , 7 dirty")
+    got = extract_resolver_raw(log, "control", ["B"]).collect()
+    assert [(r.resource, r.rovi_id, r.dirty_size, r.state) for r in got] == [("B", 5, 7, "new")]
+    assert extract_resolver_raw(log, "control", ["C.*"]).count() == 0
+
+
+def test_large_dirty_sizes_stay_in_the_sums(lines):
+    import pytest
+    from logledger.plans import reconcile as rc
+    log = lines("RESOLVE A 1 (2 replacing 3) , 3000000000 dirty", "RESOLVE A 1 (2 replacing 3) , 5 dirty")
+    assert rc.resolver_drift(log, log.limit(0), (0, None)).first().control_sum == 3_000_000_005
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|overflow"):
+        extract_resolver_raw(lines("RESOLVE A 1 (2 replacing 3) , 99999999999999999999 dirty"), "control").collect()

@@ -1,5 +1,6 @@
 """Reports over landed (parquet) rows equal the reports over raw lines."""
 
+
 import contextlib
 import io
 
@@ -40,27 +41,24 @@ def test_state_reports_on_landed_rows(spark, tmp_path):
     c, d = rd.state_lines(o, "control"), rd.state_lines(o, "candidate")
     ld.land_states(c, "control", str(tmp_path / "c"))
     ld.land_states(d, "candidate", str(tmp_path / "d"))
-    lc, lcand = ld.read_landed(spark, str(tmp_path / "c")), ld.read_landed(spark, str(tmp_path / "d"))
+    lc, lcand = ld.read_landed(spark, str(tmp_path / "c"), ld.STATE_SCHEMA), ld.read_landed(spark, str(tmp_path / "d"), ld.STATE_SCHEMA)
     assert _same(rc.state_crosstab_all(c, d, (0, None), (25000000100, None)),
                  rc.state_crosstab_all(lc, lcand, (0, None), (25000000100, None)))
 
 
-def test_bucketed_sides_join_without_shuffle(spark, tmp_path):
-    from logledger.session import scratch_path
-    li = t(spark, SF_SMALL, "lineitem")
-    c, d = rd.resolver_detail_lines(li, "control"), rd.resolver_detail_lines(li, "candidate")
-    ld.land_resolver_bucketed(c, "control", "bk_control", 8, path=scratch_path(spark, "bk_control"))
-    ld.land_resolver_bucketed(d, "candidate", "bk_candidate", 8, path=scratch_path(spark, "bk_candidate"))
-    res = ["ResAF", "ResNO"]
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # force the sort-merge plan
-    try:
-        got = rc.one_sided_keys(spark.table("bk_control"), spark.table("bk_candidate"), 0, -1, "update", res)
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            got.explain()
-        plan = buf.getvalue()
-        assert plan.count("LeftAnti") == 2 and "hashpartitioning" not in plan
-        assert _same(got, rc.one_sided_keys(c, d, 0, -1, "update", res))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+def test_numeric_resource_names_stay_text(spark, tmp_path, lines):
+    log = lines("x RESOLVE 007 5 (9 replacing empty) , 3 dirty", "x RESOLVE 08 5 (9 replacing empty) , 4 dirty")
+    ld.land_resolver(log, "control", str(tmp_path / "n"), tasks=2)
+    back = ld.read_landed(spark, str(tmp_path / "n"))
+    raw = rc.resolver_drift(log, log.limit(0), (0, None))
+    assert sorted(r.resource for r in back.collect()) == ["007", "08"]
+    assert sorted(r.resource for r in rc.resolver_drift(back, back.limit(0), (0, None)).collect()) == sorted(
+        r.resource for r in raw.collect())
+
+
+def test_landing_writes_few_files(spark, tmp_path):
+    import glob
+    li = t(spark, SF_SMALL, "lineitem").repartition(20)
+    ld.land_resolver(rd.resolver_drift_lines(li, "control"), "control", str(tmp_path / "f"), tasks=2)
+    folders = glob.glob(f"{tmp_path}/f/resource=*")
+    assert len(folders) == 6 and all(len(glob.glob(f"{f}/*.parquet")) <= 2 for f in folders)

@@ -96,19 +96,40 @@ def test_catalog_table_counts_skips_system_prefix(spark):
     assert got["cnt_alpha"] == 3 and "system_hidden" not in got
 
 
-def test_size_checked_broadcast_and_checkpoint(spark):
-    import contextlib
-    import io
-
+def test_checkpoint_is_reliable(spark):
     from logledger import sinks
-    from logledger.operators.joins import is_at_most, join_small
-    big = spark.range(10_000).withColumn("k", F.col("id") % 100)
-    small = spark.range(100).withColumnRenamed("id", "k")
-    assert is_at_most(small, 100) and not is_at_most(big, 100)
-    j = join_small(big, small, "k", max_rows=100)
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        j.explain()
-    assert "BroadcastHashJoin" in buf.getvalue() and j.count() == 10_000
-    c = sinks.checkpoint(big.filter("k < 3"))           # reliable, into spark.checkpoint.dir
+    c = sinks.checkpoint(spark.range(10_000).withColumn("k", F.col("id") % 100).filter("k < 3"))
     assert c.count() == 300
+
+
+def test_drop_mode_drops_lines_whose_fields_are_no_numbers(spark, lines):
+    text = lines("1::2::3.5::4", "a::2::3::4", "1::2::x::4", "1::2::3")
+    assert [tuple(r) for r in ml.parse_ratings(text, mode="drop").collect()] == [(1, 2, 3.5)]
+    movies = lines("1::T::A|B", "x::T::A")
+    assert [r.id for r in ml.parse_movies(movies, mode="drop").collect()] == [1]
+
+
+def test_zips_keep_keys_of_six_digits(spark):
+    from logledger.sources import render as rd
+    customer = spark.createDataFrame([(7, 0, "A", 1.0), (99_999, 0, "A", 1.0), (150_000, 0, "A", 1.0)],
+                                     "c_custkey long, c_nationkey int, c_mktsegment string, c_acctbal double")
+    nation = spark.createDataFrame([(0, "N")], "n_nationkey int, n_name string")
+    assert sorted(r._id for r in rd.zips_rows(customer, nation).collect()) == ["00007", "150000", "99999"]
+
+
+def test_csv_columns_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,b,a\n1,two,3\n")
+    got = fl.read_csv(spark, str(tmp_path / "a.csv"), columns={"a": "int", "b": "string"})
+    assert [tuple(r) for r in got.collect()] == [(3, "two")] and dict(got.dtypes)["a"] == "int"
+
+
+def test_rendered_logs_have_a_line_per_row(spark):
+    from logledger.queries import t
+    from logledger.sources import render as rd
+    from tests.conftest import SF_SMALL
+    orders, items = t(spark, SF_SMALL, "orders"), t(spark, SF_SMALL, "lineitem")
+    for side in ("control", "candidate"):
+        assert rd.state_lines(orders, side).count() == orders.count()
+        assert rd.resolver_detail_lines(items, side).count() == items.count()
+    for env in ("control", "candidate", "third"):
+        assert rd.priority_counts(orders, env).agg(F.sum("count")).first()[0] == orders.count()
