@@ -8,9 +8,10 @@ directly on the tables in SQL, following the fixture rules of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logledger.plans import overlays as ov
@@ -94,18 +95,18 @@ res_rows AS (
          CASE WHEN l_linenumber % 3 = 0 THEN 'empty'
               ELSE CAST(10000000000 + l_orderkey * 10 + l_linenumber - 1 AS VARCHAR) END AS old_pub_id,
          CASE WHEN l_linenumber % 3 = 0 THEN 'new' ELSE 'update' END AS state,
-         CAST(trunc(l_quantity) AS INTEGER) AS d, l_orderkey, l_suppkey
+         CAST(trunc(l_quantity) AS BIGINT) AS d, l_orderkey, l_suppkey
   FROM lineitem)
 """
 
-SQL_DRIFT_CAND = """CASE resource WHEN 'ResAF' THEN d * 2 WHEN 'ResAO' THEN CAST(floor(d * 6 / 5) AS INTEGER)
-  WHEN 'ResNO' THEN CAST(floor(d * 4 / 5) AS INTEGER) WHEN 'ResRF' THEN CAST(floor(d / 2) AS INTEGER)
+SQL_DRIFT_CAND = """CASE resource WHEN 'ResAF' THEN d * 2 WHEN 'ResAO' THEN CAST(floor(d * 6 / 5) AS BIGINT)
+  WHEN 'ResNO' THEN CAST(floor(d * 4 / 5) AS BIGINT) WHEN 'ResRF' THEN CAST(floor(d / 2) AS BIGINT)
   WHEN 'ResRO' THEN d + 1 ELSE d END"""
 
 SQL_DETAIL = """
 det_ctl AS (SELECT resource, rovi_id, pub_id, old_pub_id, state, d FROM res_rows WHERE l_orderkey % 3 <> 0),
 det_cand AS (SELECT resource, rovi_id, pub_id, old_pub_id, state,
-                    CAST(d + CASE WHEN l_orderkey % 5 = 0 THEN (l_suppkey % 7) * 6 ELSE 0 END AS INTEGER) AS d
+                    CAST(d + CASE WHEN l_orderkey % 5 = 0 THEN (l_suppkey % 7) * 6 ELSE 0 END AS BIGINT) AS d
              FROM res_rows WHERE l_orderkey % 4 <> 0)
 """
 
@@ -182,25 +183,27 @@ def q_filter_sort(spark, sf_dir):
 
 
 @query("group_sum_sort", f"""
-WITH {SQL_ZIPS} SELECT state, CAST(sum(pop) AS BIGINT) AS sum_pop FROM zips GROUP BY state""")
+WITH {SQL_ZIPS} SELECT state, CAST(sum(pop) AS BIGINT) AS sum_pop,
+  CAST(row_number() OVER (ORDER BY sum(pop) DESC, state) AS INTEGER) AS position FROM zips GROUP BY state""")
 def q_group_sum_sort(spark, sf_dir):
-    return rp.state_population(zips(spark, sf_dir))
+    return positioned(rp.state_population(zips(spark, sf_dir)))
 
 
 SQL_CITY = f"""
-WITH {SQL_ZIPS} SELECT city, count(zip) AS num_zips, CAST(sum(pop) AS BIGINT) AS population
+WITH {SQL_ZIPS} SELECT city, count(zip) AS num_zips, CAST(sum(pop) AS BIGINT) AS population,
+  CAST(row_number() OVER (ORDER BY sum(pop) DESC, city) AS INTEGER) AS position
 FROM zips WHERE state = '{POP_STATE}' GROUP BY city"""
 
 
 @query("group_count_sum_df", SQL_CITY)
 def q_city_df(spark, sf_dir):
-    return rp.city_population(zips(spark, sf_dir), POP_STATE)
+    return positioned(rp.city_population(zips(spark, sf_dir), POP_STATE))
 
 
 @query("group_count_sum_sql", SQL_CITY)
 def q_city_sql(spark, sf_dir):
     zips(spark, sf_dir).createOrReplaceTempView("zips_view")
-    return rp.city_population_sql(spark, "zips_view", POP_STATE)
+    return positioned(rp.city_population_sql(spark, "zips_view", POP_STATE))
 
 
 @query("json_roundtrip", f"""
@@ -213,47 +216,48 @@ def q_json_roundtrip(spark, sf_dir):
                     F.col("loc")[1].alias("loc_1"))
 
 
-MANAGED_ZIPS = "zips_managed"
+def _managed_zips(spark, sf_dir) -> str:
+    """A managed table: its files are the warehouse's.  The name is new, so nothing of an earlier run is in its way."""
+    from logledger.sinks import cache_table, save_table
+    name = f"zips_{uuid.uuid4().hex}"
+    save_table(zips(spark, sf_dir), name)
+    cache_table(spark, name)
+    return name
 
 
-def _managed_zips(spark, sf_dir):
-    from logledger.sinks import cache_table, save_table
-    spark.sql(f"DROP TABLE IF EXISTS {MANAGED_ZIPS}")
-    save_table(zips(spark, sf_dir), MANAGED_ZIPS, path=scratch_path(spark, MANAGED_ZIPS))
-    cache_table(spark, MANAGED_ZIPS)
-    return fl.read_table(spark, MANAGED_ZIPS)
+def positioned(report: DataFrame) -> DataFrame:
+    """A sorted report of few rows with the place of each row, as it comes out."""
+    placed = report.withColumn("_id", F.monotonically_increasing_id())
+    return placed.withColumn("position", F.row_number().over(Window.orderBy("_id"))).drop("_id")
 
 
 @query("table_roundtrip", f"""
 WITH {SQL_ZIPS} SELECT state, city, zip, pop FROM zips""")
 def q_table_roundtrip(spark, sf_dir):
-    return _managed_zips(spark, sf_dir).select("state", "city", "zip", "pop")
+    return fl.read_table(spark, _managed_zips(spark, sf_dir)).select("state", "city", "zip", "pop")
 
 
 @query("udf_sorted", f"""
 WITH {SQL_ZIPS} SELECT city, CAST(zip AS INTEGER) AS zip_int FROM zips""")
 def q_udf_sorted(spark, sf_dir):
-    _managed_zips(spark, sf_dir)
+    name = _managed_zips(spark, sf_dir)
     rp.register_zip_to_int(spark)
-    return spark.sql(f"SELECT city, zip_to_int(zip) AS zip_int FROM {MANAGED_ZIPS} ORDER BY zip_int")
-
-
-_TABLE_NAMES = ", ".join(f"'{n}'" for n in TABLES)
+    return spark.sql(f"SELECT city, zip_to_int(zip) AS zip_int FROM {name} ORDER BY zip_int")
 
 
-@query("list_tables", f"""
-SELECT DISTINCT table_name AS name, CAST(NULL AS VARCHAR) AS database, 'TEMPORARY' AS table_type,
-       TRUE AS is_temporary
-FROM information_schema.tables WHERE table_name IN ({_TABLE_NAMES})""")
-def q_list_tables(spark, sf_dir):
-    from logledger.sinks import list_tables
+@query("catalog_table_counts", " UNION ALL ".join(
+    f"SELECT 'c_{n}' AS resource, count(*) AS count FROM {n}" for n in TABLES))
+def q_catalog_table_counts(spark, sf_dir):
+    """Row count of every table of a database of the catalogue (external tables over the given files)."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS counted")
     for name in TABLES:
-        t(spark, sf_dir, name).createOrReplaceTempView(name)
-    return list_tables(spark).filter(F.col("name").isin(TABLES))
+        spark.sql(f"DROP TABLE IF EXISTS counted.c_{name}")
+        spark.catalog.createTable(f"counted.c_{name}", path=table_path(sf_dir, name), source="parquet")
+    return cn.catalog_table_counts(spark, "counted")
 
 
 # Fixed value: the new user's own ratings (movie id, rating) and the user id.
-NEW_USER = 1_000_000
+NEW_USER = -1  # no customer has a negative key
 NEW_USER_RATINGS = [(1, 5.0), (2, 4.0), (3, 1.0), (4, 3.0), (5, 5.0), (6, 2.0), (7, 4.0),
                     (8, 1.0), (9, 3.0), (10, 5.0), (11, 2.0), (12, 4.0), (13, 3.0), (14, 1.0),
                     (15, 5.0), (16, 2.0), (17, 4.0), (18, 3.0), (19, 2.0), (20, 5.0)]
@@ -269,7 +273,8 @@ _VALUES = ", ".join(f"({m}, {r})" for m, r in NEW_USER_RATINGS)
 
 @query("inline_rows_sort", f"""
 WITH mine(movie_id, rating) AS (VALUES {_VALUES})
-SELECT CAST(movie_id AS INTEGER) AS movie_id, p_name AS title, CAST(rating AS FLOAT) AS rating
+SELECT CAST(movie_id AS INTEGER) AS movie_id, p_name AS title, CAST(rating AS FLOAT) AS rating,
+  CAST(row_number() OVER (ORDER BY rating DESC, movie_id) AS INTEGER) AS position
 FROM mine JOIN part ON p_partkey = movie_id""")
 def q_inline_rows_sort(spark, sf_dir):
     mine = new_user_ratings(spark)
@@ -277,12 +282,12 @@ def q_inline_rows_sort(spark, sf_dir):
                                            F.col("p_name").alias("title"))
     # 20 literal rows: a fixed-size build side
     j = part.join(F.broadcast(mine), "movie_id")
-    return j.select("movie_id", "title", "rating").orderBy(F.col("rating").desc(), "movie_id")
+    return positioned(j.select("movie_id", "title", "rating").orderBy(F.col("rating").desc(), "movie_id"))
 
 
 # --- R13 access log ---------------------------------------------------------
 SQL_ACCESS = """access AS (
-  SELECT '-' AS client_identd, CAST(floor(value) AS BIGINT) AS content_size,
+  SELECT '-' AS client_identd, CASE WHEN event_id % 10 = 3 THEN 0 ELSE event_id END AS content_size,
          date_trunc('second', ts) + INTERVAL 8 HOUR AS dt, '/' || event_type AS endpoint,
          '10.0.0.' || CAST(user_id % 250 AS VARCHAR) AS ip_address,
          CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS response_code
@@ -298,7 +303,7 @@ def q_access_extract(spark, sf_dir):
 WITH {SQL_ACCESS}
 SELECT p_partkey AS item_id, p_brand AS brand, ip_address, endpoint, content_size,
        CAST(year(dt) AS INTEGER) AS year, CAST(month(dt) AS INTEGER) AS month
-FROM part JOIN access ON p_size = content_size""")
+FROM part JOIN access ON CASE WHEN p_partkey = 1 THEN 0 ELSE p_partkey * 5 END = content_size""")
 def q_access_value_join(spark, sf_dir):
     return rp.access_value_join(rd.access_lines(t(spark, sf_dir, "events")),
                                 rd.price_list(t(spark, sf_dir, "part")))
@@ -311,10 +316,11 @@ def _state_logs(spark, sf_dir):
 
 
 @query("state_counts_control", f"""
-WITH {SQL_STATES.strip()} SELECT resource, state, count(*) AS count FROM ctl GROUP BY resource, state""")
+WITH {SQL_STATES.strip()} SELECT resource, state, count(*) AS count,
+  CAST(row_number() OVER (ORDER BY resource, state) AS INTEGER) AS position FROM ctl GROUP BY resource, state""")
 def q_state_counts_control(spark, sf_dir):
     c, _ = _state_logs(spark, sf_dir)
-    return rc.state_counts(c, "control", STATE_CONTROL_RANGE)
+    return positioned(rc.state_counts(c, "control", STATE_CONTROL_RANGE))
 
 
 @query("state_counts_candidate", f"""
@@ -422,6 +428,24 @@ def q_one_sided_keys(spark, sf_dir):
     return rc.one_sided_keys(c, d, 0, -1, ONE_SIDED_STATE, DETAIL_RESOURCES)
 
 
+@query("one_sided_keys_first", f"""
+WITH {SQL_RESOLVER.strip()}, {SQL_DETAIL.strip()},
+u AS (SELECT 0 AS flag, * FROM det_ctl UNION ALL SELECT 1, * FROM det_cand),
+k AS (SELECT *, min(flag) OVER w <> max(flag) OVER w AS both_sides FROM u
+      WHERE resource IN ({_RES_IN}) AND rovi_id >= 0 AND state = '{ONE_SIDED_STATE}'
+      WINDOW w AS (PARTITION BY resource, rovi_id, state)),
+r AS (SELECT *, row_number() OVER (PARTITION BY resource ORDER BY flag, pub_id, rovi_id, d) AS rn FROM k
+      WHERE NOT both_sides)
+SELECT resource, rovi_id, CASE WHEN flag = 0 THEN pub_id END AS control_pub_id,
+       CASE WHEN flag = 1 THEN pub_id END AS candidate_pub_id,
+       CAST(row_number() OVER (ORDER BY resource, rn) AS INTEGER) AS position FROM r WHERE rn <= 20""")
+def q_one_sided_keys_first(spark, sf_dir):
+    """The report as it is shown: the first rows of each resource, missing side first, then id."""
+    c, d = _detail_logs(spark, sf_dir)
+    top = rc.one_sided_keys(c, d, 0, -1, ONE_SIDED_STATE, DETAIL_RESOURCES, n=20)
+    return positioned(top).drop("control_dirty_size", "candidate_dirty_size")
+
+
 # --- R7 / R8 count files ----------------------------------------------------
 def _count_file(spark, sf_dir, env):
     lines = cn.render_count_lines(rd.priority_counts(t(spark, sf_dir, "orders"), env))
@@ -429,12 +453,12 @@ def _count_file(spark, sf_dir, env):
 
 
 SQL_COUNTS = """
-cc AS (SELECT o_orderpriority AS resource, count(*) AS control_count FROM orders
-       WHERE o_orderpriority <> '5-LOW' GROUP BY 1),
-dc AS (SELECT o_orderpriority AS resource, count(*) AS candidate_count FROM orders
-       WHERE o_orderkey % 2 = 0 GROUP BY 1),
-tc AS (SELECT o_orderpriority AS resource, count(*) AS third_count FROM orders
-       WHERE o_orderkey % 3 = 0 GROUP BY 1)"""
+cc AS (SELECT CASE o_orderpriority WHEN '5-LOW' THEN 'MX5-LOW' ELSE o_orderpriority END AS resource,
+              count(*) AS control_count FROM orders GROUP BY 1),
+dc AS (SELECT CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE 'Published' || o_orderpriority END AS resource,
+              count(*) AS candidate_count FROM orders GROUP BY 1),
+tc AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE 'Other' END AS resource,
+              count(*) AS third_count FROM orders GROUP BY 1)"""
 
 
 @query("count_compare", f"""
@@ -671,13 +695,6 @@ def q_resolver_drift_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@query("one_sided_keys_materialized", ORACLE["one_sided_keys"])
-def q_one_sided_keys_materialized(spark, sf_dir):
-    """R6 with each side extracted once into a reliable checkpoint."""
-    c, d = _detail_logs(spark, sf_dir)
-    return rc.one_sided_keys(c, d, 0, -1, ONE_SIDED_STATE, DETAIL_RESOURCES, materialize=True)
-
-
 @query("state_crosstab_totals", f"""
 WITH {SQL_STATES.strip()}
 SELECT CASE WHEN grouping(resource) = 1 AND grouping(state) = 1 THEN 'total'
@@ -689,3 +706,42 @@ def q_state_crosstab_totals(spark, sf_dir):
     """R2 with the parsed-row totals of both sides from the same aggregate."""
     c, d = _state_logs(spark, sf_dir)
     return rc.state_crosstab_all(c, d, STATE_CONTROL_RANGE, STATE_CANDIDATE_RANGE, totals=True)
+
+
+# --- real files ---------------------------------------------------------------
+@query("resolver_drift_files", ORACLE["resolver_drift"])
+def q_resolver_drift_files(spark, sf_dir):
+    """The drift report over text files, the candidate's gzipped, read in batch."""
+    c, d = _drift_logs(spark, sf_dir)
+    pc, pd_ = scratch_path(spark, "log-control"), scratch_path(spark, "log-candidate")
+    c.write.text(pc)
+    d.write.option("compression", "gzip").text(pd_)
+    return rc.resolver_drift(fl.read_lines(spark, pc), fl.read_lines(spark, pd_), DRIFT_SHARED, DRIFT_CONTROL,
+                             DRIFT_CANDIDATE)
+
+
+@query("price_list_inferred", """
+SELECT CAST(p_partkey AS INTEGER) AS item_id, p_name AS name, p_brand AS brand,
+       CAST(CASE WHEN p_partkey = 1 THEN 0 ELSE p_partkey * 5 END AS INTEGER) AS price FROM part""")
+def q_price_list_inferred(spark, sf_dir):
+    """CSV with header and inferred types."""
+    path = scratch_path(spark, "prices")
+    rd.price_list(t(spark, sf_dir, "part")).write.option("header", True).csv(path)
+    return fl.read_csv(spark, path)
+
+
+@query("overlay_collection", f"""
+WITH {SQL_OVERLAY}
+SELECT rovi_id, resource_type, mfsid, ct_numeric, coll_tmsid, cl_numeric, title, CAST(NULL AS BIGINT) AS st_numeric
+FROM ov UNION ALL
+SELECT s_suppkey + 9000000, 'station_overlay', CAST(s_suppkey AS INTEGER), NULL, NULL, NULL, NULL,
+       (CAST(523 AS BIGINT) << 40) | s_suppkey FROM supplier""")
+def q_overlay_collection(spark, sf_dir):
+    """Content overlays overwrite the lookup collection, station overlays are appended."""
+    path = scratch_path(spark, "overlays")
+    content = ov.content_overlays(rd.content_overlay_rows(t(spark, sf_dir, "part")))
+    station = ov.station_overlays(rd.station_overlay_rows(t(spark, sf_dir, "supplier")))
+    ov.save_overlays(content, None, "parquet", path)
+    ov.save_overlays(content, None, "parquet", path)  # overwritten, not doubled
+    ov.save_overlays(None, station, "parquet", path)
+    return fl.read_format(spark, "parquet", path)

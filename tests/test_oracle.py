@@ -33,6 +33,10 @@ def con():
     return c
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "float": "FLOAT", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
@@ -42,21 +46,11 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(cols) == sorted(ocols)
     assert len(rows) == len(orows)
     assert _digest(rows, cols) == _digest(orows, ocols)
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == theirs
 
 
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["resource", "control_sum", "candidate_sum", "difference", "flag"]
     assert df.count() > 0
-
-
-SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
-                 "float": "FLOAT", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
-
-
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
-def test_query_types_match_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
-    ours = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
-    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
-    assert ours == theirs

@@ -41,6 +41,27 @@ def test_crosstab_groupings_share_one_aggregate(spark):
     assert "Expand" in nodes and nodes.count("HashAggregate") == 2   # partial + final, once
 
 
-def test_one_sided_uses_anti_joins(spark):
+def test_one_sided_is_one_exchange_over_one_scan_per_side(spark):
     p = plan(E.queries()["one_sided_keys"](spark, SF_SMALL))
-    assert "LeftAnti" in p and "FullOuter" not in p
+    assert "Join" not in p and p.count("regexp_replace(") == 2
+    assert len(re.findall(r"^\(\d+\) Exchange", p, re.M)) == 1
+
+
+def test_one_user_lookup_has_no_product(spark):
+    from logledger.plans import recommend as rm
+    from logledger.queries import ratings
+    model = rm.als_estimator(rank=3, max_iter=1).fit(ratings(spark, SF_SMALL))
+    user = model.userFactors.first()["id"]
+    top = rm.recommend_one(model, user, 5)
+    assert "Cartesian" not in plan(top) and "NestedLoop" not in plan(top)
+    want = [r for r in rm.recommend_all(model, 5).filter(f"user_id = {user}").collect()]
+    assert [r.movie_id for r in top.collect()] == [r.movie_id for r in sorted(want, key=lambda r: r["rank"])]
+    assert rm.recommend_one(model, -5, 5).count() == 0
+
+
+def test_top_n_needs_no_limit_on_n(spark):
+    from logledger.operators.topk import top_n_per_group
+    df = spark.range(20_000).selectExpr("id % 2 as g", "id * 7919 % 20011 as v")
+    got = top_n_per_group(df, ["g"], ["v"], 1500).toPandas()
+    want = df.toPandas().sort_values("v").groupby("g").head(1500)
+    assert sorted(map(tuple, got[["g", "v"]].values.tolist())) == sorted(map(tuple, want[["g", "v"]].values.tolist()))

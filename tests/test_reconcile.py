@@ -117,11 +117,3 @@ def test_totals_rows_are_parsed_counts(spark):
     assert (row.control_sum, row.candidate_sum) == (
         rc.states_in_range(sc, "control", STATE_CONTROL_RANGE).count(),
         rc.states_in_range(sd, "candidate", STATE_CANDIDATE_RANGE).count())
-
-
-def test_one_sided_keys_materialized_equals_plain(spark):
-    li = t(spark, SF_SMALL, "lineitem")
-    c, d = rd.resolver_detail_lines(li, "control"), rd.resolver_detail_lines(li, "candidate")
-    a = rc.one_sided_keys(c, d, 0, -1, "update", ["ResAF", "ResRF"])
-    b = rc.one_sided_keys(c, d, 0, -1, "update", ["ResAF", "ResRF"], materialize=True)
-    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
