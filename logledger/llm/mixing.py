@@ -94,6 +94,12 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
                          "finish", "served", (F.col("served") <= F.lit(total["budget"])).alias("taken_copy"))
 
 
+def in_order(mixed: DataFrame) -> DataFrame:
+    """The copies that the mix takes, range-sorted by finish time: partitions in turn, sorted inside, are the mix."""
+    order = ["finish", F.col("source").asc_nulls_last(), "epoch", "served"]
+    return mixed.filter("taken_copy").repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def taken(mixed: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per document of the mix's input: key, source, size, source_size, target, copies, taken (words)."""
     return (mixed.groupBy("uid", key, "source", "size", "source_size", "target")

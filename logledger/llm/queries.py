@@ -89,7 +89,7 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = kneser_ney.train(docs.filter(~out), scratch_path(spark, "kneser-ney"))
     return kneser_ney.score(docs, model).select(
         "doc_id", out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"),
-        "base_score", "score")
+        "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 
 
 @query

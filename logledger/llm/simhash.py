@@ -53,7 +53,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def add_fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``docs`` without the text, plus ``fingerprint`` (signed long).  Whole texts; only the text goes to Python."""
-    kept = [c for c in docs.columns if c not in (text, "fingerprint")]
+    kept = [c for c in docs.columns if c.lower() not in (text.lower(), "fingerprint")]
     kinds = docs.select(*kept, F.lit(0).cast("long").alias("fingerprint")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,10 +65,10 @@ def add_fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE
 
 
 class BKTree:
-    """A BK-tree over distinct uint64 fingerprints, in arrays; queries go down it all at once.
+    """A BK-tree over distinct uint64 fingerprints; many queries go down it at once.
 
-    Node order is breadth first.  ``child[node]`` lists (distance, child) as a
-    dictionary, the edge keys being Hamming distances to the node.
+    ``children[node]`` is a dictionary from the Hamming distance to the node
+    to the child that stands for all fingerprints at that distance.
     """
 
     def __init__(self, prints: np.ndarray):

@@ -67,3 +67,15 @@ def test_odd_rows(spark, odd_docs):
     assert mixing.taken(mixing.mix(odd_docs.limit(0))).count() == 0
     blank = odd_docs.filter("text is null or text = ''")
     assert {r.taken for r in mixing.taken(mixing.mix(blank)).collect()} == {0}
+
+
+def test_in_order_is_the_mix(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mixed = mixing.mix(docs)
+    out = mixing.in_order(mixed).select("served", "size").collect()
+    run = 0
+    for r in out:
+        run += r["size"]
+        assert r.served == run
+    budget = mixed.select("source", "target").distinct().agg({"target": "sum"}).first()[0]
+    assert budget - max(r["size"] for r in mixed.select("size").collect()) <= run <= budget
