@@ -65,7 +65,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     and text are read; other columns don't matter.
 
     No task sees a whole source: the running sums go over hash buckets of
-    about ``bucket`` copies.
+    about ``bucket`` copies, whatever the keys.
     """
     sized = docs.select(F.col(key).alias("_key"), F.col(source).cast("string").alias("source"),
                         n_words(F.col(text)).alias("size"))
@@ -77,12 +77,18 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     plan = plan.withColumnRenamed("source", "_s").checkpoint()
     known = sized.join(plan, F.expr("source <=> _s")).drop("_s")
     copies = known.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    unit = F.pmod(F.xxhash64("_key", "epoch", F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
-    copies = copies.withColumn("_r", unit)
+    # rows of one key are neighbours, but a key with more rows than a bucket is spread by its rows' numbers
+    many = (sized.groupBy(F.col("_key").alias("_k")).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > bucket)
+            .select("_k", F.lit(True).alias("_many")))
+    copies = copies.join(many, F.expr("_key <=> _k"), "left")
+    apart = F.when(F.col("_many"), F.col("uid")).otherwise(0)
+    unit = F.pmod(F.xxhash64("_key", "epoch", F.lit(seed), apart), F.lit(1 << 52)) / float(1 << 52)
+    copies = copies.withColumn("_r", unit).drop("_k", "_many")
     copies = copies.withColumn("_b", F.col("epoch") + F.floor(
         F.col("_r") * F.ceil(F.col("_docs") / bucket)) / F.ceil(F.col("_docs") / bucket))
     run = prefix_sums(copies, ["source"], "_b", ["epoch", "_r", "uid"], "size", "_run")
-    run = run.withColumn("finish", F.when(F.col("target") > 0, F.col("_run") / F.col("target")).otherwise(0.0))
+    run = run.withColumn("finish", F.when(F.col("target") > 0, F.col("_run") / F.col("target")).otherwise(
+        F.col("epoch") + F.col("_r")))
     # the budget's end is at time 1, or a document past it: cut the times into slices of about a bucket
     total = plan.agg(F.coalesce(F.sum("_docs"), F.lit(0)).alias("n"),
                      F.coalesce(F.sum("target"), F.lit(0.0)).alias("budget")).first()

@@ -79,3 +79,12 @@ def test_in_order_is_the_mix(spark):
         assert r.served == run
     budget = mixed.select("source", "target").distinct().agg({"target": "sum"}).first()[0]
     assert budget - max(r["size"] for r in mixed.select("size").collect()) <= run <= budget
+
+
+def test_one_key_and_empty_texts_do_not_fill_a_bucket(spark):
+    docs = spark.range(300).selectExpr("if(id % 3 = 0, 5, id) as doc_id", "'a b' as text", "'s' as source").unionAll(
+        spark.range(300).selectExpr("cast(null as long)", "''", "'empty'"))
+    out = mixing.mix(docs, bucket=20)
+    check(docs.collect(), mixing.taken(out).collect())
+    assert out.filter("source = 'empty'").select("finish").distinct().count() > 100
+    assert out.filter("doc_id = 5").selectExpr("round(finish, 1)").distinct().count() > 5
