@@ -685,14 +685,14 @@ def q_resolver_drift_stream(spark, sf_dir):
     """The drift report maintained by Structured Streaming over log folders:
     the rendered logs are written as text files, one available-now trigger
     processes them, and the query reads the report the stream wrote."""
-    from logledger.streaming.drift import drift_stream, start_drift_to_table
+    from logledger.streaming.drift import drift_stream, read_report, start_drift_to_table
     c, d = _drift_logs(spark, sf_dir)
     cdir, ddir = scratch_path(spark, "stream-control"), scratch_path(spark, "stream-candidate")
     out = scratch_path(spark, "stream-report")
     c.write.text(cdir)
     d.write.text(ddir)
     start_drift_to_table(drift_stream(spark, cdir, ddir, _STREAM_RANGE), out).awaitTermination()
-    return spark.read.parquet(out)
+    return read_report(spark, out)
 
 
 @query("state_crosstab_totals", f"""

@@ -42,17 +42,24 @@ def drift_stream(spark: SparkSession, control_dir: str, candidate_dir: str, shar
 
 def start_drift_to_table(stream: DataFrame, out_path: str, checkpoint: str | None = None,
                          available_now: bool = True) -> StreamingQuery:
-    """Write each trigger's full report (complete mode) over ``out_path``.
+    """Write each trigger's full report (complete mode) to a folder of its own below ``out_path``.
 
-    ``foreachBatch`` replaces the parquet snapshot per trigger; the state and
-    file log live in ``checkpoint`` (default: a folder under
+    A reader (:func:`read_report`) so always finds a whole report.  The state
+    and file log live in ``checkpoint`` (default: a folder under
     ``spark.checkpoint.dir``)."""
     spark = stream.sparkSession
     ckpt = checkpoint or scratch_path(spark, "drift-stream-ckpt")
 
-    def write(batch: DataFrame, _id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/trigger={number}")
 
     w = stream.writeStream.outputMode("complete").option("checkpointLocation", ckpt).foreachBatch(write)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def read_report(spark: SparkSession, out_path: str) -> DataFrame:
+    """The report of the last trigger that was written whole."""
+    reports = spark.read.parquet(out_path)
+    last = reports.agg(F.max("trigger")).first()[0]
+    return reports.filter(F.col("trigger") == last).drop("trigger")

@@ -3,7 +3,7 @@
 from logledger.plans.reconcile import resolver_drift
 from logledger.queries import t
 from logledger.sources import render as rd
-from logledger.streaming.drift import drift_stream, start_drift_to_table
+from logledger.streaming.drift import drift_stream, read_report, start_drift_to_table
 from tests.conftest import SF_SMALL
 
 
@@ -16,7 +16,7 @@ def test_stream_equals_batch(spark, tmp_path):
     q = start_drift_to_table(drift_stream(spark, cdir, ddir, shared, max_files_per_trigger=1), out,
                              checkpoint=str(tmp_path / "ckpt"))
     q.awaitTermination(300)
-    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    got = sorted(tuple(r) for r in read_report(spark, out).collect())
     want = sorted(tuple(r) for r in resolver_drift(spark.read.text(cdir), spark.read.text(ddir), shared).collect())
     assert got == want and len(got) == 6
 
@@ -34,7 +34,7 @@ def test_stream_resumes_from_checkpoint(spark, tmp_path):
     def run():
         stream = drift_stream(spark, cdir + "/*", ddir + "/*", shared)
         start_drift_to_table(stream, out, checkpoint=ck).awaitTermination(300)
-        return sorted(tuple(r) for r in spark.read.parquet(out).collect())
+        return sorted(tuple(r) for r in read_report(spark, out).collect())
 
     first = run()
     rd.resolver_drift_lines(half2, "control").write.text(cdir + "/p2")
