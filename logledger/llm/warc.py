@@ -24,6 +24,7 @@ CHUNK = 1 << 16
 HEADER_MOST = 1 << 20
 ARCHIVE_BYTES = 256 << 20
 LEVEL = 3
+TASKS_MOST = 20_000
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 URN = "urn:x-page:"
@@ -196,7 +197,11 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, archive_
 
 
 def read_archives(spark: SparkSession, manifest: DataFrame, payloads: bool = False, rows_at_once: int = 2000) -> DataFrame:
-    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to[, payload]) of all archives named."""
+    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to[, payload]) of all archives named.
+
+    Archives are dealt over as many tasks as there are archives, TASKS_MOST at
+    most: the few bytes of their names would otherwise be read by one task.
+    """
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", *["payload"] * payloads]
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), *[pa.binary()] * payloads]
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -225,7 +230,7 @@ def read_archives(spark: SparkSession, manifest: DataFrame, payloads: bool = Fal
         if rows:
             yield batch(rows)
 
-    files = manifest.select("path").repartition("path")
+    files = manifest.select("path").repartition(max(1, min(manifest.count(), TASKS_MOST)), "path")
     return files.mapInArrow(run, schema + ", payload binary" * payloads)
 
 
