@@ -1,6 +1,9 @@
 """Supervised subword embeddings: a text's words and character n-grams are hashed to learned vectors, their
 mean goes through a softmax layer.
 
+Of pairs of neighbouring words, those of a word and itself have one hash
+together: what they tell is the repetition, not the word.
+
 Vectors and layer are learned together by stochastic gradient descent in
 numpy, from a bounded sample of labelled documents.  To score, the vectors are
 folded with the layer into one weight per hash, so a word adds two numbers.
@@ -10,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +23,9 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 GRAMS = (3, 4, 5)
+REPEAT, REPEAT_TIMES = 0, 8  # hash of a word after itself, and how often it counts beside the word's own hashes
 SAMPLE = 2048
-EPOCHS, RATE, SEED = 8, 0.6, 6
+EPOCHS, RATE, LAYER_RATE, SEED = 8, 0.2, 0.5, 6
 MEMO, MEMO_LENGTH = 150_000, 64
 PART = 1 << 22
 
@@ -47,10 +52,17 @@ def word_parts(text: str | None) -> Iterator[list[bytes]]:
         start = end
 
 
+def repeats(words: list[bytes], before: bytes | None) -> int:
+    """Words equal to the one before them; ``before`` is the last word of the part before."""
+    return sum(map(eq, words, words[1:])) + (words[:1] == [before])
+
+
 def features(text: str | None) -> tuple[bytes, bytes]:
     """Distinct hashes (uint32) of a text and their shares (float32), as bytes."""
-    counts = np.zeros(BUCKETS, np.int64)
+    counts, before = np.zeros(BUCKETS, np.int64), None
     for words in word_parts(text):
+        counts[REPEAT] += REPEAT_TIMES * repeats(words, before)
+        before = words[-1] if words else before
         seen: dict[bytes, int] = {}
         for w in words:
             seen[w] = seen.get(w, 0) + 1
@@ -85,10 +97,16 @@ class Model:
         self.weights, self.bias = weights, bias
 
     @classmethod
-    def fit(cls, rows: list[tuple[int, bytes, bytes]], epochs: int = EPOCHS, rate: float = RATE) -> Model:
-        """Softmax regression on mean vectors; vectors and layer by stochastic gradient descent, rate falling to 0."""
+    def fit(cls, rows: list[tuple[int, bytes, bytes]], epochs: int = EPOCHS, rate: float = RATE,
+            layer_rate: float = LAYER_RATE) -> Model:
+        """Softmax regression on mean vectors; vectors and layer by stochastic gradient descent, rates falling to 0.
+
+        A hash's steps are divided by the root of its past squared gradients,
+        so hashes that are rare, or have small shares in long texts, learn too.
+        """
         rng = np.random.default_rng(SEED)
         vectors = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
+        past = np.full(BUCKETS, 1e-12)
         layer, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
         rows = sorted(rows)
         data = [(y, np.frombuffer(h, "<u4").astype(np.int64), np.frombuffer(s, "<f4")) for y, h, s in rows]
@@ -96,7 +114,7 @@ class Model:
         for _ in range(epochs):
             for i in rng.permutation(len(data)):
                 y, used, share = data[i]
-                now = rate * (1 - step / steps)
+                left = 1 - step / steps
                 step += 1
                 mean = share @ vectors[used]
                 out = mean @ layer + bias
@@ -104,10 +122,10 @@ class Model:
                 error /= error.sum()
                 error[y] -= 1
                 back = layer @ error
-                layer -= now * np.outer(mean, error)
-                bias -= now * 0.1 * error
-                # a text's hashes share the step in proportion, as its mean does
-                vectors[used] -= (now * share * len(used))[:, None] * back[None, :]
+                layer -= left * layer_rate * np.outer(mean, error)
+                bias -= left * layer_rate * 0.1 * error
+                past[used] += share.astype(np.float64) ** 2 * float(back @ back)
+                vectors[used] -= ((left * rate) * share / np.sqrt(past[used]))[:, None].astype(np.float32) * back
         return cls((vectors.astype(np.float64) @ (layer[:, 1] - layer[:, 0])), float(bias[1] - bias[0]))
 
     def scorer(self):
@@ -129,10 +147,13 @@ class Model:
                     self[word] = found
                 return found
 
-        memo = Memo()
+        memo, repeat = Memo(), REPEAT_TIMES * complex(weights[REPEAT], 1)
 
         def score(text: str | None) -> float:
-            total = sum((sum(map(memo.__getitem__, words)) for words in word_parts(text)), 0j)
+            total, before = 0j, None
+            for words in word_parts(text):
+                total += sum(map(memo.__getitem__, words)) + repeat * repeats(words, before)
+                before = words[-1] if words else before
             logit = bias + (total.real / total.imag if total.imag else 0.0)
             return 1 / (1 + float(np.exp(-min(max(logit, -500.0), 500.0))))
 
