@@ -82,7 +82,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
             .select("_k", F.lit(True).alias("_many")))
     copies = copies.join(many, F.expr("_key <=> _k"), "left")
     apart = F.when(F.col("_many"), F.col("uid")).otherwise(0)
-    unit = F.pmod(F.xxhash64("_key", "epoch", F.lit(seed), apart), F.lit(1 << 52)) / float(1 << 52)
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed), "epoch", apart, "_key").cast("binary")), 1, 13)
+    unit = F.conv(digits, 16, 10).cast("long") / float(1 << 52)
     copies = copies.withColumn("_r", unit).drop("_k", "_many")
     copies = copies.withColumn("_b", F.col("epoch") + F.floor(
         F.col("_r") * F.ceil(F.col("_docs") / bucket)) / F.ceil(F.col("_docs") / bucket))
@@ -111,3 +112,27 @@ def taken(mixed: DataFrame, key: str = "doc_id") -> DataFrame:
     return (mixed.groupBy("uid", key, "source", "size", "source_size", "target")
             .agg(F.count_if("taken_copy").alias("copies"),
                  F.sum(F.when(F.col("taken_copy"), F.col("size")).otherwise(0)).alias("taken")))
+
+
+def oracle(docs: str = "documents") -> str:
+    """DuckDB SQL of :func:`taken` with the default parameters, for documents whose keys differ."""
+    weights = "[" + ", ".join(str(w) for w in WEIGHTS) + "]"
+    return f"""
+WITH d AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+    lambda w: w <> ''))::BIGINT AS size FROM {docs}),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, source_size::DOUBLE * {EPOCHS} AS cap, {weights}[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1)
+    % {len(WEIGHTS)}]::DOUBLE AS w FROM s),
+l AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE * {SHARE}::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / w, source
+      NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY cap / w, source NULLS LAST
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+f AS (SELECT level FROM l WHERE cap / w >= level ORDER BY cap / w, source NULLS LAST LIMIT 1),
+t AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM f) * w, cap)) AS target FROM l),
+c AS (SELECT d.*, source_size, target, epoch, ('0x' || substr(md5(concat_ws(':', {SEED}, epoch, 0, doc_id)), 1, 13))::BIGINT
+      / {float(1 << 52)!r}::DOUBLE AS r FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source, range({EPOCHS}) AS e(epoch)),
+v AS (SELECT *, CASE WHEN target > 0 THEN (sum(size) OVER (PARTITION BY source ORDER BY epoch, r
+      ROWS UNBOUNDED PRECEDING))::DOUBLE / target ELSE epoch + r END AS finish FROM c),
+g AS (SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, epoch, r ROWS UNBOUNDED PRECEDING) AS served FROM v)
+SELECT doc_id, size, source, source_size, target,
+  sum(CASE WHEN served <= (SELECT sum(target) FROM t) THEN size ELSE 0 END)::BIGINT AS taken
+FROM g GROUP BY doc_id, size, source, source_size, target"""

@@ -46,6 +46,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(docs)).select("doc_id", "size", "source", "source_size", "target", "taken")
 
 
+ORACLE["op9_mixing"] = mixing.oracle()
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Owners are the documents' sources, repositories their languages within a source."""
@@ -82,6 +85,9 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_join.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+ORACLE["op2_embedding_near_dedup"] = vector_join.oracle()
+
+
 @query
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

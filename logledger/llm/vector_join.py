@@ -169,3 +169,18 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     alone = units.filter("_unit is null").select(F.col("_id").alias(key), F.lit(0).cast("long").alias("n_links"),
                                                  F.col("_id").alias("component_id"))
     return found.unionByName(alone).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
+
+
+def oracle(vectors: str = "embeddings") -> str:
+    """DuckDB SQL of :func:`near_duplicates` with the default cosine, by comparing all pairs of a label."""
+    return f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM {vectors} WHERE label IS NOT NULL
+  AND len(embedding) > 0 AND NOT list_contains(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), false)
+  AND list_contains(list_transform(embedding, lambda x: x <> 0), true)),
+p AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e)
+  AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= {COSINE}),
+r(vec_id, m) AS (SELECT vec_id, vec_id FROM {vectors} UNION SELECT r.vec_id, p.b FROM r JOIN p ON r.m = p.a),
+c AS (SELECT vec_id, min(m) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)"""
