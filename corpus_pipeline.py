@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept; its result is written as Parquet below the shared checkpoint folder and
-read again.  All but the last return the columns of ``documents``.
+read again.  All but the last return the columns of ``documents``; other columns
+of their input are ignored.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised quality rules keep."""
+    docs = docs.select(*COLUMNS)
     named = docs.withColumn("_text_key", secrets.text_key(F.col("text")))
     kept = quality_rules.judge(named).filter("kept").select(
         F.col("doc_id").alias("_k"), F.col("_text_key").alias("_x")).distinct()
@@ -28,6 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id, and of its repeated rows one."""
+    docs = docs.select(*COLUMNS)
     named = docs.withColumn("_text_key", secrets.text_key(F.col("text")))
     linked = simhash.near_duplicates(named.select("doc_id", "text", "_text_key"))
     first = linked.groupBy("root").agg(F.min(F.struct(
@@ -38,12 +41,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with live secrets masked; copied examples stay."""
+    docs = docs.select(*COLUMNS)
     found = secrets.scan(docs, owner=F.col("source"), repo=F.col("lang"))
     return secrets.redact(docs, found).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents as often as weighted fair queueing takes them."""
+    docs = docs.select(*COLUMNS)
     named = docs.withColumn("_text_key", secrets.text_key(F.col("text")))
     counts = mixing.taken(mixing.mix(docs)).filter("copies > 0")
     counts = counts.groupBy(F.col("doc_id").alias("_k"), F.col("source").alias("_s"), F.col("size").alias("_n")).agg(
@@ -55,6 +60,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix's pieces, each a sequence: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    docs = docs.select(*COLUMNS)
     packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 

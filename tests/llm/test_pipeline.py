@@ -66,6 +66,8 @@ def test_stages_take_odd_rows(spark):
     data = [(1, long, "en", "a", 1), (1, long, "en", "a", 1), (None, long + " But other words follow it.", None, None, None),
             (None, None, "en", "a", 0), (3, "", "en", "b", 0), (4, long.upper(), "en", None, 5)]
     docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("copies", "KEPT", "size", "component_id", "Fingerprint", "n_words", "live", "target"):
+        docs = docs.withColumn(c, F.lit("other"))
     for name, stage in cp.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0, name
         out = stage(spark, docs, SF)
