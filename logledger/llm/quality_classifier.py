@@ -74,20 +74,27 @@ def features(text: str | None) -> tuple[bytes, bytes]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, rows: int = SAMPLE) -> DataFrame:
-    """(label, hashes, shares) of at most ``rows`` labelled documents, those with the smallest hashes of their keys."""
+    """(label, hashes, shares) of at most ``rows`` labelled documents, those with the smallest hashes of their keys.
+
+    The keys are chosen from the labels alone, so what is broadcast to the
+    documents is ``rows`` keys and labels at most, and no text is shuffled.
+    Of documents that share a key and label, one counts.
+    """
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(
-        F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).distinct()
-    joined = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t")).join(known, "_k")
-    chosen = joined.withColumn("_h", F.xxhash64("_k", F.lit(SEED))).orderBy("_h", "_k", "_y").limit(rows)
+        F.col(key).cast("string").alias("_k"), F.col(label).cast("int").alias("_y")).distinct()
+    chosen = known.withColumn("_h", F.xxhash64("_k", F.lit(SEED))).orderBy("_h", "_k", "_y").limit(rows).drop("_h")
+    joined = docs.select(F.col(key).cast("string").alias("_k"), F.col(text).cast("string").alias("_t")).join(
+        F.broadcast(chosen), "_k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            pairs = [features(t.as_py()) for t in b.column(1)]
+            pairs = [features(t.as_py()) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())],
-                names=["label", "hashes", "shares"])
+                [*b.columns[:2], pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())],
+                names=["_k", "label", "hashes", "shares"])
 
-    return chosen.select("_y", "_t").mapInArrow(run, "label int, hashes binary, shares binary")
+    found = joined.select("_k", "_y", "_t").mapInArrow(run, "_k string, label int, hashes binary, shares binary")
+    return found.groupBy("_k", "label").agg(F.min(F.struct("hashes", "shares")).alias("f")).select("label", "f.*")
 
 
 class Model:
