@@ -1,20 +1,26 @@
-"""Interpolated modified Kneser-Ney bigram model.
-
-Counting: every task counts the pairs (word before, word) of some two million
-tokens at a time and emits them packed by shard of the word before; Spark
-brings a shard's packets together, and they are merged, so no row is made per
-token.  A shard is stored as arrays sorted by hash.  A second round does the
-same by word, for its count and the number of different words before it.
-
-Scoring: workers memory-map the arrays and look up the sorted hashes of many
-tokens at once.  Words, and pairs of words, are known by 64-bit hashes.
+"""Interpolated modified Kneser-Ney model of any order from 2 on.
+
+Counting: every task counts the n-grams of the highest order in some two
+million tokens at a time and emits them packed by shard of the n-gram's hash;
+Spark brings a shard's packets together, and they are merged, so no row is made
+per token.  A merged shard emits, packed in the same way for the order below,
+its n-grams without their first word (for their counts: how many different
+words come before) and without their last (for the totals of contexts), so all
+lower orders come from the highest one's counts and the texts are read once.
+
+Texts begin with START.  As usual, n-grams that begin with START count as
+often as they occur, there being one word before them only, and the first
+words of a text are predicted by the orders that their context fills.
+
+Scoring: workers memory-map the arrays, sorted by hash, and look up the sorted
+hashes of many tokens at once.  Words and n-grams are known by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import io
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from urllib.parse import urlparse
 
@@ -31,6 +37,7 @@ PART = 1 << 22
 START, END = 1, 2  # hashes kept for the text's beginning, never predicted, and its end
 ADDED = 0.1
 MODULUS, HELD_OUT = 10, 0
+ORDER = 3  # of the registered query
 
 
 def held_out(key: Column) -> Column:
@@ -77,20 +84,49 @@ class _Tokens:
         self.lengths.append(size)
         self.n += size
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hashes of the words, sorted; for each token the place of the one before and its own)."""
+    def ngrams(self, order: int) -> tuple[np.ndarray, list[_Grams], list[np.ndarray]]:
+        """(hashes of the words, sorted; per length from 2 to ``order`` its different n-grams; for each token its words).
+
+        A token's words are the places of the one ``order - 1`` before it, ..., the one before and its own.
+        """
         hashes = np.array(self.words.hashes, np.uint64)
-        order = np.argsort(hashes)
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        own = rank[np.concatenate(self.parts)]
-        before = np.concatenate(([0], own[:-1]))
-        before[np.concatenate(([0], np.cumsum(self.lengths)[:-1]))] = rank[0]
-        return hashes[order], before, own
+        ranks = np.argsort(hashes)
+        rank = np.empty(len(ranks), np.int64)
+        rank[ranks] = np.arange(len(ranks))
+        hashes, own = hashes[ranks], rank[np.concatenate(self.parts)]
+        starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
+        columns, found = [own], []
+        ends, keys, beginning = own, hashes, rank[0]  # per token the n-gram that ends there; hashes; that of START alone
+        for _ in range(order - 1):
+            columns.insert(0, _shifted(columns[0], starts, rank[0]))
+            context = _shifted(ends, starts, beginning)
+            code, at, place = np.unique(context * len(hashes) + own, return_index=True, return_inverse=True)
+            context, word = np.divmod(code, len(hashes))
+            grams = _Grams(mix(keys[context], hashes[word]), context, ends[at], at, place)
+            # one more, which is nowhere: a context of START alone
+            keys, beginning = np.append(grams.keys, mix(keys[[beginning]], hashes[rank[:1]])), len(code)
+            ends = place
+            found.append(grams)
+        return hashes, found, columns
+
+
+class _Grams:
+    """Different n-grams of some tokens: hashes; numbers of the context and of the n-gram without its first word among
+    those one shorter; a token each ends at; for each token the number of its n-gram."""
+
+    def __init__(self, keys, context, suffix, at, place):
+        self.keys, self.context, self.suffix, self.at, self.place = keys, context, suffix, at, place
+
+
+def _shifted(values: np.ndarray, starts: np.ndarray, first: int) -> np.ndarray:
+    """Each token's value moved to the next token of its text, ``first`` at the text's beginning."""
+    out = np.concatenate(([first], values[:-1]))
+    out[starts] = first
+    return out
 
 
 def mix(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hash of a pair of words from theirs."""
+    """Hash of an n-gram from those of its context and its last word."""
     with np.errstate(over="ignore"):
         x = before * np.uint64(0x9E3779B97F4A7C15) + (word ^ (word >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(32)
@@ -108,37 +144,90 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.min_scalar_type(int(x.max(initial=0))))
 
 
-def _packed(**arrays: np.ndarray) -> bytes:
+def _packed(hashes: np.ndarray, columns: list[np.ndarray], values: list[np.ndarray]) -> bytes:
+    """N-grams, by places in ``hashes``, and their values: the hashes in use, small places, small values."""
+    used = np.zeros(len(hashes), bool)
+    for c in columns:
+        used[c] = True
+    place = np.cumsum(used) - 1
     out = io.BytesIO()
-    np.savez(out, **arrays)
-    return out.getvalue()
+    np.savez(out, hashes=hashes[used], **{f"c{i}": _small(place[c]) for i, c in enumerate(columns)},
+             **{f"v{i}": _small(v) for i, v in enumerate(values)})
+    data = out.getvalue()
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data, asbytes=True)
 
 
 def _unpacked(data: bytes) -> dict[str, np.ndarray]:
+    data = pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
     with np.load(io.BytesIO(data)) as found:
         return dict(found)
 
 
+def _codes(columns: list[np.ndarray]) -> np.ndarray:
+    """A number for each row of the columns, rising with their order."""
+    code, size = columns[0].astype(np.int64), int(columns[0].max(initial=0)) + 1
+    for c in columns[1:]:
+        n = int(c.max(initial=0)) + 1
+        if size * n >= 1 << 62:
+            found, code = np.unique(code, return_inverse=True)
+            size = len(found)
+        code, size = code * n + c, size * n
+    return code
+
+
+def _summed(columns: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Different n-grams in order, with the sums of their values."""
+    code = _codes(columns)
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    starts = np.flatnonzero(np.concatenate((code[:1] == code[:1], code[1:] != code[:-1])))
+    first = order[starts]
+    return [c[first] for c in columns], [np.add.reduceat(v[order], starts) if len(v) else v for v in values]
+
+
+def _merged(packets: Iterable[bytes]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """(hashes of the words, n-grams by places among them, sums of their values) of some packets."""
+    found = [_unpacked(p) for p in packets]
+    hashes, place = np.unique(np.concatenate([f["hashes"] for f in found]), return_inverse=True)
+    offsets = np.cumsum([0, *[len(f["hashes"]) for f in found]])
+    names = lambda kind: sorted(n for n in found[0] if n[0] == kind and n != "hashes")
+    columns = [np.concatenate([place[o + f[c].astype(np.int64)] for f, o in zip(found, offsets, strict=False)])
+               for c in names("c")]
+    values = [np.concatenate([f[v].astype(np.int64) for f in found]) for v in names("v")]
+    return hashes, *_summed(columns, values)
+
+
+def _keys(hashes: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+    """Hashes of n-grams."""
+    keys = hashes[columns[0]]
+    for c in columns[1:]:
+        keys = mix(keys, hashes[c])
+    return keys
+
+
+def _split(hashes: np.ndarray, columns: list[np.ndarray], values: list[np.ndarray],
+           shards: int) -> Iterator[tuple[int, bytes]]:
+    """(shard, packet) of the n-grams, by their hash."""
+    shard = _shard(_keys(hashes, columns), shards)
+    order = np.argsort(shard, kind="stable")
+    bounds = np.searchsorted(shard[order], np.arange(shards + 1))
+    for s in np.flatnonzero(np.diff(bounds)).tolist():
+        part = order[bounds[s]:bounds[s + 1]]
+        yield s, _packed(hashes, [c[part] for c in columns], [v[part] for v in values])
+
+
 def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[str | None]:
     for b in batches:
         for t in b.column(column):
             yield t.as_py()
 
 
-def _count(shards: int):
-    """Rows (shard, packet): pairs of words and their counts, by the shard of the word before."""
+def _count(shards: int, order: int):
+    """Rows (shard, packet): n-grams and their counts, by the n-gram's hash."""
     def emit(tokens: _Tokens) -> pa.RecordBatch:
-        hashes, before, own = tokens.pairs()
-        pair, counts = np.unique((before << 32) | own, return_counts=True)
-        first, word = hashes[pair >> 32], hashes[pair & 0xFFFFFFFF]
-        bounds = np.searchsorted(_shard(first, shards), np.arange(shards + 1))
-        numbers, packets = [], []
-        for s in range(shards):
-            a, b = bounds[s], bounds[s + 1]
-            if a < b:
-                heads, runs = np.unique(first[a:b], return_counts=True)
-                numbers.append(s)
-                packets.append(_packed(heads=heads, runs=_small(runs), words=word[a:b], counts=_small(counts[a:b])))
+        hashes, grams, columns = tokens.ngrams(order)
+        at, counts = grams[-1].at, np.bincount(grams[-1].place)
+        numbers, packets = zip(*_split(hashes, [c[at] for c in columns], [counts], shards), strict=True)
         return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(packets, pa.binary())],
                                           names=["shard", "packet"])
 
@@ -183,66 +272,45 @@ def _histogram(counts: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)[1:5].tolist()
 
 
-PAIR_ROW = "shard int, part int, packet binary, keys string, counts string, heads string, stats string, h array<long>"
+LEVEL_ROW = "shard int, part int, packet binary, files array<string>, h array<long>, n array<long>"
 
 
-def _merge_pairs(folder: str, shards: int):
-    """Merges a shard's packets, stores its arrays and emits, by shard of the word, its words' counts.
+def _merge(folder: str, length: int, order: int, shards: int):
+    """Merges a shard's packets of n-grams of one length, stores its arrays and emits the packets of the length below.
 
-    The row with part -1 names the stored arrays: sorted hashes of pairs with
-    their counts, and sorted hashes of the words before with their total and
-    the numbers of pairs seen once, twice and more often.
+    The row with part -1 names the stored arrays: sorted hashes, counts, and
+    below the highest order, as contexts, the total and the numbers of n-grams
+    counted once, twice and more often; for words also how often they occur.
     """
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        found = [_unpacked(p) for p in rows["packet"]]
-        first = np.concatenate([np.repeat(f["heads"], f["runs"].astype(np.int64)) for f in found])
-        word = np.concatenate([f["words"] for f in found])
-        count = np.concatenate([f["counts"].astype(np.int64) for f in found])
-        heads, first = np.unique(first, return_inverse=True)
-        words, word = np.unique(word, return_inverse=True)
-        pair = (first << 32) | word
-        order = np.argsort(pair, kind="stable")
-        pair, count = pair[order], count[order]
-        starts = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
-        pair, count = pair[starts], np.add.reduceat(count, starts)
-        first, word = pair >> 32, pair & 0xFFFFFFFF
-        keys = mix(heads[first], words[word])
-        order = np.argsort(keys)
-        stats = np.zeros((4, len(heads)), np.int64)
-        np.add.at(stats[0], first, count)
-        for k, chosen in ((1, count == 1), (2, count == 2), (3, count >= 3)):
-            stats[k] = np.bincount(first[chosen], minlength=len(heads))
-        raw = np.bincount(word, weights=count, minlength=len(words)).astype(np.int64)
-        different = np.bincount(word, minlength=len(words))
-        n = int(key[0])
-        out = [(n, -1, None, _save(folder, f"pairs-{n}-keys", keys[order]),
-                _save(folder, f"pairs-{n}-counts", _small(count[order])), _save(folder, f"pairs-{n}-heads", heads),
-                _save(folder, f"pairs-{n}-stats", _small(stats)), _histogram(count))]
-        bounds = np.searchsorted(_shard(words, shards), np.arange(shards + 1))
-        for s in range(shards):
-            a, b = bounds[s], bounds[s + 1]
-            if a < b:
-                packet = _packed(words=words[a:b], raw=_small(raw[a:b]), different=_small(different[a:b]))
-                out.append((n, s, packet, None, None, None, None, None))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in PAIR_ROW.split(", ")])
-    return run
-
-
-WORD_ROW = "shard int, words string, counts string, n_words long, n_tokens long, n_pairs long, h array<long>"
-
-
-def _merge_words(folder: str):
-    """Merges a shard's words and stores them sorted by hash with their counts."""
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        found = [_unpacked(p) for p in rows["packet"]]
-        words, place = np.unique(np.concatenate([f["words"] for f in found]), return_inverse=True)
-        counts = np.zeros((2, len(words)), np.int64)
-        np.add.at(counts[0], place, np.concatenate([f["raw"].astype(np.int64) for f in found]))
-        np.add.at(counts[1], place, np.concatenate([f["different"].astype(np.int64) for f in found]))
-        n = int(key[0])
-        row = (n, _save(folder, f"words-{n}-hashes", words), _save(folder, f"words-{n}-counts", _small(counts)),
-               len(words), int(counts[0].sum()), int(counts[1].sum()), _histogram(counts[1]))
-        return pd.DataFrame([row], columns=[c.split()[0] for c in WORD_ROW.split(", ")])
+        hashes, columns, values = _merged(rows["packet"])
+        start = hashes == np.uint64(START)
+        if length == order:
+            raw = count = values[0]
+        else:
+            left, raw = values[:2]
+            count = np.where(start[columns[0]], raw, left) if length > 1 else left
+        # more than one START: no n-gram, only the way to the shorter one
+        whole = ~start[columns[1]] if length > 1 else np.ones(len(raw), bool)
+        keys, n = _keys(hashes, columns), int(key[0])
+        by_key = np.argsort(keys)
+        by_key = by_key[whole[by_key]]
+        files = [_save(folder, f"{length}-{n}-keys", keys[by_key]),
+                 _save(folder, f"{length}-{n}-counts", _small(count[by_key]))]
+        if length < order:
+            files.append(_save(folder, f"{length}-{n}-stats", _small(np.stack([v[by_key] for v in values[2:]]))))
+        if length == 1:
+            files.append(_save(folder, f"{length}-{n}-raw", _small(raw[by_key])))
+        totals = [int((raw > 0).sum()), int(raw.sum()), int(count.sum())]
+        out = [(n, -1, None, files, _histogram(count[whole]), totals)]
+        if length > 1:
+            zero, seen = np.zeros(len(raw), np.int64), count[whole]
+            last = [np.ones(len(raw), np.int64), raw, zero, zero, zero, zero]
+            context = [zero[whole], zero[whole], seen, *[x.astype(np.int64) for x in (seen == 1, seen == 2, seen > 2)]]
+            shorter = [np.concatenate((c, d[whole])) for c, d in zip(columns[1:], columns[:-1], strict=True)]
+            below = _summed(shorter, [np.concatenate(x) for x in zip(last, context, strict=True)])
+            out += [(n, s, packet, None, None, None) for s, packet in _split(hashes, *below, shards)]
+        return pd.DataFrame(out, columns=[c.split()[0] for c in LEVEL_ROW.split(", ")])
     return run
 
 
@@ -254,45 +322,28 @@ def discounts(n: list[int]) -> list[float]:
 
 
 class Model:
-    """Where the arrays are, and the totals; small, whatever the corpus."""
+    """Where the arrays are, per length of n-grams and shard, and the totals; small, whatever the corpus."""
 
-    def __init__(self, pairs: dict[int, tuple], words: dict[int, tuple], shards: int, pair_discounts: list[float],
-                 word_discounts: list[float], n_words: int, n_tokens: int, n_pairs: int, spread: float):
-        self.pairs, self.words, self.shards = pairs, words, shards
-        self.pair_discounts, self.word_discounts = np.array(pair_discounts), np.array(word_discounts)
+    def __init__(self, levels: list[dict[int, list[str]]], shards: int, cuts: list[list[float]],
+                 n_words: int, n_tokens: int, n_pairs: int, spread: float):
+        self.levels, self.shards, self.order = levels, shards, len(levels)
+        self.cuts = [np.array(c) for c in cuts]
         self.n_words, self.n_tokens, self.n_pairs, self.spread = n_words, n_tokens, n_pairs, spread
 
-    def _find(self, stored: dict[int, tuple], column: int, hashes: np.ndarray, shard: np.ndarray):
-        """For sorted shards: (shard's arrays, its part of ``hashes``, places there, which were found)."""
-        bounds = np.searchsorted(shard, np.arange(self.shards + 1))
+    def find(self, length: int, keys: np.ndarray, *wanted: int) -> list[np.ndarray]:
+        """The stored arrays ``wanted`` (1: counts, 2: stats, 4 rows, 3: occurrences) at the n-grams ``keys``, else 0."""
+        order = np.argsort(keys)
+        keys = keys[order]
+        bounds = np.searchsorted(_shard(keys, self.shards), np.arange(self.shards + 1))
+        out = [np.zeros((4, len(keys)) if w == 2 else len(keys), np.int64) for w in wanted]
         for s in np.flatnonzero(np.diff(bounds)).tolist():
-            part = slice(bounds[s], bounds[s + 1])
-            if s in stored:
-                keys = _open(stored[s][column])
-                at = np.minimum(np.searchsorted(keys, hashes[part]), len(keys) - 1)
-                yield stored[s], part, at, np.asarray(keys[at]) == hashes[part]
-
-    def word_counts(self, hashes: np.ndarray) -> np.ndarray:
-        """Counts and numbers of words before (2 rows) of sorted hashes."""
-        out = np.zeros((2, len(hashes)), np.int64)
-        for files, part, at, known in self._find(self.words, 0, hashes, _shard(hashes, self.shards)):
-            out[:, part] = np.where(known, np.asarray(_open(files[1])[:, at]), 0)
-        return out
-
-    def head_stats(self, hashes: np.ndarray) -> np.ndarray:
-        """Total and numbers of pairs seen once, twice, more (4 rows) of sorted hashes of words before."""
-        out = np.zeros((4, len(hashes)), np.int64)
-        for files, part, at, known in self._find(self.pairs, 2, hashes, _shard(hashes, self.shards)):
-            out[:, part] = np.where(known, np.asarray(_open(files[3])[:, at]), 0)
-        return out
-
-    def pair_counts(self, first: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Counts of pairs, ``first`` sorted."""
-        keys, out = mix(first, word), np.zeros(len(first), np.int64)
-        shard = _shard(first, self.shards)
-        order = np.lexsort((keys, shard))
-        for files, part, at, known in self._find(self.pairs, 0, keys[order], shard[order]):
-            out[order[part]] = np.where(known, np.asarray(_open(files[1])[at]), 0)
+            files, part = self.levels[length - 1].get(s), slice(bounds[s], bounds[s + 1])
+            stored = _open(files[0]) if files else ()
+            if len(stored):
+                at = np.minimum(np.searchsorted(stored, keys[part]), len(stored) - 1)
+                known = np.asarray(stored[at]) == keys[part]
+                for w, o in zip(wanted, out, strict=True):
+                    o[..., order[part]] = np.where(known, np.asarray(_open(files[w])[..., at]), 0)
         return out
 
     def unigram(self, different: np.ndarray) -> np.ndarray:
@@ -300,13 +351,14 @@ class Model:
         uniform = 1.0 / (self.n_words + 1)
         if not self.n_pairs:
             return np.full(len(different), uniform)
-        kept = np.maximum(different - self.word_discounts[np.minimum(different, 3)], 0)
+        kept = np.maximum(different - self.cuts[0][np.minimum(different, 3)], 0)
         return (kept + self.spread * uniform) / self.n_pairs
 
-    def bigram(self, count: np.ndarray, stats: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """P(word | word before) from the pair's count, the word before's stats and P(word)."""
-        total, spread = stats[0], self.pair_discounts[1:] @ stats[1:]
-        kept = np.maximum(count - self.pair_discounts[np.minimum(count, 3)], 0)
+    def higher(self, length: int, count: np.ndarray, stats: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """P(word | context) from the n-gram's count, the context's stats and P(word | shorter context)."""
+        cuts = self.cuts[length - 1]
+        total, spread = stats[0], cuts[1:] @ stats[1:]
+        kept = np.maximum(count - cuts[np.minimum(count, 3)], 0)
         return np.where(total > 0, (kept + spread * lower) / np.maximum(total, 1), lower)
 
     def base(self, raw: np.ndarray) -> np.ndarray:
@@ -315,40 +367,48 @@ class Model:
 
     def score(self, tokens: _Tokens) -> tuple[list[int], list[int], list[float], list[float]]:
         """Per text: tokens, known tokens, base score, model's score."""
-        hashes, before, own = tokens.pairs()
-        pair, place = np.unique((before << 32) | own, return_inverse=True)
-        raw, different = self.word_counts(hashes)
-        heads = hashes[np.unique(pair >> 32)]
-        stats = self.head_stats(heads)[:, np.searchsorted(heads, hashes[pair >> 32])]
-        word = pair & 0xFFFFFFFF
-        p = self.bigram(self.pair_counts(hashes[pair >> 32], hashes[word]), stats, self.unigram(different)[word])
+        hashes, grams, columns = tokens.ngrams(self.order)
+        own = columns[-1]
+        different, stats, raw = self.find(1, hashes, 1, 2, 3)
+        p = self.unigram(different)
+        for length, g in enumerate(grams, 2):
+            wanted = (1, 2) if length < self.order else (1,)
+            count, *below = self.find(length, g.keys, *wanted)
+            p = self.higher(length, count, stats[:, g.context], p[g.suffix])
+            if below:  # and nothing for the context of START alone
+                stats = np.append(below[0], np.zeros((4, 1), np.int64), axis=1)
         starts = np.concatenate(([0], np.cumsum(tokens.lengths)[:-1]))
         return (tokens.lengths, np.add.reduceat((raw > 0)[own].astype(np.int64), starts).tolist(),
                 np.add.reduceat(np.log10(self.base(raw))[own], starts).tolist(),
-                np.add.reduceat(np.log10(p)[place], starts).tolist())
+                np.add.reduceat(np.log10(p)[grams[-1].place], starts).tolist())
 
 
-def train(docs: DataFrame, folder: str, text: str = "text", shards: int | None = None) -> Model:
+def train(docs: DataFrame, folder: str, text: str = "text", shards: int | None = None, order: int = 2) -> Model:
     """A model of whole texts, its arrays stored in ``folder``, which all executors must see.
 
-    ``shards`` is the number of shuffle partitions unless given; the driver
-    gets a row of addresses and totals per shard.  A null text is an empty one
-    (its end alone is learned).  Without documents, words are equally likely.
+    ``order`` is the length of the longest n-grams.  ``shards`` is the number
+    of shuffle partitions unless given; the driver gets a row of addresses and
+    totals per order and shard.  A null text is an empty one (its end alone is
+    learned).  Without documents, words are equally likely.
     """
+    if order < 2:
+        raise ValueError("order must be 2 at least")
     shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packets = docs.select(F.col(text).cast("string").alias("_t")).mapInArrow(_count(shards), "shard int, packet binary")
-    merged = packets.groupBy("shard").applyInPandas(_merge_pairs(folder, shards), PAIR_ROW).checkpoint()
-    pairs = {r.shard: r for r in merged.filter("part = -1").drop("packet").collect()}
-    by_word = merged.filter("part >= 0").select(F.col("part").alias("shard"), "packet")
-    words = {r.shard: r for r in by_word.groupBy("shard").applyInPandas(_merge_words(folder), WORD_ROW).collect()}
-    pair_h = [sum(r.h[k] for r in pairs.values()) for k in range(4)]
-    word_h = [sum(r.h[k] for r in words.values()) for k in range(4)]
-    d = discounts(word_h)
-    n_words, n_pairs = sum(r.n_words for r in words.values()), sum(r.n_pairs for r in words.values())
-    more = n_words - word_h[0] - word_h[1]
-    return Model({s: (r["keys"], r["counts"], r["heads"], r["stats"]) for s, r in pairs.items()},
-                 {s: (r["words"], r["counts"]) for s, r in words.items()}, shards, discounts(pair_h), d, n_words,
-                 sum(r.n_tokens for r in words.values()), n_pairs, d[1] * word_h[0] + d[2] * word_h[1] + d[3] * more)
+    packets = docs.select(F.col(text).cast("string").alias("_t")).mapInArrow(
+        _count(shards, order), "shard int, packet binary")
+    levels, cuts = [], []
+    for length in range(order, 0, -1):
+        merged = packets.groupBy("shard").applyInPandas(_merge(folder, length, order, shards), LEVEL_ROW)
+        if length > 1:
+            merged = merged.checkpoint()
+            packets = merged.filter("part >= 0").select(F.col("part").alias("shard"), "packet")
+        rows = merged.filter("part = -1").drop("packet").collect()
+        h = [sum(r.h[k] for r in rows) for k in range(4)]
+        levels.insert(0, {r.shard: r.files for r in rows})
+        cuts.insert(0, discounts(h))
+    n_words, n_tokens, n_pairs = (sum(r.n[k] for r in rows) for k in range(3))
+    d, more = cuts[0], n_words - h[0] - h[1]
+    return Model(levels, shards, cuts, n_words, n_tokens, n_pairs, d[1] * h[0] + d[2] * h[1] + d[3] * more)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -92,7 +92,7 @@ ORACLE["op2_embedding_near_dedup"] = vector_join.oracle()
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = kneser_ney.held_out(F.col("doc_id"))
-    model = kneser_ney.train(docs.filter(~out), scratch_path(spark, "kneser-ney"))
+    model = kneser_ney.train(docs.filter(~out), scratch_path(spark, "kneser-ney"), order=kneser_ney.ORDER)
     return kneser_ney.score(docs, model).select(
         "doc_id", out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"),
         "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
