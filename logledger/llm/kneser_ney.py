@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 TOKENS_AT_ONCE = 2_000_000
 PART = 1 << 22
+SHARD_BYTES = 1 << 25  # of text a shard, about; with it goes what a task merges
 START, END = 1, 2  # hashes kept for the text's beginning, never predicted, and its end
 ADDED = 0.1
 MODULUS, HELD_OUT = 10, 0
@@ -386,14 +387,19 @@ class Model:
 def train(docs: DataFrame, folder: str, text: str = "text", shards: int | None = None, order: int = 2) -> Model:
     """A model of whole texts, its arrays stored in ``folder``, which all executors must see.
 
-    ``order`` is the length of the longest n-grams.  ``shards`` is the number
-    of shuffle partitions unless given; the driver gets a row of addresses and
-    totals per order and shard.  A null text is an empty one (its end alone is
-    learned).  Without documents, words are equally likely.
+    ``order`` is the length of the longest n-grams.  ``shards`` grows with the
+    bytes of text unless given (a read of its own) and is at least the number
+    of shuffle partitions.  A shard is dealt n-grams by their hash, frequent
+    words' like others, so no task merges more than its share of the tokens.
+    The driver gets a row of addresses and totals per order and shard.  A null
+    text is an empty one (its end alone is learned).  Without documents, words
+    are equally likely.
     """
     if order < 2:
         raise ValueError("order must be 2 at least")
-    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not shards:
+        size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")).cast("long"))).first()[0] or 0
+        shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     packets = docs.select(F.col(text).cast("string").alias("_t")).mapInArrow(
         _count(shards, order), "shard int, packet binary")
     levels, cuts = [], []

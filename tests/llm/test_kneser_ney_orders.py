@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from logledger.llm import kneser_ney as kn
@@ -78,3 +79,20 @@ def test_probabilities_of_order_3_sum_to_one():
     _, p, raw = brute(["a b a c", "b a a d", "a b"], [], 3)
     for context in (("<s>",), ("<s>", "a"), ("a", "b"), ("b", "never seen"), ()):
         assert sum(p(context, w) for w in [*[g[0] for g in raw[1] if g != ("<s>",)], "unknown"]) == pytest.approx(1)
+
+
+def test_one_word_before_others_is_spread_over_the_shards():
+    text = pa.array([" ".join(f"the w{i}" for i in range(4000))])
+    (batch,) = kn._count(8, 2)(iter([pa.RecordBatch.from_arrays([text], names=["t"])]))
+    rows = [len(kn._merged([p])[1][0]) for p in batch.column(1).to_pylist()]
+    assert len(rows) == 8 and max(rows) < 1.3 * sum(rows) / 8
+
+
+def test_shards_follow_the_text(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c " * 500), (2, None)], "doc_id long, text string")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert kn.train(docs, f"{tmp_path}/a").shards == partitions
+    monkeypatch.setattr(kn, "SHARD_BYTES", 3000 // (2 * partitions))
+    model = kn.train(docs, f"{tmp_path}/b", order=3)
+    assert model.shards >= 2 * partitions
+    assert kn.score(docs, model).count() == 2
