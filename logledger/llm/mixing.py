@@ -49,16 +49,19 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS,
-        seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
+        seed: int = SEED, bucket: int = BUCKET, row: str | None = None) -> DataFrame:
     """One row per copy in reach: uid, key, source, size, source_size, target, epoch, finish, served, taken_copy.
 
     ``size`` is the number of words, ``finish`` the virtual finish time,
     ``served`` the words of the mix up to and including the copy, and
     ``taken_copy`` whether that is within the budget, the sum of the targets.
-    ``uid`` names the row of ``docs``.
+    ``uid`` names the row of ``docs``: its value of the column ``row``, which must
+    be unique, or else a number given here.
 
-    The order is total (finish time, source, epoch, hash of the key, uid), so
-    reruns agree.  A null text has size 0; documents of size 0 finish with
+    The order is total (finish time, source, epoch, hash of the key, key, text),
+    so reruns agree, also on files split in another way.  Where a source has
+    several rows of a key, the text and a number among the rows that are equal
+    are hashed with the key; equal rows can change places.  A null text has size 0; documents of size 0 finish with
     their predecessor and are served if the budget lasts.  Null sources form a
     source of their own, repeated rows are documents of their own, null keys
     are allowed, an empty table gives an empty result.  Only the key, source
@@ -67,27 +70,24 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     No task sees a whole source: the running sums go over hash buckets of
     about ``bucket`` copies, whatever the keys.
     """
+    uid = F.col(row) if row else F.monotonically_increasing_id()
     sized = docs.select(F.col(key).alias("_key"), F.col(source).cast("string").alias("source"),
-                        n_words(F.col(text)).alias("size"))
-    sized = sized.withColumn("uid", F.monotonically_increasing_id()).checkpoint()
+                        n_words(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("_text"), uid.alias("uid"))
+    sized = sized.checkpoint()
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs"))
     targets = source_targets(sums.select("source", "source_size"), weights, share, epochs).alias("t")
     sums = sums.select(F.col("source").alias("_s"), "_docs").alias("s")
     plan = targets.join(sums, F.expr("source <=> _s")).drop("_s")
     plan = plan.withColumnRenamed("source", "_s").checkpoint()
-    known = sized.join(plan, F.expr("source <=> _s")).drop("_s")
+    known = _apart(sized, bucket).join(plan, F.expr("source <=> _s")).drop("_s")
     copies = known.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    # rows of one key are neighbours, but a key with more rows than a bucket is spread by its rows' numbers
-    many = (sized.groupBy(F.col("_key").alias("_k")).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > bucket)
-            .select("_k", F.lit(True).alias("_many")))
-    copies = copies.join(many, F.expr("_key <=> _k"), "left")
-    apart = F.when(F.col("_many"), F.col("uid")).otherwise(0)
-    digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed), "epoch", apart, "_key").cast("binary")), 1, 13)
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed), "epoch", "_apart", "_key").cast("binary")), 1, 13)
     unit = F.conv(digits, 16, 10).cast("long") / float(1 << 52)
-    copies = copies.withColumn("_r", unit).drop("_k", "_many")
+    copies = copies.withColumn("_r", unit)
     copies = copies.withColumn("_b", F.col("epoch") + F.floor(
         F.col("_r") * F.ceil(F.col("_docs") / bucket)) / F.ceil(F.col("_docs") / bucket))
-    run = prefix_sums(copies, ["source"], "_b", ["epoch", "_r", "uid"], "size", "_run")
+    ties = ["_key", "_apart", "uid"]
+    run = prefix_sums(copies, ["source"], "_b", ["epoch", "_r", *ties], "size", "_run")
     run = run.withColumn("finish", F.when(F.col("target") > 0, F.col("_run") / F.col("target")).otherwise(
         F.col("epoch") + F.col("_r")))
     # the budget's end is at time 1, or a document past it: cut the times into slices of about a bucket
@@ -95,12 +95,30 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
                      F.coalesce(F.sum("target"), F.lit(0.0)).alias("budget")).first()
     slices = max(1, int(total["n"] * epochs // bucket))
     run = run.withColumn("_slice", F.floor(F.col("finish") * slices))
-    served = prefix_sums(run, [], "_slice", ["finish", F.col("source").asc_nulls_last(), "epoch", "_r", "uid"],
+    served = prefix_sums(run, [], "_slice", ["finish", F.col("source").asc_nulls_last(), "epoch", "_r", *ties],
                          "size", "served")
     return served.select("uid", F.col("_key").alias(key), "source", "size", "source_size", "target", "epoch",
                          "finish", "served", (F.col("served") <= F.lit(total["budget"])).alias("taken_copy"))
 
 
+def _apart(sized: DataFrame, bucket: int) -> DataFrame:
+    """Adds ``_apart``: 0 where a source has one row of the key, else the text's hash and the row's number among equals.
+
+    Equal rows are numbered by buckets, so no task sees all of them.
+    """
+    texts = sized.groupBy(F.col("_key").alias("_k"), F.col("source").alias("_s"), F.col("_text").alias("_t")).agg(
+        F.count("*").alias("_equal"))
+    many = texts.groupBy("_k", "_s").agg(F.sum("_equal").alias("_rows")).filter("_rows > 1").drop("_rows")
+    equals = sized.join(texts.filter("_equal > 1"), F.expr("_key <=> _k and source <=> _s and _text = _t"))
+    equals = equals.select("_k", "_s", "_t", F.col("uid").alias("_u"), F.lit(1).alias("_one"), F.pmod(
+        F.xxhash64("uid"), F.ceil(F.col("_equal") / bucket)).alias("_b"))
+    numbers = prefix_sums(equals, ["_k", "_s", "_t"], "_b", ["_u"], "_one", "_number").select("_u", "_number")
+    known = sized.join(many.withColumn("_many", F.lit(True)), F.expr("_key <=> _k and source <=> _s"), "left")
+    known = known.drop("_k", "_s").join(numbers, F.expr("uid = _u"), "left")
+    return known.withColumn("_apart", F.when(F.col("_many"), F.concat_ws(
+        "/", "_text", F.coalesce("_number", F.lit(1)))).otherwise("0")).drop("_many", "_number", "_u", "_text")
+
+
 def in_order(mixed: DataFrame) -> DataFrame:
     """The copies that the mix takes, range-sorted by finish time: partitions in turn, sorted inside, are the mix."""
     order = ["finish", F.col("source").asc_nulls_last(), "epoch", "served"]

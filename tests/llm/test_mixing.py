@@ -88,3 +88,15 @@ def test_one_key_and_empty_texts_do_not_fill_a_bucket(spark):
     check(docs.collect(), mixing.taken(out).collect())
     assert out.filter("source = 'empty'").select("finish").distinct().count() > 100
     assert out.filter("doc_id = 5").selectExpr("round(finish, 1)").distinct().count() > 5
+
+
+def test_repeated_keys_do_not_depend_on_files_or_buckets(spark):
+    # the size tells the rows of a key apart; every 4th is there three times
+    data = [(None if i % 2 else 5, " ".join(["w"] * (i + 1)), "ab"[i % 3 == 0])
+            for i in range(90) for _ in range(3 if i % 4 == 0 else 1)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    cols = ["doc_id", "size", "source", "epoch", "finish", "served", "taken_copy"]
+    want = rows(mixing.mix(docs.coalesce(1)).select(*cols))
+    backwards = spark.createDataFrame(data[::-1], docs.schema)
+    for other, bucket in ((backwards.coalesce(1), mixing.BUCKET), (docs.repartition(5, "text"), 8), (backwards, 20)):
+        assert rows(mixing.mix(other, bucket=bucket).select(*cols)) == want
