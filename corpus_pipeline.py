@@ -48,13 +48,11 @@ def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents as often as weighted fair queueing takes them."""
-    docs = docs.select(*COLUMNS)
-    named = docs.withColumn("_text_key", secrets.text_key(F.col("text")))
-    counts = mixing.taken(mixing.mix(docs)).filter("copies > 0")
-    counts = counts.groupBy(F.col("doc_id").alias("_k"), F.col("source").alias("_s"), F.col("size").alias("_n")).agg(
-        F.max("copies").alias("copies"))
-    served = named.withColumn("_size", mixing.n_words(F.col("text"))).join(
-        counts, F.expr("doc_id <=> _k and source <=> _s and _size = _n"))
+    path = scratch_path(spark, "pipeline-mixing-rows")
+    docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    counts = mixing.taken(mixing.mix(rows, row="_row")).filter("copies > 0").select("uid", "copies")
+    served = rows.join(counts, F.expr("_row = uid"))
     return served.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 

@@ -73,3 +73,15 @@ def test_stages_take_odd_rows(spark):
         out = stage(spark, docs, SF)
         assert out.count() >= 0
     assert cp.near_dedup(spark, docs.limit(2), SF).count() == 1
+
+
+def test_rows_without_ids_are_mixed_each_on_its_own(spark):
+    data = [(None, f"{s} w{i}", "en", s, 0) for s in "abc" for i in range(300)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    copies = Counter(r.text for r in cp.mix_sources(spark, docs, SF).collect())
+    taken = Counter()
+    for text, n in copies.items():
+        taken[text[0]] += 2 * n
+    for s, target in test_mixing.brute_targets({s: 600 for s in "abc"}).items():
+        assert abs(taken[s] - target) <= 4
+    assert taken["b"] < 600 < taken["c"] < 1200
