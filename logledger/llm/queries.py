@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and their DuckDB SQL."""
+"""The registered queries of the operators and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logledger.llm import (kneser_ney, mixing, packing, quality_classifier, quality_rules, secrets, simhash,
+from logledger.llm import (kneser_ney, merkle, mixing, packing, quality_classifier, quality_rules, secrets, simhash,
                            token_counts, vector_join, warc)
 from logledger.llm.common import table
 from logledger.session import scratch_path
@@ -110,3 +110,12 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    return merkle.manifest(docs, tampered=merkle.without_newlines())
+
+
+ORACLE["op13_merkle_manifest"] = merkle.oracle()
