@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logledger.llm import (kneser_ney, merkle, mixing, packing, quality_classifier, quality_rules, secrets, simhash,
-                           token_counts, vector_join, warc)
+from logledger.llm import (kneser_ney, merkle, mixing, packing, quality_classifier, quality_rules, recompression,
+                           secrets, simhash, token_counts, vector_join, warc, whitening)
 from logledger.llm.common import table
 from logledger.session import scratch_path
 
@@ -119,3 +119,17 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op13_merkle_manifest"] = merkle.oracle()
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return recompression.find_repeats(spark, docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE["op12_substring_dedup"] = recompression.oracle()
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

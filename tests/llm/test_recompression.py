@@ -1,0 +1,93 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from logledger.llm import recompression as rc
+from logledger.llm.queries import ORACLE, QUERIES
+from tests.llm.conftest import SF, compare_with_oracle, rows
+
+
+def test_query_matches_oracle(spark, con):
+    compare_with_oracle(con, ORACLE["op12_substring_dedup"], QUERIES["op12_substring_dedup"](spark, SF))
+
+
+def brute_force(data, window):
+    split = [(k, [w.decode() for w in (t or "").encode().split()]) for k, t in data]
+    found = Counter(tuple(w[i:i + window]) for _, w in split for i in range(len(w) - window + 1))
+    out = []
+    for k, w in split:
+        gone = {i + j for i in range(len(w) - window + 1) if found[tuple(w[i:i + window])] > 1 for j in range(window)}
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((k, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept))
+    return sorted(out, key=repr)
+
+
+def run(spark, data, window=rc.WINDOW):
+    df = spark.createDataFrame([(k, t, "z", 1) for k, t in data], "doc_id long, text string, place string, copies int")
+    found = rc.find_repeats(spark, df, window=window)
+    if len({k for k, _ in data}) < len(data):
+        return rows(found.select("doc_id", "n_words", "n_removed", "kept_sha256"))
+    kept = found.join(df, "doc_id").withColumn("kept", rc.kept_text(F.col("text"), F.col("removed")))
+    return rows(kept.select("doc_id", "n_words", "n_removed", "kept_sha256", "kept"))
+
+
+def passages(seed, n, vocabulary=40):
+    """Texts that share passages of many lengths, some with runs and periods."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(vocabulary)}"
+    shared = [[word() for _ in range(rng.choice([5, 8, 9, 12, 40]))] for _ in range(6)]
+    shared += [["a"] * 25, ["a", "b"] * 15, ["c"] * 9]
+    return [(i, " ".join(w for _ in range(rng.randrange(6)) for w in (
+        rng.choice(shared) if rng.random() < .5 else [word() for _ in range(rng.randrange(30))]))) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed, window", [(1, 8), (2, 8), (3, 35), (4, 3), (5, 1), (6, 13)])
+def test_random_passages(spark, seed, window):
+    data = passages(seed, 60, 40 if window > 5 else 4000)
+    assert run(spark, data, window) == brute_force(data, window)
+
+
+def test_odd_rows(spark):
+    long = " ".join(f"v{i}" for i in range(90_000))
+    data = [(1, None), (2, ""), (3, " \t\r\n\x0b\x0c "), (None, "x y"), (None, "x y"), (4, long), (5, "q " + long[-400:]),
+            (6, "same " * 35), (6, "same " * 34), (7, "\x1c".join("abc") + " é ü " * 40), (8, "Ω " * 36), (8, "Ω " * 36)]
+    got = run(spark, data)
+    assert got == [r[:4] for r in brute_force(data, 35)]
+    assert run(spark, []) == []
+
+
+def test_long_texts_are_cut_with_an_overlap(spark, monkeypatch):
+    monkeypatch.setattr(rc, "PIECE", 64)
+    data = passages(7, 40)
+    split = [t.encode().split() for _, t in data]
+    together = [rc.anchors(x, piece, 8) + (text, number) for x, piece, text, number in rc._pieces([rc.word_names(w) for w in split], 8)]
+    seen = {(text[p], number[p]): name for first, names, _, _, text, number in together for p, name in zip(first, names)}
+    want = {}
+    for i, w in enumerate(split):
+        first, names, _, _ = rc.anchors(rc.word_names(w), np.zeros(len(w), np.int64), 8)
+        want |= {(i, p): name for p, name in zip(first, names)}
+    assert seen == want and run(spark, data, 8) == brute_force(data, 8)
+
+
+def test_equal_windows_have_equal_anchors():
+    split = [rc.word_names(t.encode().split()) for _, t in passages(8, 200)]
+    by_window = {}
+    for x in split:
+        first, names, at, level = rc.anchors(x, np.zeros(len(x), np.int64), 8)
+        for p, name, a, k in zip(first.tolist(), names.tolist(), at.tolist(), level.tolist()):
+            assert p <= a < p + 8
+            assert by_window.setdefault(tuple(x[p:p + 8].tolist()), (name, a - p, k)) == (name, a - p, k)
+
+
+def test_window_names_differ_where_windows_do():
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 3, 5000).astype(np.uint64)
+    for width in (1, 2, 3, 7, 35):
+        names = rc.window_names(x, width, 1)
+        assert len(names) == len(x) - width + 1
+        pairs = {(tuple(x[i:i + width].tolist()), n) for i, n in enumerate(names.tolist())}
+        assert len(pairs) == len({p for p, _ in pairs}) == len({n for _, n in pairs})

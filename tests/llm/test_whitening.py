@@ -1,0 +1,97 @@
+import math
+
+import numpy as np
+import pytest
+
+from logledger.llm import whitening as wh
+from logledger.llm.queries import QUERIES
+from tests.llm.conftest import SF
+
+SCHEMA = "vec_id long, embedding array<double>, n string, _x int"
+
+
+def brute_force(data, components=4):
+    """{(position, component): (n, deviation, |whitened|, explained)} with plain integers and numpy's eigenvectors."""
+    good = [(i, [math.floor(256 * c) for c in v]) for i, v in enumerate(data)
+            if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    dims = max((len(x) for _, x in good), default=0)
+    good = [(i, x + [0] * (dims - len(x))) for i, x in good]
+    fit = sorted({tuple(x) for _, x in good})
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    centre = np.array([[(n * c - s) / n for c, s in zip(x, sums)] for x in fit])
+    cov = centre.T @ centre / n
+    values, vectors = np.linalg.eigh(cov)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    out = {}
+    for i, x in good:
+        c = np.array([(n * a - s) / n for a, s in zip(x, sums)])
+        for k in range(min(components, dims)):
+            out[i, k + 1] = (n, sum((n * a - s) ** 2 for a, s in zip(x, sums)), abs(c @ vectors[:, k]) / math.sqrt(values[k]),
+                             values[k] / np.trace(cov))
+    return out
+
+
+def run(spark, data):
+    return wh.whiten(spark.createDataFrame([(i, v, "z", 1) for i, v in enumerate(data)], SCHEMA)).collect()
+
+
+def check(got, want):
+    assert sorted((r.vec_id, r.component) for r in got) == sorted(want)
+    for r in got:
+        n, deviation, whitened, explained = want[r.vec_id, r.component]
+        assert (r.n, r.deviation) == (n, deviation)
+        assert abs(r.whitened) == pytest.approx(whitened, rel=1e-8, abs=1e-8)
+        assert r.explained == pytest.approx(explained, rel=1e-9) and r.identity_error < 1e-10
+        assert r.squared_distance == pytest.approx(deviation / n ** 2)
+
+
+def test_query_matches_brute_force(spark):
+    from logledger.llm.common import table
+    data = {r.vec_id: None if r.embedding is None else list(r.embedding) for r in table(spark, SF, "embeddings").collect()}
+    ids = list(data)
+    want = {(ids[i], k): v for (i, k), v in brute_force(list(data.values())).items()}
+    check(QUERIES["op11_embedding_whitening"](spark, SF).collect(), want)
+
+
+def test_odd_rows(spark):
+    rng = np.random.default_rng(5)
+    data = (rng.normal(size=(60, 6)) * [9, 5, 3, 2, 1, .5] + [1e4, -3, 0, 0, 50, 0]).tolist()
+    data += [data[0]] * 20 + [[x + 1e-9 for x in data[1]], None, [None] * 6, [1.0, float("nan")], [float("inf")] * 6, [],
+                              [0.0, -0.0], [2.5, 1.0, 7.0], [5.0] * 6]
+    check(run(spark, data), brute_force(data))
+
+
+def test_nothing_to_fit(spark):
+    assert run(spark, []) == [] and run(spark, [None, [], [float("nan")]]) == []
+    same = run(spark, [[1.0, 2.0, 3.0]] * 3)
+    assert len(same) == 9 and {(r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in same} == {(1, 0, None, None, None)}
+
+
+def test_fewer_components_than_asked(spark):
+    line = run(spark, [[float(i), 2.0 * i, 0.0] for i in range(10)])
+    assert {r.component for r in line} == {1, 2, 3}
+    assert all((r.whitened is None) == (r.component > 1) for r in line)
+    assert {round(r.explained, 12) for r in line} == {1.0, 0.0}
+
+
+def test_numbers_beyond_a_long(spark):
+    got = run(spark, [[1e300, 1.0], [-1e300, 2.0], [0.0, 3.0], [1e15, 5.0]])
+    assert len(got) == 8 and all(math.isfinite(r.whitened) for r in got if r.whitened is not None)
+    assert {r.deviation for r in got if r.vec_id < 2} == {None}
+    assert wh.deviations(np.array([[1 << 40, 3]]), 5, [7, 2]) == [None]
+    assert wh.deviations(np.array([[1 << 20, 3]]), 5, [7, 2]) == [(5 * 2 ** 20 - 7) ** 2 + 13 ** 2]
+
+
+@pytest.mark.parametrize("size, rank", [(1, 1), (2, 2), (7, 7), (8, 3), (64, 64), (33, 20)])
+def test_factor_and_rotations(size, rank):
+    rng = np.random.default_rng(size)
+    half = rng.normal(size=(size, rank)) * 10.0 ** -np.arange(rank).clip(0, 5)
+    a = half @ half.T
+    factor = wh.pivoted_cholesky(a)
+    assert np.allclose(factor @ factor.T, a, atol=1e-12 * a.max())
+    values, units = wh.principal_components(a)
+    want = np.linalg.eigvalsh(a)[::-1][:len(values)]
+    assert np.allclose(values, want, rtol=1e-9, atol=1e-13 * want[0])
+    assert np.allclose(units.T @ units, np.eye(len(values)), atol=1e-8)
+    assert np.allclose(a @ units, units * values, atol=1e-11 * want[0])
+    assert wh.principal_components(np.zeros((3, 3)))[0].size == 0
