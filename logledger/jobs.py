@@ -16,7 +16,9 @@ if __package__ in (None, ""):      # run as a file: spark-submit logledger/jobs.
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from logledger.operators.extract import extract_resolver_raw, extract_states
 from logledger.operators.filters import open_upper
+from logledger.operators.observe import observed
 from logledger.plans import overlays as ov
 from logledger.plans import reconcile as rc
 from logledger.plans import recommend as rm
@@ -38,6 +40,7 @@ def _show(title: str, df, n: int = SHOW) -> None:
 LANDED = "parquet:"
 CONTENT_COLUMNS = {"SHOWTYPE": "int", "TMSID": "string", "SERIESTMSID": "string", "mfsid": "int",
                    "sourceProgramId": "long", "TITLE": "string"}
+PRICE_COLUMNS = {"price": "int", "x": "double", "y": "double", "z": "double"}
 STATION_COLUMNS = {"sourceStationId": "long", "mfsid": "int"}
 
 
@@ -63,22 +66,31 @@ def states(spark, control, candidate, *b):
 
 def states_crosstab(spark, control, candidate, cl, cu, dl, du):
     """R2: side-by-side counts by state, resource, resource+state, state+resource."""
-    c, d = _side(spark, control, STATE_SCHEMA), _side(spark, candidate, STATE_SCHEMA)
+    sides = {"control": _side(spark, control, STATE_SCHEMA), "candidate": _side(spark, candidate, STATE_SCHEMA)}
+    seen = {s: observed(df, lambda lines, s=s: extract_states(lines, s)) for s, df in sides.items()}
     # all groupings from one pass over the logs; the small result is cached
-    allg = rc.state_crosstab_all(c, d, _rng(cl, cu), _rng(dl, du), totals=True).persist()
+    allg = rc.state_crosstab_all(seen["control"][0], seen["candidate"][0], _rng(cl, cu), _rng(dl, du), totals=True).persist()
+    allg.count()
+    for side, (_, counts) in seen.items():
+        print(f"{side}:", counts.get())
     _show("parsed rows per side", allg.filter(F.col("grouping") == "total").select("control_sum", "candidate_sum"))
     for by, level in (("state", "state"), ("resource", "resource"),
                       ("resource_state", "resource_state"), ("state_resource", "resource_state")):
         keys = rc.STATE_GROUPINGS[by]
         _show(f"by {by}", allg.filter(F.col("grouping") == level)
               .select(*keys, "control_sum", "candidate_sum").orderBy(*keys))
+    allg.unpersist()
 
 
 def resolver_drift(spark, control, candidate, lower, upper, cl, cu, dl, du, count_only="false"):
     """Drift per resource (shared range or per-side ranges)."""
+    sides = {"control": _side(spark, control), "candidate": _side(spark, candidate)}
+    seen = {s: observed(df, lambda lines, s=s: extract_resolver_raw(lines, s)) for s, df in sides.items()}
     _show("drift by resource", rc.resolver_drift(
-        _side(spark, control), _side(spark, candidate), _rng(lower, upper),
+        seen["control"][0], seen["candidate"][0], _rng(lower, upper),
         _rng(cl, cu), _rng(dl, du), count_only.lower() == "true", totals=True))
+    for side, (_, counts) in seen.items():
+        print(f"{side}:", counts.get())
 
 
 def resolver_shared(spark, control, candidate, lower, upper, count_only="false"):
@@ -122,12 +134,12 @@ def content_overlays(spark, csv, out, fmt="parquet"):
     """Categorise, pack ids, count per type, write (overwrite)."""
     o = ov.content_overlays(fl.read_csv(spark, csv, columns=CONTENT_COLUMNS))
     _show("count by type", ov.overlay_type_counts(o))
-    ov.save_overlays(o, None, fmt, out)
+    ov.save_overlays(o, None, fmt, out, run="content")
 
 
 def station_overlays(spark, csv, out, fmt="parquet"):
-    """Station ids packed and appended."""
-    ov.save_overlays(None, ov.station_overlays(fl.read_csv(spark, csv, columns=STATION_COLUMNS)), fmt, out)
+    """Station ids packed and added; run again, the job replaces what it added."""
+    ov.save_overlays(None, ov.station_overlays(fl.read_csv(spark, csv, columns=STATION_COLUMNS)), fmt, out, run="station")
 
 
 def flights(spark, path):
@@ -156,8 +168,9 @@ def zips(spark, path, state="CA", min_pop="40000"):
 
 def weblog(spark, log, prices):
     """Access log joined to a price list by size = price."""
-    price_list = fl.read_csv(spark, prices)
-    keep = tuple(c for c in ("x", "y", "z") if c in price_list.columns)
+    names = spark.read.option("header", True).csv(prices).columns  # the header line only, types are known
+    price_list = fl.read_csv(spark, prices, columns={c: k for c, k in PRICE_COLUMNS.items() if c in names})
+    keep = tuple(c for c in ("x", "y", "z") if c in names)
     j = rp.access_value_join(fl.read_lines(spark, log), price_list, keep=keep)
     _show("archive ready", j, 10)
 
@@ -169,23 +182,29 @@ def _ml_inputs(spark, ratings, personal, movies):
     return r, p, m
 
 
+def _blocks(spark) -> int:
+    """Width of the factorisation: ``--conf spark.logledger.als.blocks=`` about as many as the cluster has cores."""
+    return int(spark.conf.get("spark.logledger.als.blocks", str(rm.BLOCKS)))
+
+
 def recommend(spark, ratings, personal, movies, user="0"):
     """Tuned ALS, test gain, the unrated movies of the user, best first."""
     r, p, m = _ml_inputs(spark, ratings, personal, movies)
-    report, recs = rm.recommender_job(r, m, p, int(user), k=None)
+    report, recs = rm.recommender_job(r, m, p, int(user), k=None, blocks=_blocks(spark))
     _show("grid", report)
     _show("recommendations", recs, 50)
 
 
 def recommend_source(spark, fmt, ratings, personal, movies, out, user="0"):
     """The recommender over any data-source format, result written back."""
-    _show("written", rm.recommender_from_source(spark, fmt, ratings, personal, movies, out, int(user)))
+    _show("written", rm.recommender_from_source(
+        spark, fmt, ratings, personal, movies, out, int(user), blocks=_blocks(spark)))
 
 
 def recommend_coldstart(spark, ratings, personal, movies, user="0", other="6001"):
     """Cold-start drop, grid, both kinds of top 10 for the new user and an existing one."""
     r, p, m = _ml_inputs(spark, ratings, personal, movies)
-    for name, df in rm.coldstart_job(r, p, m, [int(user), int(other)]).items():
+    for name, df in rm.coldstart_job(r, p, m, [int(user), int(other)], blocks=_blocks(spark)).items():
         _show(name, df)
 
 
@@ -193,7 +212,7 @@ def recommend_cv(spark, ratings, personal, movies, out_dir, user="0"):
     """10-fold CV, all-user top 10 as CSV, CV model saved and reloaded."""
     r, p, m = _ml_inputs(spark, ratings, personal, movies)
     table, mine = rm.cross_validated_job(r, p, m, int(user), f"{out_dir}/recommendations",
-                                         f"{out_dir}/cv-model")
+                                         f"{out_dir}/cv-model", blocks=_blocks(spark))
     _show("cross validation", table)
     _show("user", mine)
 

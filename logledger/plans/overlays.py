@@ -44,11 +44,15 @@ def station_overlays(csv: DataFrame) -> DataFrame:
 
 
 def save_overlays(content: DataFrame | None, station: DataFrame | None, fmt: str, path: str,
-                  **options) -> None:
+                  run: str | None = None, **options) -> None:
     """Write the lookup collection: content overlays replace it (overwrite),
     station overlays are added to it (append).  Rows keep a common column set
-    (missing packed ids are null)."""
-    from logledger.sinks import write_format
+    (missing packed ids are null).
+
+    With ``run``, either kind replaces what an earlier job of that name wrote
+    and leaves the rest, so a job can be repeated; the collection is
+    partitioned by ``run`` then."""
+    from logledger.sinks import write_format, write_run
     cols = {"rovi_id": "long", "resource_type": "string", "mfsid": "int", "ct_numeric": "long",
             "coll_tmsid": "int", "cl_numeric": "long", "title": "string", "st_numeric": "long"}
 
@@ -56,6 +60,11 @@ def save_overlays(content: DataFrame | None, station: DataFrame | None, fmt: str
         return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
                            for c, t in cols.items()])
 
+    if run is not None:
+        for df in (content, station):
+            if df is not None:
+                write_run(shaped(df), fmt, path, run, **options)
+        return
     if content is not None:
         write_format(shaped(content), fmt, path, mode="overwrite", **options)
     if station is not None:

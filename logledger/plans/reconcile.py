@@ -9,16 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logledger.functions.flags import drift_flag
 from logledger.functions.text import signed_text
 from logledger.operators.aggregate import group_count, side_sums
 from logledger.operators.extract import (extract_resolver_raw, extract_resolver_tagged,
-                                         extract_states, tag_side)
+                                         extract_states, is_lines, tag_side)
 from logledger.operators.filters import open_upper, within, within_any
 from logledger.operators.topk import top_n_per_group
+from logledger.sources.landing import MATCH_KEYS
 
 Range = tuple[int | None, int | None]
 
@@ -145,21 +146,24 @@ def resolver_drift(control: DataFrame, candidate: DataFrame, shared: Range | Non
 
 # R5 ------------------------------------------------------------------------
 def matched_differences(control: DataFrame, candidate: DataFrame, lower: int | None,
-                        upper: int | None, resources: Sequence[str], n: int | None = 50) -> DataFrame:
+                        upper: int | None, resources: Sequence[str], n: int | None = 50,
+                        bucketed: bool = False) -> DataFrame:
     """Entries resolved on both sides (same pub_id, resource, rovi_id, old id)
     whose dirty sizes differ most, first ``n`` per resource by |difference|.
 
     One join and one windowed top-n for all resources; the join key holds the
-    publication id, so a hot resource spreads over all partitions.
+    publication id, so a hot resource spreads over all partitions.  Rows landed
+    in buckets of that key (``logledger.sources.landing.land_resolver_table``)
+    meet where they lie: ``bucketed`` asks for the merge join, which needs no
+    exchange of either side.
     """
     def side(lines, dialect, name):
         return (extract_resolver_raw(lines, dialect, resources)
                 .filter(within("pub_id", lower, upper))
-                .select("pub_id", "resource", "rovi_id", "old_pub_id", F.col("dirty_size").alias(name)))
+                .select(*MATCH_KEYS, F.col("dirty_size").alias(name)))
 
-    j = side(control, "control", "control_dirty_size").join(
-        side(candidate, "candidate", "candidate_dirty_size"),
-        ["pub_id", "resource", "rovi_id", "old_pub_id"], "inner")
+    a, b = side(control, "control", "control_dirty_size"), side(candidate, "candidate", "candidate_dirty_size")
+    j = (a.hint("merge") if bucketed else a).join(b, MATCH_KEYS, "inner")
     diff = F.col("candidate_dirty_size") - F.col("control_dirty_size")
     j = j.withColumn("_diff", diff)
     top = top_n_per_group(j, ["resource"],
@@ -176,12 +180,17 @@ def one_sided_keys(control: DataFrame, candidate: DataFrame, lower: int | None,
                    state: str, resources: Sequence[str], n: int | None = None) -> DataFrame:
     """Entries (resource, rovi_id, state) resolved on one side only.
 
-    Equivalent to a full outer join keeping rows with a missing side: each
-    side is extracted once, both are brought together by key in one exchange,
-    and a key stays if it has rows of one side only; keys repeated on both
-    sides cannot multiply rows.  Control-only rows (flag 0) come first.  With
-    ``n``, the first n rows of each resource in order; without, all rows,
-    unsorted: the result is as large as what differs.
+    Equivalent to a full outer join keeping rows with a missing side: a mask of
+    the sides that have a key is aggregated (partially before the shuffle), and
+    the rows are joined to the keys of one side.  That join is the only exchange
+    of rows, and one that AQE can split, so a key with a large part of the log
+    is not one task's work; keys repeated on both sides cannot multiply rows.
+    Rows and masks are two readings of the same extraction: raw lines are
+    scanned once, and the rows that fit the filters checkpointed.
+
+    Control-only rows (flag 0) come first.  With ``n``, the first n rows of each
+    resource in order; without, all rows, unsorted: the result is as large as
+    what differs.
     """
     keys = ["resource", "rovi_id", "state"]
 
@@ -191,8 +200,12 @@ def one_sided_keys(control: DataFrame, candidate: DataFrame, lower: int | None,
                 .select(*keys, "pub_id", "dirty_size", F.lit(flag).alias("flag")))
 
     both = side(control, "control", 0).unionByName(side(candidate, "candidate", 1))
-    of_key = Window.partitionBy(*keys)
-    both = both.withColumn("_other", F.min("flag").over(of_key) != F.max("flag").over(of_key)).filter(~F.col("_other"))
+    if is_lines(control) or is_lines(candidate):
+        both = both.checkpoint()
+    masks = both.groupBy(*keys).agg(F.bit_or(F.col("flag") + 1).alias("_sides")).filter("_sides < 3")
+    masks = masks.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+    # one mask a key, so no row is repeated (a semi join would go below the union and aggregate the masks twice)
+    both = both.join(masks, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
     only = lambda c, flag: F.when(F.col("flag") == flag, F.col(c))
     both = both.select(
         "resource", "rovi_id", "flag",

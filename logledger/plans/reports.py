@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logledger.functions.time import log_time_to_utc
 from logledger.operators.extract import extract_access
-from logledger.operators.joins import salted_join, spread
+from logledger.operators.joins import hot_join, salted_join, spread
 from logledger.operators.topk import top_counts, top_k
 from logledger.sinks import coalesce_by_fraction
 
@@ -132,7 +132,7 @@ def access_records(lines: DataFrame) -> DataFrame:
 
 def access_value_join(lines: DataFrame, prices: DataFrame, price_col: str = "price",
                       keep: tuple[str, ...] = ("item_id", "brand"), salts: int | None = None,
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, hot_share: float | None = None) -> DataFrame:
     """Access records joined to a price list where price == content size, with
     year and month of the request.
 
@@ -140,6 +140,8 @@ def access_value_join(lines: DataFrame, prices: DataFrame, price_col: str = "pri
     sort-merge plan, and the planner broadcasts the price list when its
     estimated size is small.  ``salts`` forces a salted join instead (hot sizes
     spread over that many tasks, the price list replicated per salt);
+    ``hot_share`` finds the sizes that hold more than that share of the requests
+    first, in a pass over the log, and salts these only;
     ``partitions`` deals the records first, for one-file logs whose sizes meet
     many prices.
     """
@@ -148,6 +150,8 @@ def access_value_join(lines: DataFrame, prices: DataFrame, price_col: str = "pri
         log = spread(log, partitions)
     if salts:
         j = salted_join(log, prices, "content_size", price_col, salts)
+    elif hot_share:
+        j = hot_join(log, prices, "content_size", price_col, hot_share)
     else:
         j = prices.join(log, prices[price_col] == log["content_size"], "inner")
     return j.select(*keep, "ip_address", "endpoint", "content_size",

@@ -323,6 +323,18 @@ def q_state_counts_control(spark, sf_dir):
     return positioned(rc.state_counts(c, "control", STATE_CONTROL_RANGE))
 
 
+_LISTED_STATES = ["PUBLISH", "UNPUBLISH"]
+
+
+@query("state_list", f"""
+WITH {SQL_STATES.strip()} SELECT rovi_id, resource, state, pub_id FROM ctl WHERE state IN ('PUBLISH', 'UNPUBLISH')""")
+def q_state_list(spark, sf_dir):
+    """The rows of one side whose state is in a list."""
+    c, _ = _state_logs(spark, sf_dir)
+    rows = rc.states_in_range(c, "control", STATE_CONTROL_RANGE, states=_LISTED_STATES)
+    return rows.select("rovi_id", "resource", "state", "pub_id")
+
+
 @query("state_counts_candidate", f"""
 WITH {SQL_STATES.strip()} SELECT resource, state, count(*) AS count FROM cand GROUP BY resource, state""")
 def q_state_counts_candidate(spark, sf_dir):
@@ -414,6 +426,19 @@ def q_matched_diff_topn(spark, sf_dir):
     return rc.matched_differences(c, d, rd.RESOLVER_PUB_BASE, None, DETAIL_RESOURCES, DETAIL_TOP)
 
 
+@query("matched_diff_bucketed", ORACLE["matched_diff_topn"])
+def q_matched_diff_bucketed(spark, sf_dir):
+    """The same report over rows landed in buckets of the matching key: the join needs no exchange."""
+    from logledger.sources import landing as ld
+    tables = {}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for log, dialect in zip(_detail_logs(spark, sf_dir), ("control", "candidate")):
+        tables[dialect] = f"landed_{dialect}_{uuid.uuid4().hex}"
+        ld.land_resolver_table(log, dialect, tables[dialect], buckets)
+    return rc.matched_differences(spark.table(tables["control"]), spark.table(tables["candidate"]),
+                                  rd.RESOLVER_PUB_BASE, None, DETAIL_RESOURCES, DETAIL_TOP, bucketed=True)
+
+
 @query("one_sided_keys", f"""
 WITH {SQL_RESOLVER.strip()}, {SQL_DETAIL.strip()},
 c AS (SELECT resource, rovi_id, state, pub_id AS control_pub_id, d AS control_dirty_size FROM det_ctl
@@ -496,13 +521,13 @@ def q_size_compare_n(spark, sf_dir):
 @query("table_counts", " UNION ALL ".join(
     f"SELECT '{n}' AS resource, count(*) AS count FROM {n}" for n in TABLES))
 def q_table_counts(spark, sf_dir):
-    return cn.table_counts({n: t(spark, sf_dir, n) for n in TABLES})
+    return cn.file_counts(spark, {n: table_path(sf_dir, n) for n in TABLES})
 
 
 @query("table_nonnull_counts", " UNION ALL ".join(
     f"SELECT '{n}' AS resource, count({TABLE_KEYS[n]}) AS count FROM {n}" for n in TABLES))
 def q_table_nonnull_counts(spark, sf_dir):
-    return cn.table_nonnull_counts({n: (t(spark, sf_dir, n), TABLE_KEYS[n]) for n in TABLES})
+    return cn.file_nonnull_counts(spark, {n: (table_path(sf_dir, n), TABLE_KEYS[n]) for n in TABLES})
 
 
 # --- R9 / R10 overlays -------------------------------------------------------
@@ -617,6 +642,12 @@ def q_flight_tables_one_pass(spark, sf_dir):
     return out
 
 
+@query("flight_table_coalesced", ORACLE["topk_count"])
+def q_flight_table_coalesced(spark, sf_dir):
+    """Departures from two thirds of the scan's partitions, merged without a shuffle."""
+    return rp.flight_reports(_events_flights_all(spark, sf_dir), FLIGHT_TOP, keep_fraction=2 / 3, cache=False)["departures"]
+
+
 @query("state_report_all", f"""
 WITH {SQL_STATES.strip()},
 sides AS (SELECT 'control' AS side, resource, state FROM ctl UNION ALL SELECT 'candidate', resource, state FROM cand)
@@ -664,6 +695,13 @@ def q_access_value_join_salted(spark, sf_dir):
                                 rd.price_list(t(spark, sf_dir, "part")), salts=8)
 
 
+@query("access_value_join_hot", ORACLE["access_value_join"])
+def q_access_value_join_hot(spark, sf_dir):
+    """Sizes with over a hundredth of the requests, found by a sketch, are spread; the rest joins once."""
+    return rp.access_value_join(rd.access_lines(t(spark, sf_dir, "events")),
+                                rd.price_list(t(spark, sf_dir, "part")), hot_share=0.01)
+
+
 @query("resolver_drift_landed", ORACLE["resolver_drift"])
 def q_resolver_drift_landed(spark, sf_dir):
     """The drift report over extracted rows landed once as parquet."""
@@ -708,6 +746,78 @@ def q_state_crosstab_totals(spark, sf_dir):
     return rc.state_crosstab_all(c, d, STATE_CONTROL_RANGE, STATE_CANDIDATE_RANGE, totals=True)
 
 
+@query("state_line_counts", f"""
+WITH {SQL_STATES.strip()}, n AS (SELECT count(*) AS lines FROM orders),
+s AS (SELECT 'control' AS side, (SELECT count(*) FROM state_rows WHERE o_orderkey % 17 <> 0) AS accepted,
+        (SELECT count(*) FROM ctl) AS reported
+      UNION ALL SELECT 'candidate', (SELECT count(*) FROM state_rows WHERE o_orderkey % 13 <> 0), (SELECT count(*) FROM cand))
+SELECT side, lines, accepted, lines - accepted AS refused, reported FROM s, n""")
+def q_state_line_counts(spark, sf_dir):
+    """Lines read, accepted and refused, from the pass that writes the crosstab, beside the rows it reports."""
+    from logledger.operators.extract import extract_states
+    from logledger.operators.observe import observed
+    logs = dict(zip(("control", "candidate"), _state_logs(spark, sf_dir)))
+    seen = {side: observed(log, lambda rows, side=side: extract_states(rows, side)) for side, log in logs.items()}
+    path = scratch_path(spark, "crosstab")
+    rc.state_crosstab_all(seen["control"][0], seen["candidate"][0], STATE_CONTROL_RANGE, STATE_CANDIDATE_RANGE,
+                          totals=True).write.parquet(path)
+    total = spark.read.parquet(path).filter("grouping = 'total'")
+    counts = {side: c.get() for side, (_, c) in seen.items()}
+    parts = [total.select(F.lit(side).alias("side"), *[F.lit(n).cast("long").alias(k) for k, n in counts[side].items()],
+                          F.coalesce(f"{side}_sum", F.lit(0)).alias("reported")) for side in logs]
+    return parts[0].unionByName(parts[1])
+
+
+# --- quarantine ----------------------------------------------------------------
+def _quarantined(spark, lines, judge, columns) -> DataFrame:
+    """Lines as text files, judged and landed in one pass; good rows and quarantined lines as read back."""
+    from logledger.sources import quarantine as qr
+    text, landed = scratch_path(spark, "lines"), scratch_path(spark, "judged")
+    lines.write.text(text)
+    qr.land_judged(judge(qr.read_lines_with_file(spark, text)), landed)
+    bad = qr.read_quarantined(spark, landed).select(
+        "line", F.col("file").contains(text.rpartition("/")[2]).alias("file_known"), "reason")
+    return qr.read_good(spark, landed, columns).unionByName(bad, allowMissingColumns=True)
+
+
+_NO_BAD = "CAST(NULL AS VARCHAR) AS line, CAST(NULL AS BOOLEAN) AS file_known, CAST(NULL AS VARCHAR) AS reason"
+
+
+@query("ratings_quarantine", f"""
+WITH {SQL_RATINGS}, l AS (SELECT *, u || '::' || i || '::' || CASE WHEN (u + i) % 23 = 0 THEN 'n/a' ELSE rating::VARCHAR END
+  || CASE WHEN (u + i) % 19 = 0 THEN '' ELSE '::' || (978300000 + i) END AS line FROM rt)
+SELECT CAST(u AS INTEGER) AS user_id, CAST(i AS INTEGER) AS movie_id, CAST(rating AS FLOAT) AS rating, {_NO_BAD}
+FROM l WHERE (u + i) % 19 <> 0 AND (u + i) % 23 <> 0
+UNION ALL SELECT NULL, NULL, NULL, line, TRUE, CASE WHEN (u + i) % 19 = 0 THEN 'not 4 fields' ELSE 'rating is no float' END
+FROM l WHERE (u + i) % 19 = 0 OR (u + i) % 23 = 0""")
+def q_ratings_quarantine(spark, sf_dir):
+    from logledger.sources import quarantine as qr
+    return _quarantined(spark, rd.broken_rating_lines(ratings(spark, sf_dir)), qr.judge_ratings, qr.RATING_COLUMNS)
+
+
+@query("movies_quarantine", f"""
+WITH l AS (SELECT *, CASE WHEN p_partkey % 19 = 0 THEN 'm' ELSE '' END || p_partkey || '::' || p_name AS head FROM part)
+SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS title, p_type || '|' || p_brand AS genres, {_NO_BAD}
+FROM l WHERE p_partkey % 19 <> 0 AND p_partkey % 23 <> 0
+UNION ALL SELECT NULL, NULL, NULL, CASE WHEN p_partkey % 23 = 0 THEN head ELSE head || '::' || p_type || '|' || p_brand END,
+  TRUE, CASE WHEN p_partkey % 23 = 0 THEN 'not 3 fields' ELSE 'id is no int' END
+FROM l WHERE p_partkey % 19 = 0 OR p_partkey % 23 = 0""")
+def q_movies_quarantine(spark, sf_dir):
+    from logledger.sources import quarantine as qr
+    found = _quarantined(spark, rd.broken_movie_lines(t(spark, sf_dir, "part")), qr.judge_movies, qr.MOVIE_COLUMNS)
+    return found.withColumn("genres", F.when(F.col("genres").isNotNull(), F.array_join("genres", "|")))
+
+
+@query("counts_quarantine", f"""
+WITH l AS (SELECT o_custkey AS k, 'Customer' || o_custkey AS resource, count(*) AS n FROM orders GROUP BY o_custkey)
+SELECT resource, n AS count, {_NO_BAD} FROM l WHERE k % 19 <> 0 AND k % 23 <> 0
+UNION ALL SELECT NULL, NULL, CASE WHEN k % 19 = 0 THEN resource ELSE resource || ' - many' END, TRUE,
+  CASE WHEN k % 19 = 0 THEN 'not 2 fields' ELSE 'count is no bigint' END FROM l WHERE k % 19 = 0 OR k % 23 = 0""")
+def q_counts_quarantine(spark, sf_dir):
+    from logledger.sources import quarantine as qr
+    return _quarantined(spark, rd.broken_count_lines(t(spark, sf_dir, "orders")), qr.judge_counts, qr.COUNT_COLUMNS)
+
+
 # --- real files ---------------------------------------------------------------
 @query("resolver_drift_files", ORACLE["resolver_drift"])
 def q_resolver_drift_files(spark, sf_dir):
@@ -745,3 +855,18 @@ def q_overlay_collection(spark, sf_dir):
     ov.save_overlays(content, None, "parquet", path)  # overwritten, not doubled
     ov.save_overlays(None, station, "parquet", path)
     return fl.read_format(spark, "parquet", path)
+
+
+@query("overlay_collection_rerun", ORACLE["overlay_collection"].replace(
+    "CAST(NULL AS BIGINT) AS st_numeric", "CAST(NULL AS BIGINT) AS st_numeric, 'content' AS run").replace(
+    "| s_suppkey FROM supplier", "| s_suppkey, 'station' FROM supplier"))
+def q_overlay_collection_rerun(spark, sf_dir):
+    """Both jobs run twice, the station job first with half of its rows: one copy of each remains."""
+    path = scratch_path(spark, "overlay-runs")
+    content = ov.content_overlays(rd.content_overlay_rows(t(spark, sf_dir, "part")))
+    station = ov.station_overlays(rd.station_overlay_rows(t(spark, sf_dir, "supplier")))
+    ov.save_overlays(None, station.filter("mfsid % 2 = 0"), "parquet", path, run="station")
+    for _ in range(2):
+        ov.save_overlays(content, None, "parquet", path, run="content")
+        ov.save_overlays(None, station, "parquet", path, run="station")
+    return fl.read_format(spark, "parquet", path)

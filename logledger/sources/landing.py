@@ -11,30 +11,47 @@ landed rows).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from logledger.operators.extract import extract_resolver_raw, extract_states
+from logledger.sinks import save_table
 
+MATCH_KEYS = ["resource", "pub_id", "rovi_id", "old_pub_id"]  # of matched_differences
 RESOLVER_SCHEMA = "rovi_id long, pub_id long, old_pub_id string, state string, dirty_size long, resource string"
 STATE_SCHEMA = "rovi_id long, state string, pub_id long, resource string"
 
 
-def _land(rows: DataFrame, path: str, mode: str, tasks: int) -> None:
-    """Parquet partitioned by resource; a resource's rows meet in ``tasks`` tasks, so in as many files."""
-    part = F.pmod(F.xxhash64("pub_id", "rovi_id"), F.lit(tasks))
-    (rows.withColumn("_part", part).repartition("resource", "_part").drop("_part")
-     .sortWithinPartitions("resource", "pub_id").write.mode(mode).partitionBy("resource").parquet(path))
+def _land(rows: DataFrame, path: str, mode: str) -> None:
+    """Parquet partitioned by resource, in files of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
 
+    The rebalance sends a resource to one partition; where that is too large
+    AQE splits it by what the shuffle really wrote, and joins small ones, so
+    the number of a resource's files follows its bytes.
+    """
+    (rows.hint("rebalance", "resource").sortWithinPartitions("resource", "pub_id")
+     .write.mode(mode).partitionBy("resource").parquet(path))
 
-def land_resolver(lines: DataFrame, dialect: str, path: str, mode: str = "overwrite", tasks: int = 8) -> None:
+
+def land_resolver(lines: DataFrame, dialect: str, path: str, mode: str = "overwrite") -> None:
     """Resolver lines -> parquet of (resource, rovi_id, pub_id, old_pub_id, state, dirty_size)."""
-    _land(extract_resolver_raw(lines, dialect), path, mode, tasks)
+    _land(extract_resolver_raw(lines, dialect), path, mode)
 
 
-def land_states(lines: DataFrame, dialect: str, path: str, listener_digits: int = 1,
-                mode: str = "overwrite", tasks: int = 8) -> None:
+def land_states(lines: DataFrame, dialect: str, path: str, listener_digits: int = 1, mode: str = "overwrite") -> None:
     """State lines -> parquet of (rovi_id, resource, state, pub_id)."""
-    _land(extract_states(lines, dialect, listener_digits), path, mode, tasks)
+    _land(extract_states(lines, dialect, listener_digits), path, mode)
+
+
+def land_resolver_table(lines: DataFrame, dialect: str, table: str, buckets: int, mode: str = "overwrite",
+                        path: str | None = None) -> None:
+    """Resolver lines -> catalogue table in ``buckets`` buckets of the matching key, sorted by it.
+
+    Two tables of as many buckets are joined by that key without an exchange,
+    as often as the report is run.  The key holds ids, so a hot resource is
+    spread over all buckets; choose ``buckets`` so that one fits a task.  Files
+    are sorted by resource first: a resource list skips row groups.
+    """
+    rows = extract_resolver_raw(lines, dialect).repartition(buckets, *MATCH_KEYS)
+    save_table(rows, table, mode, bucket_by=(buckets, *MATCH_KEYS), path=path)
 
 
 def read_landed(spark: SparkSession, path: str, schema: str = RESOLVER_SCHEMA) -> DataFrame:

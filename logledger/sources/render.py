@@ -238,6 +238,18 @@ def rating_lines(ratings: DataFrame) -> DataFrame:
     ).alias("value"))
 
 
+SHORT_EVERY, WORD_EVERY = 19, 23         # broken lines: a field is missing, or a word stands for a number
+
+
+def broken_rating_lines(ratings: DataFrame) -> DataFrame:
+    """:func:`rating_lines` with some broken: every 19th sum of ids lacks its time, every 23rd has no rating."""
+    both = F.col("user_id") + F.col("movie_id")
+    good = F.concat_ws("::", F.col("user_id").cast("string"), F.col("movie_id").cast("string"),
+                       F.when(both % WORD_EVERY == 0, F.lit("n/a")).otherwise(F.col("rating").cast("string")))
+    return ratings.select(F.when(both % SHORT_EVERY == 0, good).otherwise(
+        F.concat(good, F.lit("::"), (F.lit(978300000) + F.col("movie_id")).cast("string"))).alias("value"))
+
+
 MOVIE_TRAILING_EVERY = 11
 
 
@@ -250,6 +262,23 @@ def movie_lines(part: DataFrame) -> DataFrame:
                                    genres).alias("value"))
 
 
+def broken_movie_lines(part: DataFrame) -> DataFrame:
+    """:func:`movie_lines` with some broken: every 19th id has a letter before it, every 23rd no genres."""
+    key = F.col("p_partkey")
+    head = F.concat(F.when(key % SHORT_EVERY == 0, F.lit("m")).otherwise(F.lit("")), key.cast("string"))
+    return part.select(F.when(key % WORD_EVERY == 0, F.concat_ws("::", head, F.col("p_name"))).otherwise(
+        F.concat_ws("::", head, F.col("p_name"), F.concat_ws("|", F.col("p_type"), F.col("p_brand")))).alias("value"))
+
+
+def broken_count_lines(orders: DataFrame) -> DataFrame:
+    """A count line per customer; every 19th has no count, every 23rd a count of words."""
+    key = F.col("o_custkey")
+    counts = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).cast("string").alias("n"))
+    name = F.concat(F.lit("Customer"), key.cast("string"))
+    return counts.select(F.when(key % SHORT_EVERY == 0, name).when(key % WORD_EVERY == 0, F.concat(name, F.lit(" - many")))
+                         .otherwise(F.concat(name, F.lit(" - "), F.col("n"))).alias("value"))
+
+
 def split_bucket(user: Column, item: Column) -> Column:
     """Deterministic split bucket 0..9 of a rating: (user*31 + item*17) % 10."""
     return (user.cast("long") * 31 + item.cast("long") * 17) % 10

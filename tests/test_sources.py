@@ -133,3 +133,15 @@ def test_rendered_logs_have_a_line_per_row(spark):
         assert rd.resolver_detail_lines(items, side).count() == items.count()
     for env in ("control", "candidate", "third"):
         assert rd.priority_counts(orders, env).agg(F.sum("count")).first()[0] == orders.count()
+
+
+def test_runs_replace_their_own_rows(spark, tmp_path):
+    from logledger import sinks
+    path = str(tmp_path / "runs")
+    for _ in range(2):
+        sinks.write_run(spark.range(5), "parquet", path, "a")
+    sinks.write_run(spark.range(3), "parquet", path, "b")
+    sinks.write_run(spark.range(2), "parquet", path, "b")
+    sinks.write_run(spark.range(0), "parquet", path, "a")       # nothing to write leaves the earlier copy
+    back = fl.read_format(spark, "parquet", path)
+    assert sorted((r.run, r["count"]) for r in back.groupBy("run").count().collect()) == [("a", 5), ("b", 2)]
