@@ -65,21 +65,28 @@ def same(got, want):
     assert got[3:] == pytest.approx(want[3:], rel=1e-9)
 
 
-def test_query_matches_brute_force(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+def test_whole_table_matches_brute_force_of_order_2(spark, tmp_path):
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = table.collect()
     out = {d.doc_id: zlib.crc32(str(d.doc_id).encode()) % 10 == 0 for d in docs}
     want, _, _ = brute([d.text for d in docs if not out[d.doc_id]], [d.text for d in docs])
-    got = {r.doc_id: r for r in QUERIES["op4_lm_scoring"](spark, SF).collect()}
+    model = kn.train(table.filter(~kn.held_out(table["doc_id"])), f"{tmp_path}/m", order=2)
+    got = {r.doc_id: r for r in kn.score(table, model).collect()}
     assert len(got) == len(docs)
     better = 0
     for d, w in zip(docs, want, strict=True):
         r = got[d.doc_id]
-        assert r.held_out == out[d.doc_id]
-        same((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score), w)
+        same((r.n_tokens, r.n_known, model.n_tokens, r.base_score, r.score), w)
         better += r.score > r.base_score
     assert better > 0.5 * len(docs)
 
 
+def test_query_columns(spark):
+    rows = QUERIES["op4_lm_scoring"](spark, SF).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 10 == 0) for r in rows)
+    assert len({r.train_tokens for r in rows}) == 1 and rows[0].train_tokens == sum(r.n_tokens for r in rows if not r.held_out)
+
+
 @pytest.mark.parametrize("shards", [1, 5])
 def test_odd_rows(spark, odd_docs, tmp_path, shards):
     docs = odd_docs.collect()
