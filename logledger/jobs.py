@@ -23,7 +23,7 @@ from logledger.plans import overlays as ov
 from logledger.plans import reconcile as rc
 from logledger.plans import recommend as rm
 from logledger.plans import reports as rp
-from logledger.session import build_session, scratch_path
+from logledger.session import build_session, remove_scratch
 from logledger.sources import counts as cn
 from logledger.sources import files as fl
 from logledger.sources.landing import RESOLVER_SCHEMA, STATE_SCHEMA, read_landed
@@ -60,8 +60,10 @@ def states(spark, control, candidate, *b):
     """Per-side state counts (bounds optional)."""
     c, d = _side(spark, control, STATE_SCHEMA), _side(spark, candidate, STATE_SCHEMA)
     cr, dr = (_rng(b[0], b[1]), _rng(b[2], b[3])) if len(b) >= 4 else (None, None)
-    for name, df in rc.state_report(c, d, cr, dr).items():
+    report = rc.state_report(c, d, cr, dr)
+    for name, df in report.items():
         _show(name, df)
+    report.release()
 
 
 def states_crosstab(spark, control, candidate, cl, cu, dl, du):
@@ -144,8 +146,10 @@ def station_overlays(spark, csv, out, fmt="parquet"):
 
 def flights(spark, path):
     """Top-10 flight reports over parquet."""
-    for name, df in rp.flight_reports(fl.read_parquet(spark, path), 10, keep_fraction=2 / 3).items():
+    report = rp.flight_reports(fl.read_parquet(spark, path), 10, keep_fraction=2 / 3)
+    for name, df in report.items():
         _show(name, df, 10)
+    report.release()
 
 
 def zips(spark, path, state="CA", min_pop="40000"):
@@ -158,8 +162,7 @@ def zips(spark, path, state="CA", min_pop="40000"):
     z.createOrReplaceTempView("zips_table")
     _show("cities (SQL)", rp.city_population_sql(spark, "zips_table", state, 10), 10)
     spark.sql("DROP TABLE IF EXISTS zips_managed")
-    # table files below the shared scratch folder: a fresh location per run
-    sinks.save_table(z, "zips_managed", path=scratch_path(spark, "zips_managed"))
+    sinks.save_table(z, "zips_managed")  # a managed table: dropping it above removed its files
     sinks.cache_table(spark, "zips_managed")
     rp.register_zip_to_int(spark)
     _show("zip_to_int", spark.sql("SELECT city, zip_to_int(zip) AS zip_int FROM zips_managed ORDER BY zip_int"), 10)
@@ -246,7 +249,10 @@ def main(argv: list[str] | None = None) -> None:
         print("jobs: " + ", ".join(sorted(JOBS)))
         sys.exit(2)
     spark = build_session()
-    JOBS[argv[0]](spark, *argv[1:])
+    try:
+        JOBS[argv[0]](spark, *argv[1:])
+    finally:
+        remove_scratch(spark)
 
 
 if __name__ == "__main__":

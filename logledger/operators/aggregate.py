@@ -18,3 +18,15 @@ def side_sums(tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
 def group_count(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
+
+
+class Reports(dict):
+    """Tables, by name, that are read from one cached aggregate; :meth:`release` drops it when they have been shown."""
+
+    def __init__(self, tables: dict[str, DataFrame], cached: DataFrame | None = None):
+        super().__init__(tables)
+        self.cached = cached
+
+    def release(self) -> None:
+        if self.cached is not None:
+            self.cached.unpersist()

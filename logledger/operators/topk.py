@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-GROUP_PARTS = 16
-
-
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
@@ -39,18 +36,26 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str | C
                     n: int | None, rank_col: str | None = None) -> DataFrame:
     """Keep the first ``n`` rows of every group by ``order`` (all rows when n is None).
 
-    In two stages, whatever n is: a group is dealt into ``GROUP_PARTS`` parts
-    by a hash of the whole row, each part keeps its first n, and the group's
-    first n are taken from those.  A hot group is ranked by as many tasks, and
-    the last one sees n rows of each part at most.  ``order`` should end in a
-    unique tie-break.
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000) rows, every
+    task keeps its own first n of a group before the exchange, so a hot group's
+    last task ranks n rows of each task.  Beyond that Spark sends whole groups,
+    so a group is first dealt into as many parts as there are shuffle
+    partitions, by a hash of the whole row, each part keeps its first n, and
+    the group's first n are taken from those.  ``order`` should end in a unique
+    tie-break.
     """
     if n is None:
         return df
     rc = rank_col or "_rn"
-    dealt = df.withColumn("_part", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(GROUP_PARTS)))
-    for keys in ([*group, "_part"], list(group)):
+
+    def first(rows: DataFrame, keys: list[str]) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(*_cols(order))
-        dealt = dealt.withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n)
-    out = dealt.drop("_part")
+        return rows.withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n)
+
+    conf = df.sparkSession.conf
+    if n > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        parts = int(conf.get("spark.sql.shuffle.partitions", "200"))
+        dealt = df.withColumn("_part", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(parts)))
+        df = first(dealt, [*group, "_part"]).drop("_part", rc)
+    out = first(df, list(group))
     return out if rank_col else out.drop(rc)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from logledger.functions.flags import drift_flag
 from logledger.functions.text import signed_text
-from logledger.operators.aggregate import group_count, side_sums
+from logledger.operators.aggregate import Reports, group_count, side_sums
 from logledger.operators.extract import (extract_resolver_raw, extract_resolver_tagged,
                                          extract_states, is_lines, tag_side)
 from logledger.operators.filters import open_upper, within, within_any
@@ -46,10 +46,11 @@ def state_counts(lines: DataFrame, side: str, rng: Range | None = None, by: str
 
 def state_report(control: DataFrame, candidate: DataFrame, control_range: Range | None = None,
                  candidate_range: Range | None = None, listener_digits: int = 1,
-                 cache: bool = True) -> dict[str, DataFrame]:
+                 cache: bool = True) -> Reports:
     """The six tables of the per-side state summary (by state, by resource, by
     both, for each side) from one scan of each log and one grouping-sets
-    aggregate; the aggregate (one row per key) is kept in memory."""
+    aggregate; the aggregate (one row per key) is kept in memory until the
+    result's ``release()``."""
     c = states_in_range(control, "control", control_range, listener_digits).withColumn("side", F.lit("control"))
     d = states_in_range(candidate, "candidate", candidate_range, listener_digits).withColumn(
         "side", F.lit("candidate"))
@@ -65,7 +66,7 @@ def state_report(control: DataFrame, candidate: DataFrame, control_range: Range
             keys = STATE_GROUPINGS[by]
             out[f"{side}_by_{by}"] = (g.filter((F.col("_g") == gid) & (F.col("side") == side))
                                       .select(*keys, "count").orderBy(*keys))
-    return out
+    return Reports(out, g if cache else None)
 
 
 # R2 ------------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logledger.functions.time import log_time_to_utc
+from logledger.operators.aggregate import Reports
 from logledger.operators.extract import extract_access
 from logledger.operators.joins import hot_join, salted_join, spread
 from logledger.operators.topk import top_counts, top_k
@@ -44,7 +45,7 @@ def flight_report(flights: DataFrame, name: str, k: int = 10, min_year: int = 19
 
 
 def flight_reports(flights: DataFrame, k: int = 10, min_year: int = 1990,
-                   keep_fraction: float | None = None, cache: bool = True) -> dict[str, DataFrame]:
+                   keep_fraction: float | None = None, cache: bool = True) -> Reports:
     """Top-k departures, delays >= 15 / >= 60, cancellations by origin and by
     quarter, and busiest routes.
 
@@ -52,7 +53,7 @@ def flight_reports(flights: DataFrame, k: int = 10, min_year: int = 1990,
     for a single table, which can push its filter into the scan): a grouping-sets aggregate over
     (origin), (quarter), (origin, dest) with conditional counts (partial
     aggregation before the shuffle), kept in memory (it has one row per key,
-    not per flight).  Each table is a top-k of that aggregate; keys whose count
+    not per flight) until the result's ``release()``.  Each table is a top-k of that aggregate; keys whose count
     is zero are left out, as a filter before counting would; ties are cut by
     the key.
     """
@@ -74,14 +75,14 @@ def flight_reports(flights: DataFrame, k: int = 10, min_year: int = 1990,
             *keys, F.col(measure).alias(name))
         return top_k(rows, [F.col(name).desc()], k, tie_break=list(keys))
 
-    return {
+    return Reports({
         "departures": top(by_origin, ["origin"], "_all", "total_departures"),
         "delays_ge15": top(by_origin, ["origin"], "_d15", "total_delays_ge15"),
         "delays_ge60": top(by_origin, ["origin"], "_d60", "total_delays_ge60"),
         "cancellations_by_origin": top(by_origin, ["origin"], "_cx", "total_cancellations"),
         "cancellations_by_quarter": top(by_quarter, ["quarter"], "_cx", "total_cancellations"),
         "routes": top(by_route, ["origin", "dest"], "_all", "total_flights"),
-    }
+    }, agg if cache else None)
 
 
 # R12 -----------------------------------------------------------------------

@@ -91,9 +91,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path below the application's own part of the shared checkpoint folder."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{spark.sparkContext.applicationId}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a folder on any store that Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    store, place = hadoop_path(spark, path)
+    store.delete(place, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes what :func:`scratch_path` named in this application; for its end, when all results have been read."""
+    remove_folder(spark, _scratch_folder(spark))
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -17,7 +17,9 @@ from logledger.functions.text import signed_text
 from logledger.operators.aggregate import side_sums
 from logledger.operators.extract import extract_resolver_tagged
 from logledger.operators.filters import within_any
-from logledger.session import scratch_path
+from logledger.session import hadoop_path, remove_folder, scratch_path
+
+KEEP = 3
 
 
 def drift_stream(spark: SparkSession, control_dir: str, candidate_dir: str, shared,
@@ -44,7 +46,8 @@ def start_drift_to_table(stream: DataFrame, out_path: str, checkpoint: str | Non
                          available_now: bool = True) -> StreamingQuery:
     """Write each trigger's full report (complete mode) to a folder of its own below ``out_path``.
 
-    A reader (:func:`read_report`) so always finds a whole report.  The state
+    A reader (:func:`read_report`) so always finds a whole report; the last
+    ``KEEP`` stay, for readers that have begun with one of them.  The state
     and file log live in ``checkpoint`` (default: a folder under
     ``spark.checkpoint.dir``)."""
     spark = stream.sparkSession
@@ -52,6 +55,8 @@ def start_drift_to_table(stream: DataFrame, out_path: str, checkpoint: str | Non
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path}/trigger={number}")
+        for old in _triggers(spark, out_path)[:-KEEP]:
+            remove_folder(spark, f"{out_path}/trigger={old}")
 
     w = stream.writeStream.outputMode("complete").option("checkpointLocation", ckpt).foreachBatch(write)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -59,7 +64,13 @@ def start_drift_to_table(stream: DataFrame, out_path: str, checkpoint: str | Non
 
 
 def read_report(spark: SparkSession, out_path: str) -> DataFrame:
-    """The report of the last trigger that was written whole."""
-    reports = spark.read.parquet(out_path)
-    last = reports.agg(F.max("trigger")).first()[0]
-    return reports.filter(F.col("trigger") == last).drop("trigger")
+    """The report of the last trigger that was written whole; its folder alone is read."""
+    return spark.read.parquet(f"{out_path}/trigger={_triggers(spark, out_path)[-1]}")
+
+
+def _triggers(spark: SparkSession, out_path: str) -> list[int]:
+    """Numbers of the triggers whose reports are whole (their folders hold the writer's mark), in order."""
+    store, place = hadoop_path(spark, out_path)
+    names = [s.getPath() for s in store.listStatus(place) if s.isDirectory()]
+    mark = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(p.getName().partition("=")[2]) for p in names if store.exists(mark(p, "_SUCCESS")))

@@ -91,3 +91,25 @@ def test_coldstart_job(spark):
     assert unrated.count() == 5
     assert unrated.join(mine, ["movie_id"]).count() == 0          # rated movies excluded
     assert out[f"user_{NEW_USER}_from_all"].count() == 5 and out[f"user_{old}_from_all"].count() == 5
+
+
+def test_cached_aggregates_are_released(spark):
+    flights = spark.createDataFrame([(2000, 1, "A", "B", 20.0, 0), (2001, 2, "A", "C", 70.0, 1)],
+                                    "year int, quarter int, origin string, dest string, depdelay double, cancelled int")
+    report = rp.flight_reports(flights)
+    assert report["departures"].first()["total_departures"] == 2 and report.cached.storageLevel.useMemory
+    report.release()
+    assert not report.cached.storageLevel.useMemory
+    assert rp.flight_reports(flights, cache=False).cached is None
+
+
+def test_scratch_is_the_applications_own_and_goes(spark):
+    import os
+    from urllib.parse import urlparse
+    from logledger.session import remove_folder, scratch_path
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and spark.sparkContext.applicationId in a
+    spark.range(3).write.parquet(a)
+    assert spark.read.parquet(a).count() == 3
+    remove_folder(spark, a)
+    assert not os.path.exists(urlparse(a).path)
