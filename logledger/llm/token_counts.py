@@ -8,10 +8,13 @@ the last token there and the count of tokens relative to now.  States and
 transitions are made when a text first needs them; each transition carries the
 number of tokens that it adds.
 
-White space returns the machine to its start.  A chunk of a long text maps the
-state before it to the state after it and a count; the map is held as the
-chunk's open ends (the text before its first and after its last white space)
-and the count between, and these maps compose associatively, in a tree.
+The end of a split piece returns the machine to its start, and most ends can
+be told from the two characters beside them: white space, digits, and the end
+of a run of letters.  A chunk of a long text maps the state before it to the
+state after it and a count; between its first and its last such end the count
+doesn't depend on that state, so the map is held as the count between and the
+text outside, its open ends.  Maps of adjacent chunks compose associatively;
+Spark combines them some at a time, in rounds, as a tree.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 1 << 16
+TOGETHER = 16  # neighbouring maps that one round combines
 LIMIT = 2048
 MEMO, MEMO_LENGTH, STATES = 200_000, 64, 400_000
 
@@ -37,7 +41,9 @@ NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0Da-z0-9]+")
 UNICODE_SPLIT = regex.compile(SPLIT.replace(r"\s", r"\p{White_Space}"))
-WHITE = regex.compile(r"\p{White_Space}")
+# A piece ends between two characters, whatever stands further off.
+ENDS = r"(?<=[\p{White_Space}\p{N}])|(?=[\p{White_Space}\p{N}])|(?<=\p{L})(?!\p{L})"
+FIRST_END, LAST_END = regex.compile(ENDS), regex.compile("(?r)" + ENDS)
 
 
 def byte_chars() -> list[str]:
@@ -169,6 +175,7 @@ class Counter:
         self.transducer = Transducer(merges, model["vocab"], model["end_of_word_suffix"])
         self.memo = _Memo(self.transducer.count)
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]))
+        self.margin = max((len(t["content"]) for t in spec["added_tokens"]), default=0)
 
     def count(self, text: str) -> int:
         """Tokens of a text; the strings of special tokens are those tokens."""
@@ -182,14 +189,25 @@ class Counter:
         return sum(map(self.memo.__getitem__, UNICODE_SPLIT.findall(text)))
 
     def chunk_map(self, chunk: str) -> tuple[str, int, str | None]:
-        """(open beginning, tokens between, open end); the end is None if the chunk has no white space."""
-        first = WHITE.search(chunk)
-        if first is None:
+        """(open beginning, tokens between, open end); the end is None if the chunk has no certain end of a piece.
+
+        An end isn't certain next to a character whose small form is several
+        (its class may change), nor inside or near what may be a special token.
+        """
+        special = [(m.start(), m.end()) for m in self.special.finditer(chunk)]
+
+        def certain(i: int) -> bool:
+            return (len(chunk[i - 1].lower()) == len(chunk[i].lower()) == 1
+                    and not any(start < i < end for start, end in special))
+
+        low, high = max(self.margin, 1), len(chunk) - max(self.margin, 1)
+        ends = (m.start() for m in FIRST_END.finditer(chunk, low))
+        first = next((i for i in ends if i > high or certain(i)), None)
+        if first is None or first > high:
             return chunk, 0, None
-        last = len(chunk) - 1
-        while not WHITE.match(chunk[last]):
-            last -= 1
-        return chunk[:first.start()], self.count(chunk[first.start():last + 1]), chunk[last + 1:]
+        ends = (m.start() for m in LAST_END.finditer(chunk, 0, len(chunk)))
+        last = next(i for i in ends if i <= high and certain(i))
+        return chunk[:first], self.count(chunk[first:last]), chunk[last:]
 
     def compose(self, maps: list[tuple[str, int, str | None]]) -> tuple[str, int, str | None]:
         """The map of adjacent chunks together, combined in a tree."""
@@ -223,7 +241,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     A null or empty text has no bytes and no tokens.  Repeated rows and null
     keys are counted each on its own; an empty table gives an empty result;
     other columns are ignored.  Texts longer than ``chunk`` characters are
-    dealt out by chunks, so one long text is counted by many tasks.
+    dealt out by chunks, so one long text is counted by many tasks, with or
+    without white space; only a run of one class, letters or signs, that fills
+    whole chunks is passed on and counted where it ends.
     """
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     d = docs.select(F.col(key).alias(key), F.octet_length(t).cast("long").alias("n_bytes"), t.alias("_t"))
@@ -256,17 +276,26 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
                 names=["_row", key, "n_bytes", "_no", "head", "n", "tail"])
 
     def joined(rows: pd.DataFrame) -> pd.DataFrame:
-        machine = counter(tokenizer)
         rows = rows.sort_values("_no")
         maps = [(h, int(n), None if t is None else t) for h, n, t in zip(rows["head"], rows["n"], rows["tail"], strict=True)]
-        first = rows.iloc[:1]
-        return first[[key, "n_bytes"]].assign(n_tokens=machine.closed(machine.compose(maps)))
+        head, n, tail = counter(tokenizer).compose(maps)
+        return rows.iloc[:1].assign(_no=rows["_no"].iloc[0] // TOGETHER, head=head, n=n, tail=tail)
+
+    def closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = counter(tokenizer)
+        for b in batches:
+            n = [machine.closed(m) for m in zip(*(b.column(c).to_pylist() for c in ("head", "n", "tail")), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[1:3], pa.array(n, pa.int64())], names=[key, "n_bytes", "n_tokens"])
 
     long = long.select(F.monotonically_increasing_id().alias("_row"), key, "n_bytes", "_t")
     placed = long.select("_row", key, "n_bytes", F.lit(0).alias("_no"), F.lit("").alias("_chunk"))
     chunks = long.mapInArrow(cut, placed.schema).repartition("_row", "_no")
-    maps = chunks.mapInArrow(mapped, placed.select(
-        "_row", key, "n_bytes", "_no", F.lit("").alias("head"), F.lit(0).cast("long").alias("n"),
-        F.lit(None).cast("string").alias("tail")).schema)
-    counted = short.mapInArrow(whole, kinds).unionByName(maps.groupBy("_row").applyInPandas(joined, kinds))
+    form = placed.select("_row", key, "n_bytes", "_no", F.lit("").alias("head"), F.lit(0).cast("long").alias("n"),
+                         F.lit(None).cast("string").alias("tail")).schema
+    maps = chunks.mapInArrow(mapped, form).checkpoint()
+    most = maps.agg(F.max("_no")).first()[0] or 0
+    while most:
+        maps = maps.groupBy("_row", F.expr(f"_no div {TOGETHER}").alias("_part")).applyInPandas(joined, form)
+        most //= TOGETHER
+    counted = short.mapInArrow(whole, kinds).unionByName(maps.mapInArrow(closed, kinds))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -66,3 +66,29 @@ def test_long_pieces_and_few_states(machine, library, monkeypatch):
     monkeypatch.setattr(tc, "STATES", 50)
     text = "abracadabra" * 2000 + " " + "=" * 5000
     assert machine.count(text) == library(text)
+
+
+def test_long_chunks_with_and_without_white_space(machine, library):
+    rng = random.Random(10)
+    composed = [b for b in BITS if "\u0301" not in b and "\u0338" not in b]  # a text is composed before it is cut
+    closed = 0
+    for n in range(400):
+        bits = composed if n % 2 else [b for b in composed if not any(c.isspace() for c in b)]
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(20, 120)))
+        size = rng.randint(31, 150)
+        maps = [machine.chunk_map(text[i:i + size]) for i in range(0, len(text), size)]
+        assert machine.closed(machine.compose(maps)) == library(text), repr(text)
+        closed += sum(tail is not None for _, _, tail in maps) if n % 2 == 0 else 0
+    assert closed > 300
+
+
+def test_a_long_text_without_white_space_is_counted_by_its_chunks(spark, library, machine):
+    rng = random.Random(11)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    text = "".join(rng.choices(signs, k=150_000))
+    head, n, tail = machine.chunk_map(text[:4096])
+    assert n > 1000 and len(head) + len(tail) < 100
+    docs = spark.createDataFrame([(1, text), (2, "中文，字" * 9000), (3, "z" * 3000)], "doc_id long, text string")
+    for chunk in (1 << 16, 700):
+        got = {r.doc_id: r.n_tokens for r in tc.count_tokens(docs, PATH, chunk=chunk).collect()}
+        assert got == {r.doc_id: library(r.text) for r in docs.collect()}
