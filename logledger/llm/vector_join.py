@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from logledger.llm.components import connected_components
 
 COSINE = 0.93
-CELL, PIVOTS, BLOCK = 2048, 64, 2048
-SLACK = 1e-7
+CELL, PIVOTS = 2048, 64
+BLOCK, TILE = 16_384, 2048  # vectors shipped together, and compared at once
+SLACK, CLOSE = 1e-7, 1e-12
 GROUP = ["_label", "_dim"]
 
 
@@ -83,23 +84,44 @@ def _least_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         label = now
 
 
+def _near(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
+    """Which rows of a and b reach the cosine.
+
+    The last bits of a matrix product depend on its shape, so values next to the
+    threshold are summed once more in one order, the same for (a, b) and (b, a).
+    """
+    product = a @ b.T
+    near = product >= cosine
+    i, j = np.nonzero(np.abs(product - cosine) < CLOSE)
+    if len(i):
+        near[i, j] = (a[i] * b[j]).sum(axis=1) >= cosine
+    return near
+
+
 def _link(cosine: float):
     """Rows (a, b, n): the links n of home vector a, or an edge (a, b) of a forest over the block's links."""
     def run(homes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="Int64"), "n": pd.Series([], dtype="Int64")})
         if homes.empty or members.empty:
             return empty
-        near = _matrix(homes["_unit"]) @ _matrix(members["_unit"]).T >= cosine
+        a, b = _matrix(homes["_unit"]), _matrix(members["_unit"])
         h, m = homes["cid"].to_numpy(), members["cid"].to_numpy()
-        near &= h[:, None] != m[None, :]
-        counts = near @ members["copies"].to_numpy().astype(np.float64)
-        i, j = np.nonzero(near)
-        if not len(i):
-            return empty
         ids, place = np.unique(np.concatenate([h, m]), return_inverse=True)
-        root = _least_labels(place[i], place[len(h) + j], len(ids))
+        at_h, at_m, copies = place[:len(h)], place[len(h):], members["copies"].to_numpy().astype(np.float64)
+        counts, root = np.zeros(len(h)), np.arange(len(ids))
+        for x in range(0, len(a), TILE):
+            for y in range(0, len(b), TILE):
+                near = _near(a[x:x + TILE], b[y:y + TILE], cosine)
+                near &= h[x:x + TILE, None] != m[None, y:y + TILE]
+                counts[x:x + TILE] += near @ copies[y:y + TILE]
+                i, j = np.nonzero(near)
+                if len(i):  # the forest so far and the tile's links
+                    root = _least_labels(np.concatenate([np.arange(len(ids)), at_h[x + i]]),
+                                         np.concatenate([root, at_m[y + j]]), len(ids))
         inner = np.flatnonzero(root != np.arange(len(ids)))
         linked = np.flatnonzero(counts)
+        if not len(linked):
+            return empty
         return pd.DataFrame({
             "a": np.concatenate([h[linked], ids[inner]]),
             "b": pd.array([*[None] * len(linked), *ids[root[inner]].tolist()], "Int64"),

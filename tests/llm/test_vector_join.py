@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from logledger.llm import vector_join
@@ -67,3 +68,24 @@ def test_odd_rows(spark):
     out = vector_join.near_duplicates(df)
     assert rows(out.select("vec_id", "n_links", "component_id", "kept")) == brute(data)
     assert vector_join.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_tiles_and_ties_at_the_threshold(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 3))
+    x = np.concatenate([x, x[:20] + rng.normal(size=(20, 3)) * 0.05])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    frame = pd.DataFrame({"cid": np.arange(80), "copies": rng.integers(1, 4, 80), "_unit": [v.tobytes() for v in x]})
+    found = []
+    for tile in (2048, 7):
+        monkeypatch.setattr(vector_join, "TILE", tile)
+        out = vector_join._link(0.93)(frame[["cid", "_unit"]], frame)
+        forest = out[out.b.notna()]
+        label = vector_join._least_labels(forest.a.to_numpy(np.int64), forest.b.to_numpy(np.int64), 80)
+        found.append((out[out.n.notna()].set_index("a").n.astype(int).to_dict(), label.tolist()))
+    assert found[0] == found[1] and len(set(found[0][1])) < 80
+    pair = x[:2]
+    at = float((pair[0] * pair[1]).sum())
+    for cosine in (at, np.nextafter(at, 2)):
+        ways = {bool(vector_join._near(a, b, cosine)[0, 0]) for a, b in ((pair[:1], pair[1:]), (pair[1:], pair[:1]))}
+        assert ways == {cosine == at}
