@@ -10,6 +10,8 @@ equal shape are drawn.
 from __future__ import annotations
 
 import json
+import re
+import struct
 from collections.abc import Iterator
 from functools import cache
 
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 LENGTH = 1024
 END = 0
-MEMO = 200_000
+MEMO = 600_000  # runs a worker keeps, some 150 bytes each
 PIECES_AT_ONCE = 20_000
 
 
@@ -37,15 +39,17 @@ class _Memo(dict):
 
     def __init__(self, encode, special: list[str]):
         super().__init__()
-        self.encode, self.special = encode, special
+        self.encode = encode
+        self.marked = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
 
     def __missing__(self, run: str) -> bytes:
-        if not run or run[0].isspace() or run[-1].isspace() or any(s in run for s in self.special):
+        if not run or run[0].isspace() or run[-1].isspace() or self.marked(run):
             raise _Whole
         if len(self) >= MEMO:
             self.clear()
-        ids = self[run] = np.array(self.encode(" " + run), "<u4").tobytes()
-        return ids
+        ids = self.encode(" " + run)
+        packed = self[run] = struct.pack(f"<{len(ids)}I", *ids)
+        return packed
 
 
 def _byte_chars() -> dict[str, int]:
@@ -90,7 +94,7 @@ class Encoder:
             # a letter before the first run makes it one like the others
             first, *rest = text.split(" ")
             try:
-                if any(s in first for s in self.memo.special) or first[-1:].isspace() or not first:
+                if not first or first[-1].isspace() or self.memo.marked(first):
                     raise _Whole
                 return self.whole(first) + b"".join(map(self.memo.__getitem__, rest))
             except _Whole:
@@ -98,7 +102,8 @@ class Encoder:
         return self.whole(text)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @cache
