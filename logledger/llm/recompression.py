@@ -69,7 +69,7 @@ def window_names(names: np.ndarray, width: int, seed: int) -> np.ndarray:
 
 
 def anchors(names: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, anchor's name, anchor's first word, its round) of every window inside one text.
+    """(first word, anchor's name, anchor's first word, the round that named it) of every window inside one text.
 
     ``names`` holds the words of some texts one after another, ``text`` which.
     """
@@ -77,14 +77,16 @@ def anchors(names: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray
     first = np.flatnonzero(text[:n - width + 1] == text[width - 1:]) if n >= width else np.zeros(0, np.int64)
     found, place, level = np.zeros(len(first), np.uint64), np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
     live, lo, hi = np.arange(len(first)), first, first + width - 1
-    symbol, at, owner, k = names, np.arange(n), text, 0
+    symbol, at, owner, born, k = names, np.arange(n), text, np.zeros(n, np.int64), 0
     while len(live):
         same = owner[1:] == owner[:-1]
         if k % RUNS_EVERY == 0:
             head = np.r_[True, ~(same & (symbol[1:] == symbol[:-1]))]
             starts = np.flatnonzero(head)
             count = np.diff(np.r_[starts, len(symbol)])
-            after = np.where(count > 1, _named(symbol[starts], count.astype(np.uint64), 2 * k + 100), symbol[starts])
+            joined = np.flatnonzero(count > 1)
+            after = symbol[starts]
+            after[joined] = _named(after[joined], count[joined].astype(np.uint64), 2 * k + 100)
             number = np.cumsum(head) - 1
             new_lo, new_hi = number[lo] + 1, number[hi] - 1  # runs at the ends may go on outside
         else:
@@ -93,8 +95,8 @@ def anchors(names: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray
             head = np.r_[True, ~joins]
             starts = np.flatnonzero(head)
             after = symbol[starts]
-            pair = np.flatnonzero(np.r_[joins, False][starts])
-            after[pair] = _named(symbol[starts[pair]], symbol[starts[pair] + 1], 2 * k + 101)
+            joined = np.flatnonzero(np.r_[joins, False][starts])
+            after[joined] = _named(after[joined], symbol[starts[joined] + 1], 2 * k + 101)
             number = np.cumsum(head) - 1
             inner_lo, inner_hi = lo + right[lo], hi - ~right[hi]  # these may join what is outside
             none = inner_lo > inner_hi
@@ -102,9 +104,10 @@ def anchors(names: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray
             new_hi[none] = new_lo[none] - 1
         over = new_lo > new_hi
         ended = live[over]
-        found[ended], place[ended], level[ended] = symbol[lo[over]], at[lo[over]], k
+        found[ended], place[ended], level[ended] = symbol[lo[over]], at[lo[over]], born[lo[over]]
         live, lo, hi = live[~over], new_lo[~over], new_hi[~over]
-        symbol, at, owner, n, k = after, at[starts], owner[starts], len(starts), k + 1
+        symbol, at, owner, born, n, k = after, at[starts], owner[starts], born[starts], len(starts), k + 1
+        born[joined] = k
     return first, found, place, level
 
 
@@ -148,7 +151,7 @@ def _name_anchors(width: int):
             k1, k2 = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_k1", "_k2"))
             for x, piece, text, number in _pieces([word_names(w) for w in split], width):
                 _, name, at, level = anchors(x, piece, width)
-                new = np.r_[True, (name[1:] != name[:-1]) | (at[1:] != at[:-1])]
+                new = np.r_[True, (level[1:] != level[:-1]) | (at[1:] != at[:-1])]
                 name, at, level = name[new], at[new], level[new]
                 _, one = np.unique(at << WORD_SHIFT | level, return_index=True)
                 i, w = text[at[one]], number[at[one]]
@@ -195,11 +198,10 @@ def _candidates(width: int):
             copies = b.column("copies").to_pylist()
             gone = [n > 1 and len(w) >= width for n, w in zip(copies, split, strict=True)]
             sha = [_sha([] if g else w) if g or not s else None for g, w, s in zip(gone, split, starts, strict=True)]
-            texts = pa.array([bool(s) for s in starts])
+            texts = b.column("text").take(pa.array([i if s else None for i, s in enumerate(starts)], pa.int64()))
             yield pa.RecordBatch.from_arrays([
                 b.column("_k1"), b.column("_k2"), b.column("copies"), pa.array([len(w) for w in split], pa.int64()),
-                pa.array(sha, pa.string()), pc.if_else(texts, b.column("text"), pa.scalar(None, pa.string())),
-                pa.array(starts, pa.list_(pa.list_(pa.int32())))],
+                pa.array(sha, pa.string()), texts, pa.array(starts, pa.list_(pa.list_(pa.int32())))],
                 names=["_k1", "_k2", "copies", "n_words", "kept_sha256", "text", "starts"])
     return run
 

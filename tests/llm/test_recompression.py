@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,23 @@ def test_long_texts_are_cut_with_an_overlap(spark, monkeypatch):
     assert seen == want and run(spark, data, 8) == brute_force(data, 8)
 
 
+def test_batches_are_cut_into_slices(monkeypatch):
+    data = [(i, t) for i, t in passages(9, 50)] + [(50, None), (51, "")]
+    batch = pa.RecordBatch.from_arrays([
+        pa.array([t for _, t in data], pa.string()), pa.array([k for k, _ in data]), pa.array([7] * len(data)),
+        pa.array([1] * len(data)), pa.array([None if k % 3 else [] for k, _ in data], pa.list_(pa.int64()))],
+        names=["text", "_k1", "_k2", "copies", "places"])
+    whole = [r for b in rc._candidates(8)(iter([batch])) for r in b.to_pylist()]
+    names = [r for b in rc._name_anchors(8)(iter([batch])) for r in b.to_pylist()]
+    monkeypatch.setattr(rc, "PIECE", 16)
+    parts = list(rc._candidates(8)(iter([batch])))
+    joined = lambda rows: [{**r, "starts": sorted({i for a, z in r["starts"] for i in range(a, z)})} for r in rows]
+    assert len(parts) > 5 and joined(whole) == joined([r for b in parts for r in b.to_pylist()])
+    assert len(whole) == 52 and all((r["text"] is None) == (r["n_words"] < 8) for r in whole)
+    found = {(r["name"], r["_k1"], r["place"]) for b in rc._name_anchors(8)(iter([batch])) for r in b.to_pylist()}
+    assert found == {(r["name"], r["_k1"], r["place"]) for r in names}
+
+
 def test_equal_windows_have_equal_anchors():
     split = [rc.word_names(t.encode().split()) for _, t in passages(8, 200)]
     by_window = {}
