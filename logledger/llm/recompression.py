@@ -7,8 +7,8 @@ round give the same name to the same thing without a table of names.  What
 happens inside a passage then depends on the passage alone, but for a name lost
 at either end: the rest, its core, looks the same wherever the passage occurs.
 
-The anchor of a window of words is a symbol of its core in the last round that
-leaves one.  Spark counts where each anchor's name occurs: a window whose anchor
+The anchor of a window of words is a symbol of its core after some rounds.
+Spark counts where each anchor's name occurs: a window whose anchor
 occurs at one place is not repeated.  The other windows, those inside and next
 to repeated passages, are named whole and counted in the same way, which
 verifies them.  Either count returns the names with one place, so a passage
@@ -18,7 +18,7 @@ that occurs everywhere is only aggregated, never gathered.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,7 @@ from logledger.session import scratch_path
 
 WINDOW = 35
 RUNS_EVERY = 6       # a round of runs, then this many less one of pairs
+CORE = 4             # symbols of the smallest core that an anchor is taken from
 PIECE = 1 << 18      # words that one task names at once; longer texts are cut with an overlap
 # a place is the second half of the text's key, the word's number and the round, packed into a long
 WORD_SHIFT, KEY_SHIFT, KEY_BITS = 6, 38, 25
@@ -72,6 +73,8 @@ def anchors(names: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray
     """(first word, anchor's name, anchor's first word, the round that named it) of every window inside one text.
 
     ``names`` holds the words of some texts one after another, ``text`` which.
+    The anchor is the smallest name of the last core of ``CORE`` symbols or more,
+    so neighbouring windows mostly share theirs; smaller cores aren't followed.
     """
     n = len(names)
     first = np.flatnonzero(text[:n - width + 1] == text[width - 1:]) if n >= width else np.zeros(0, np.int64)
@@ -99,12 +102,14 @@ def anchors(names: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray
             after[joined] = _named(after[joined], symbol[starts[joined] + 1], 2 * k + 101)
             number = np.cumsum(head) - 1
             inner_lo, inner_hi = lo + right[lo], hi - ~right[hi]  # these may join what is outside
-            none = inner_lo > inner_hi
             new_lo, new_hi = number[np.minimum(inner_lo, n - 1)], number[inner_hi]
-            new_hi[none] = new_lo[none] - 1
-        over = new_lo > new_hi
-        ended = live[over]
-        found[ended], place[ended], level[ended] = symbol[lo[over]], at[lo[over]], born[lo[over]]
+            new_hi = np.where(inner_lo > inner_hi, new_lo - 1, new_hi)
+        over = new_hi - new_lo < CORE - 1
+        ended, best, end = live[over], lo[over], hi[over]
+        for step in range(1, int((end - best).max(initial=0)) + 1):
+            other = np.minimum(lo[over] + step, end)
+            best = np.where(symbol[other] < symbol[best], other, best)
+        found[ended], place[ended], level[ended] = symbol[best], at[best], born[best]
         live, lo, hi = live[~over], new_lo[~over], new_hi[~over]
         symbol, at, owner, born, n, k = after, at[starts], owner[starts], born[starts], len(starts), k + 1
         born[joined] = k
@@ -178,6 +183,7 @@ def _sha(kept: list[bytes]) -> str:
 
 
 TEXTS = "_k1 long, _k2 long, copies long, n_words long, kept_sha256 string, text string, starts array<array<int>>"
+WINDOWS = "name long, more int, _t long, word int"
 
 
 def _candidates(width: int):
@@ -185,12 +191,12 @@ def _candidates(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, split in _batches(batches):
             row, value = _lists(b, "places")
-            alone = row << KEY_SHIFT | value & (1 << KEY_SHIFT) - 1
+            alone = np.append(np.sort(row << KEY_SHIFT | value & (1 << KEY_SHIFT) - 1), np.int64(-1))
             starts: list[list[list[int]]] = [[] for _ in split]
             for x, piece, text, number in _pieces([word_names(w) for w in split], width):
                 first, _, at, level = anchors(x, piece, width)
                 anchor = text[at] << KEY_SHIFT | number[at] << WORD_SHIFT | level
-                left = first[~np.isin(anchor, alone)]
+                left = first[alone[np.searchsorted(alone[:-1], anchor)] != anchor]
                 if len(left):
                     cuts = np.flatnonzero((np.diff(left) > 1) | (np.diff(piece[left]) > 0)) + 1
                     for a, z in zip(left[np.r_[0, cuts]].tolist(), left[np.r_[cuts - 1, len(left) - 1]].tolist(), strict=True):
@@ -207,28 +213,38 @@ def _candidates(width: int):
 
 
 def _name_windows(width: int):
-    """Rows (name, more, _k1, place) of the texts' windows that are left."""
+    """Rows (name, more of it, text's number, first word) of the texts' windows that are left."""
+    def emit(parts: list[tuple[np.ndarray, np.ndarray, int, int]]) -> pa.RecordBatch:
+        sizes = [len(p[0]) for p in parts]
+        word = np.concatenate([np.arange(start, start + n, dtype=np.int32) for (_, _, _, start), n in zip(parts, sizes, strict=True)])
+        name, more = (np.concatenate([p[i] for p in parts]) for i in range(2))
+        return pa.RecordBatch.from_arrays([
+            pa.array(name.view(np.int64)), pa.array(more.astype(np.uint32).view(np.int32)),
+            pa.array(np.repeat([p[2] for p in parts], sizes)), pa.array(word)], names=["name", "more", "_t", "word"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, split in _batches(batches):
-            for k1, k2, spans, w in zip(b.column("_k1").to_pylist(), b.column("_k2").to_pylist(), b.column("starts").to_pylist(),
-                                        split, strict=True):
+            parts, total = [], 0
+            for t, spans, w in zip(b.column("_t").to_pylist(), b.column("starts").to_pylist(), split, strict=True):
                 x = word_names(w)
                 for start, end in spans:
                     for a in range(start, end, PIECE):
                         part = x[a:min(end, a + PIECE) + width - 1]
-                        name, more = (window_names(part, width, seed).view(np.int64) for seed in (1, 2))
-                        place = k2 << KEY_SHIFT | np.arange(a, a + len(name)) << WORD_SHIFT
-                        yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(more), pa.array(np.full(len(name), k1)),
-                                                          pa.array(place)], names=["name", "more", "_k1", "place"])
+                        parts.append((window_names(part, width, 1), window_names(part, width, 2), t, a))
+                        total += len(parts[-1][0])
+                        if total >= PIECE:
+                            yield emit(parts)
+                            parts, total = [], 0
+            if parts:
+                yield emit(parts)
     return run
 
 
 def _cut(width: int):
-    """(_k1, _k2, n_removed, kept_sha256, removed) of texts, given the windows left that have one place."""
+    """(_t, n_removed, kept_sha256, removed) of texts, given the windows left that have one place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, split in _batches(batches):
-            row, value = _lists(b, "places")
-            word = (value & (1 << KEY_SHIFT) - 1) >> WORD_SHIFT
+            row, word = _lists(b, "places")
             by_row = np.searchsorted(row, np.arange(len(split) + 1))
             removed, n_removed, sha = [], [], []
             for i, (w, spans) in enumerate(zip(split, b.column("starts").to_pylist(), strict=True)):
@@ -241,24 +257,17 @@ def _cut(width: int):
                 removed.append(_spans(covered))
                 n_removed.append(int(covered.sum()))
                 sha.append(_sha([x for x, c in zip(w, covered.tolist(), strict=True) if not c]))
-            yield pa.RecordBatch.from_arrays([b.column("_k1"), b.column("_k2"), pa.array(n_removed, pa.int64()), pa.array(sha),
+            yield pa.RecordBatch.from_arrays([b.column("_t"), pa.array(n_removed, pa.int64()), pa.array(sha),
                                               pa.array(removed, pa.list_(pa.list_(pa.int32())))],
-                                             names=["_k1", "_k2", "n_removed", "kept_sha256", "removed"])
+                                             names=["_t", "n_removed", "kept_sha256", "removed"])
     return run
 
 
-def _alone(named: DataFrame, name: list[str]) -> DataFrame:
-    """(_k1, _k2, places): the places of each text whose name occurs there only."""
-    low, high = F.min, F.max
-    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("_k1", "place") for f in (low, high)]
-    one = named.groupBy(*name).agg(*ends).filter("min__k1 = max__k1 and min_place = max_place")
-    one = one.select(F.col("min__k1").alias("_u1"), F.shiftright("min_place", KEY_SHIFT).alias("_u2"), "min_place")
-    return one.groupBy("_u1", "_u2").agg(F.collect_list("min_place").alias("places"))
-
-
-def _with(texts: DataFrame, places: DataFrame, run: Callable, schema: str) -> DataFrame:
-    both = texts.join(places, (F.col("_k1") == F.col("_u1")) & (F.col("_k2") == F.col("_u2")), "left").drop("_u1", "_u2")
-    return both.mapInArrow(run, schema)
+def _alone(named: DataFrame, name: list[str], text: str, place: str) -> DataFrame:
+    """(text, place) of the names that occur at one place only, however often that is listed."""
+    ends = [F.min(text).alias("_text"), F.max(text).alias("_last_text"), F.min(place).alias("_place"),
+            F.max(place).alias("_last_place")]
+    return named.groupBy(*name).agg(*ends).filter("_text = _last_text and _place = _last_place").select("_text", "_place")
 
 
 def find_repeats(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -283,21 +292,26 @@ def find_repeats(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     keyed = docs.select(F.col(key).alias("_key"), whole.alias("text"), F.xxhash64(whole).alias("_k1"), k2.alias("_k2"))
     rows = keyed.select("text", "_k1", "_k2")
 
+    # anchors with one place, by text, leave the rest of its windows
     names = rows.mapInArrow(_name_anchors(window), "name long, _k1 long, place long")
+    alone = _alone(names, ["name"], "_k1", "place").groupBy(
+        F.col("_text").alias("_u1"), F.shiftright("_place", KEY_SHIFT).alias("_u2")).agg(F.collect_list("_place").alias("places"))
     texts = rows.groupBy("_k1", "_k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    texts = texts.join(alone, F.expr("_k1 = _u1 and _k2 = _u2"), "left").drop("_u1", "_u2")
+    texts = texts.mapInArrow(_candidates(window), TEXTS).withColumn("_t", F.monotonically_increasing_id())
     path = scratch_path(spark, "repeats")
-    _with(texts, _alone(names, ["name"]), _candidates(window), TEXTS).write.parquet(f"{path}/texts")
+    texts.write.option("compression", "zstd").parquet(f"{path}/texts")
     texts = spark.read.parquet(f"{path}/texts")
 
-    left = texts.filter("text is not null")
-    names = left.select("_k1", "_k2", "text", "starts").mapInArrow(
-        _name_windows(window), "name long, more long, _k1 long, place long")
-    some = left.filter("kept_sha256 is null").select("_k1", "_k2", "text", "starts")
-    cut = _with(some, _alone(names, ["name", "more"]), _cut(window),
-                "_k1 long, _k2 long, n_removed long, kept_sha256 string, removed array<array<int>>")
-    cut = cut.select(F.col("_k1").alias("_c1"), F.col("_k2").alias("_c2"), "n_removed", F.col("kept_sha256").alias("_sha"), "removed")
-    facts = texts.select("_k1", "_k2", "copies", "n_words", "kept_sha256").join(
-        cut, F.expr("_k1 = _c1 and _k2 = _c2"), "left")
+    # of these windows, those with one place are not repeated either
+    left = texts.filter("text is not null").select("_t", "text", "starts", "kept_sha256")
+    names = left.drop("kept_sha256").mapInArrow(_name_windows(window), WINDOWS)
+    alone = _alone(names, ["name", "more"], "_t", "word").groupBy(F.col("_text").alias("_u")).agg(
+        F.collect_list("_place").alias("places"))
+    cut = left.filter("kept_sha256 is null").drop("kept_sha256").join(alone, F.expr("_t = _u"), "left").drop("_u")
+    cut = cut.mapInArrow(_cut(window), "_t long, n_removed long, kept_sha256 string, removed array<array<int>>")
+    cut = cut.select(F.col("_t").alias("_c"), "n_removed", F.col("kept_sha256").alias("_sha"), "removed")
+    facts = texts.select("_k1", "_k2", "_t", "copies", "n_words", "kept_sha256").join(cut, F.expr("_t = _c"), "left")
     all_gone = (F.col("copies") > 1) & (F.col("n_words") >= window)
     facts = facts.select(
         F.col("_k1").alias("_f1"), F.col("_k2").alias("_f2"), "n_words",
@@ -305,6 +319,9 @@ def find_repeats(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
         F.coalesce("kept_sha256", "_sha").alias("kept_sha256"),
         F.when(all_gone, F.array(F.array(F.lit(0), F.col("n_words").cast("int")))).otherwise(
             F.coalesce("removed", F.array().cast("array<array<int>>"))).alias("removed"))
+    # written, so that the join to the rows stands alone and Spark can split a text with very many rows
+    facts.write.parquet(f"{path}/facts")
+    facts = spark.read.parquet(f"{path}/facts")
     found = keyed.select("_key", "_k1", "_k2").join(facts, F.expr("_k1 = _f1 and _k2 = _f2"))
     return found.select(F.col("_key").alias(key), "n_words", "n_removed", "kept_sha256", "removed")
 
