@@ -149,6 +149,17 @@ def _batches(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[
                 yield part, [(t or b"").split() for t in part.column(text).cast(pa.binary()).to_pylist()]
 
 
+def _ends(names: list[np.ndarray], places: list[np.ndarray]) -> np.ndarray:
+    """Of each name its first and its last place, in the order given: all that tells whether it has one place."""
+    order = np.lexsort([*places[::-1], *names[::-1]])
+    differs = np.zeros(len(order) + 1, bool)
+    differs[[0, -1]] = True
+    for x in names:
+        differs[1:-1] |= x[order[1:]] != x[order[:-1]]
+    chosen = differs[:-1] | differs[1:]
+    return np.sort(order[chosen])
+
+
 def _name_anchors(width: int):
     """Rows (name, _k1, place) of the anchors of the texts' windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,19 +169,23 @@ def _name_anchors(width: int):
                 _, name, at, level = anchors(x, piece, width)
                 new = np.r_[True, (level[1:] != level[:-1]) | (at[1:] != at[:-1])]
                 name, at, level = name[new], at[new], level[new]
-                _, one = np.unique(at << WORD_SHIFT | level, return_index=True)
-                i, w = text[at[one]], number[at[one]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(name[one].view(np.int64)), pa.array(k1[i]),
-                    pa.array(k2[i] << KEY_SHIFT | w << WORD_SHIFT | level[one])], names=["name", "_k1", "place"])
+                i = text[at]
+                place = k2[i] << KEY_SHIFT | number[at] << WORD_SHIFT | level
+                ends = _ends([name], [k1[i], place])
+                yield pa.RecordBatch.from_arrays([pa.array(name[ends].view(np.int64)), pa.array(k1[i[ends]]),
+                                                  pa.array(place[ends])], names=["name", "_k1", "place"])
     return run
 
 
 def _lists(b: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
-    """(row, value) of the numbers in a column of lists."""
+    """(row, value) of the numbers, or pairs of numbers, in a column of lists."""
     lists = b.column(column)
     sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-    return np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    values = lists.flatten()
+    if pa.types.is_list(values.type):
+        values = values.flatten()
+        return np.repeat(np.arange(len(lists)), sizes), values.to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, 2)
+    return np.repeat(np.arange(len(lists)), sizes), values.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _spans(marked: np.ndarray) -> list[list[int]]:
@@ -214,29 +229,24 @@ def _candidates(width: int):
 
 def _name_windows(width: int):
     """Rows (name, more of it, text's number, first word) of the texts' windows that are left."""
-    def emit(parts: list[tuple[np.ndarray, np.ndarray, int, int]]) -> pa.RecordBatch:
-        sizes = [len(p[0]) for p in parts]
-        word = np.concatenate([np.arange(start, start + n, dtype=np.int32) for (_, _, _, start), n in zip(parts, sizes, strict=True)])
-        name, more = (np.concatenate([p[i] for p in parts]) for i in range(2))
-        return pa.RecordBatch.from_arrays([
-            pa.array(name.view(np.int64)), pa.array(more.astype(np.uint32).view(np.int32)),
-            pa.array(np.repeat([p[2] for p in parts], sizes)), pa.array(word)], names=["name", "more", "_t", "word"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, split in _batches(batches):
-            parts, total = [], 0
-            for t, spans, w in zip(b.column("_t").to_pylist(), b.column("starts").to_pylist(), split, strict=True):
-                x = word_names(w)
-                for start, end in spans:
-                    for a in range(start, end, PIECE):
-                        part = x[a:min(end, a + PIECE) + width - 1]
-                        parts.append((window_names(part, width, 1), window_names(part, width, 2), t, a))
-                        total += len(parts[-1][0])
-                        if total >= PIECE:
-                            yield emit(parts)
-                            parts, total = [], 0
-            if parts:
-                yield emit(parts)
+            names = np.concatenate([word_names(w) for w in split])
+            before = np.cumsum([0, *map(len, split[:-1])])
+            row, span = _lists(b, "starts")
+            first, end = span.T
+            sizes = end - first
+            word = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            row = np.repeat(row, sizes)
+            at = before[row] + word
+            # windows over the ends of texts are named too, and never looked at
+            name, more = (window_names(names, width, seed)[at] for seed in (1, 2))
+            more = more.astype(np.uint32)
+            t = b.column("_t").to_numpy(zero_copy_only=False)[row]
+            ends = _ends([name, more], [t, word])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(name[ends].view(np.int64)), pa.array(more[ends].view(np.int32)), pa.array(t[ends]),
+                pa.array(word[ends].astype(np.int32))], names=["name", "more", "_t", "word"])
     return run
 
 
@@ -264,10 +274,15 @@ def _cut(width: int):
 
 
 def _alone(named: DataFrame, name: list[str], text: str, place: str) -> DataFrame:
-    """(text, place) of the names that occur at one place only, however often that is listed."""
+    """(text, place) of the names that occur at one place only, however often that is listed.
+
+    Tasks list a name's first and last place only, so their rows can go to the
+    name's partition as they are: aggregating them once more would cost more
+    bytes, as each row would hold its place twice.
+    """
     ends = [F.min(text).alias("_text"), F.max(text).alias("_last_text"), F.min(place).alias("_place"),
             F.max(place).alias("_last_place")]
-    return named.groupBy(*name).agg(*ends).filter("_text = _last_text and _place = _last_place").select("_text", "_place")
+    return named.repartition("name").groupBy(*name).agg(*ends).filter("_text = _last_text and _place = _last_place").select("_text", "_place")
 
 
 def find_repeats(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",

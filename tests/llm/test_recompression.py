@@ -74,6 +74,14 @@ def test_long_texts_are_cut_with_an_overlap(spark, monkeypatch):
     assert seen == want and run(spark, data, 8) == brute_force(data, 8)
 
 
+def ends(listed):
+    """{name: its first and last place}."""
+    places = {}
+    for r in listed:
+        places.setdefault(r["name"], set()).add((r["_k1"], r["place"]))
+    return {name: (min(p), max(p)) for name, p in places.items()}
+
+
 def test_batches_are_cut_into_slices(monkeypatch):
     data = [(i, t) for i, t in passages(9, 50)] + [(50, None), (51, "")]
     batch = pa.RecordBatch.from_arrays([
@@ -87,8 +95,8 @@ def test_batches_are_cut_into_slices(monkeypatch):
     joined = lambda rows: [{**r, "starts": sorted({i for a, z in r["starts"] for i in range(a, z)})} for r in rows]
     assert len(parts) > 5 and joined(whole) == joined([r for b in parts for r in b.to_pylist()])
     assert len(whole) == 52 and all((r["text"] is None) == (r["n_words"] < 8) for r in whole)
-    found = {(r["name"], r["_k1"], r["place"]) for b in rc._name_anchors(8)(iter([batch])) for r in b.to_pylist()}
-    assert found == {(r["name"], r["_k1"], r["place"]) for r in names}
+    found = [r for b in rc._name_anchors(8)(iter([batch])) for r in b.to_pylist()]
+    assert len(found) > len(names) and ends(found) == ends(names)
 
 
 def test_equal_windows_have_equal_anchors():
