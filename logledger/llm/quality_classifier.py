@@ -12,7 +12,7 @@ folded with the layer into one weight per hash, so a word adds two numbers.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from operator import eq
 
 import numpy as np
@@ -24,19 +24,36 @@ BUCKETS = 1 << 16
 DIMENSIONS = 16
 GRAMS = (3, 4, 5)
 REPEAT, REPEAT_TIMES = 0, 8  # hash of a word after itself, and how often it counts beside the word's own hashes
+FACTOR, SPREAD = 0x01000193, 0x9E3779B1  # of the n-grams' hash
 SAMPLE = 2048
 EPOCHS, RATE, LAYER_RATE, SEED = 8, 0.2, 0.5, 6
-MEMO, MEMO_LENGTH = 150_000, 64
-PART = 1 << 22
+MEMO, MEMO_LENGTH = 500_000, 64  # words a worker keeps, some 150 bytes each, and their length
+PART = 1 << 20
+WORDS_AT_ONCE = 50_000
 
 
-def grams(word: bytes) -> Iterator[int]:
-    """Hashes of a word and of its character n-grams, the word's ends marked."""
-    marked = b"<" + word + b">"
-    yield zlib.crc32(marked) & (BUCKETS - 1)
-    for n in GRAMS:
-        for i in range(len(marked) - n + 1):
-            yield zlib.crc32(marked[i:i + n], n) & (BUCKETS - 1)
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the word, hash) of each word and its character n-grams, the word's ends marked.
+
+    An n-gram's hash is taken over its bytes in 32-bit arithmetic, for all
+    places of all words at once; the whole word's is its CRC-32.
+    """
+    marked = [b"<" + w + b">" for w in words]
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    data = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint32)
+    place = np.repeat(np.arange(len(marked)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))  # bytes of the word from here on
+    places, hashes = [np.arange(len(marked))], [np.fromiter(map(zlib.crc32, marked), np.int64, len(marked)) & (BUCKETS - 1)]
+    value = np.zeros(len(data), np.uint32)
+    for n in range(1, max(GRAMS) + 1):
+        whole = max(0, len(data) - n + 1)
+        value[:whole] = value[:whole] * np.uint32(FACTOR) ^ data[n - 1:n - 1 + whole]
+        if n in GRAMS:
+            at = np.flatnonzero(left >= n)
+            mixed = (value[at] + np.uint32(n)) * np.uint32(SPREAD)
+            places.append(place[at])
+            hashes.append((mixed >> np.uint32(16)).astype(np.int64) & (BUCKETS - 1))
+    return np.concatenate(places), np.concatenate(hashes)
 
 
 def word_parts(text: str | None) -> Iterator[list[bytes]]:
@@ -59,15 +76,16 @@ def repeats(words: list[bytes], before: bytes | None) -> int:
 
 def features(text: str | None) -> tuple[bytes, bytes]:
     """Distinct hashes (uint32) of a text and their shares (float32), as bytes."""
-    counts, before = np.zeros(BUCKETS, np.int64), None
+    counts, before = np.zeros(BUCKETS), None
     for words in word_parts(text):
         counts[REPEAT] += REPEAT_TIMES * repeats(words, before)
         before = words[-1] if words else before
         seen: dict[bytes, int] = {}
         for w in words:
             seen[w] = seen.get(w, 0) + 1
-        for w, n in seen.items():
-            np.add.at(counts, np.fromiter(grams(w), np.int64), n)
+        if seen:
+            place, hashes = grams(list(seen))
+            counts += np.bincount(hashes, np.fromiter(seen.values(), np.float64, len(seen))[place], BUCKETS)
     used = np.flatnonzero(counts)
     total = max(counts.sum(), 1)
     return used.astype("<u4").tobytes(), (counts[used] / total).astype("<f4").tobytes()
@@ -135,36 +153,72 @@ class Model:
                 vectors[used] -= ((left * rate) * share / np.sqrt(past[used]))[:, None].astype(np.float32) * back
         return cls((vectors.astype(np.float64) @ (layer[:, 1] - layer[:, 0])), float(bias[1] - bias[0]))
 
-    def scorer(self):
-        """text -> probability of label 1."""
-        weights, bias = self.weights.tolist(), self.bias
-
-        class Memo(dict):
-            """Of a word: the sum of its weights, and as imaginary part their number."""
-
-            def __missing__(self, word: bytes) -> complex:
-                value, n = 0.0, 0
-                for g in grams(word):
-                    value += weights[g]
-                    n += 1
-                found = complex(value, n)
-                if len(word) <= MEMO_LENGTH:
-                    if len(self) >= MEMO:
-                        self.clear()
-                    self[word] = found
-                return found
-
-        memo, repeat = Memo(), REPEAT_TIMES * complex(weights[REPEAT], 1)
-
-        def score(text: str | None) -> float:
-            total, before = 0j, None
+    def scorer(self) -> Scorer:
+        return Scorer(self.weights, self.bias)
+
+
+class Scorer:
+    """text -> probability of label 1; a worker's memory of words, as the sum of their weights and, imaginary, the number."""
+
+    def __init__(self, weights: np.ndarray, bias: float):
+        self.weights, self.bias, self.known = weights, bias, {}
+
+    def _look_up(self, words: Iterable[bytes]) -> dict[bytes, complex]:
+        """All different ``words`` with their sums; new short ones are kept."""
+        words = set(words)
+        new = list(words - self.known.keys())
+        if len(self.known) + len(new) > MEMO:
+            self.known, new = {}, list(words)
+        if not new:
+            return self.known
+        place, hashes = grams(new)
+        sums = np.bincount(place, self.weights[hashes], len(new)) + 1j * np.bincount(place, minlength=len(new))
+        found = dict(zip(new, sums.tolist(), strict=True))
+        if max(map(len, new)) > MEMO_LENGTH or len(new) > MEMO:
+            long = {w: found.pop(w) for w in new if len(w) > MEMO_LENGTH or len(new) > MEMO}
+            self.known.update(found)
+            return _Both(self.known, long)
+        self.known.update(found)
+        return self.known
+
+    def scores(self, texts: Iterable[str | None]) -> list[float]:
+        """Scores of texts, looked up some ``WORDS_AT_ONCE`` words at a time; a long text part by part."""
+        totals: list[complex] = []
+        waiting: list[tuple[int, list[bytes]]] = []
+        size, repeat = 0, REPEAT_TIMES * complex(self.weights[REPEAT], 1)
+        for i, text in enumerate(texts):
+            totals.append(0j)
+            before = None
             for words in word_parts(text):
-                total += sum(map(memo.__getitem__, words)) + repeat * repeats(words, before)
+                totals[i] += repeat * repeats(words, before)
                 before = words[-1] if words else before
-            logit = bias + (total.real / total.imag if total.imag else 0.0)
-            return 1 / (1 + float(np.exp(-min(max(logit, -500.0), 500.0))))
+                waiting.append((i, words))
+                size += len(words)
+                if size >= WORDS_AT_ONCE:
+                    self._add(totals, waiting)
+                    waiting, size = [], 0
+        self._add(totals, waiting)
+        logits = [self.bias + (t.real / t.imag if t.imag else 0.0) for t in totals]
+        return (1 / (1 + np.exp(-np.clip(np.array(logits, np.float64), -500.0, 500.0)))).tolist()
+
+    def _add(self, totals: list[complex], waiting: list[tuple[int, list[bytes]]]) -> None:
+        known = self._look_up(w for _, words in waiting for w in words)
+        for i, words in waiting:
+            totals[i] += sum(map(known.__getitem__, words))
+
+    def __call__(self, text: str | None) -> float:
+        return self.scores([text])[0]
+
+
+class _Both(dict):
+    """Words not kept, and those that are."""
+
+    def __init__(self, kept: dict[bytes, complex], others: dict[bytes, complex]):
+        super().__init__(others)
+        self.kept = kept
 
-        return score
+    def __missing__(self, word: bytes) -> complex:
+        return self.kept[word]
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
@@ -189,7 +243,7 @@ def classify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
         for b in batches:
-            scores = pa.array([score(t.as_py()) for t in b.column(1)], pa.float64())
+            scores = pa.array(score.scores(t.as_py() for t in b.column(1)), pa.float64())
             yield pa.RecordBatch.from_arrays([b.column(0), scores], names=[key, "score"])
 
     kinds = docs.select(F.col(key).alias(key), F.lit(0.0).alias("score")).schema

@@ -1,5 +1,8 @@
+import math
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from logledger.llm import quality_classifier as qc
@@ -47,13 +50,92 @@ def test_long_texts_in_parts_have_all_words(monkeypatch):
     assert [w for part in qc.word_parts(text) for w in part] == whole == text.encode().split()
 
 
+def plain_grams(word):
+    """A word's hashes one by one."""
+    marked = b"<" + word + b">"
+    yield zlib.crc32(marked) % qc.BUCKETS
+    for n in qc.GRAMS:
+        for i in range(len(marked) - n + 1):
+            value = 0
+            for byte in marked[i:i + n]:
+                value = value * qc.FACTOR % 2 ** 32 ^ byte
+            yield ((value + n) * qc.SPREAD % 2 ** 32 >> 16) % qc.BUCKETS
+
+
+def plain_features(text):
+    words = (text or "").encode().split()
+    counts = Counter(g for w in words for g in plain_grams(w))
+    counts[qc.REPEAT] += qc.REPEAT_TIMES * sum(a == b for a, b in zip(words, words[1:]))
+    counts = +counts
+    total = sum(counts.values())
+    return {g: c / total for g, c in counts.items()}
+
+
 def test_repeats_across_parts():
     assert qc.repeats([b"a", b"a", b"b", b"b", b"b"], None) == 3
     assert qc.repeats([b"a", b"a"], b"a") == 2 and qc.repeats([], b"a") == 0
 
 
+TEXTS = [None, "", " \n", "a", "one two two three", "Ωmega ß", "x " * 50 + "y", "lorem ipsum " * 3000, "z" * 5000]
+
+
+def test_features_match_brute_force(monkeypatch):
+    for part in (qc.PART, 7):
+        monkeypatch.setattr(qc, "PART", part)
+        for text in TEXTS:
+            used, shares = (np.frombuffer(x, t) for x, t in zip(qc.features(text), ("<u4", "<f4"), strict=True))
+            assert dict(zip(used.tolist(), shares.tolist(), strict=True)) == pytest.approx(plain_features(text), rel=1e-6)
+
+
+def test_fit_matches_brute_force():
+    """Every step of softmax regression on mean vectors, with plain lists of floats."""
+    texts = [(1, "good plain words here"), (0, "bad bad junk"), (1, "other good words"), (0, "junk again bad")]
+    rows_ = [(y, *qc.features(t)) for y, t in texts]
+    model = qc.Model.fit(rows_, epochs=3)
+    rng = np.random.default_rng(qc.SEED)
+    first = rng.uniform(-1, 1, (qc.BUCKETS, qc.DIMENSIONS)).astype(np.float32) / qc.DIMENSIONS
+    vectors = {g: first[g].astype(float).tolist() for _, t in texts for g in plain_features(t)}
+    past = dict.fromkeys(vectors, 1e-12)
+    layer, bias = [[0.0, 0.0] for _ in range(qc.DIMENSIONS)], [0.0, 0.0]
+    data = [(y, plain_features(t)) for (y, _, _), t in sorted(zip(rows_, [t for _, t in texts], strict=True))]
+    step, steps = 0, 3 * len(data)
+    for _ in range(3):
+        for i in rng.permutation(len(data)):
+            y, share = data[i]
+            left, step = 1 - step / steps, step + 1
+            mean = [sum(s * vectors[g][d] for g, s in share.items()) for d in range(qc.DIMENSIONS)]
+            out = [sum(m * w[k] for m, w in zip(mean, layer, strict=True)) + bias[k] for k in (0, 1)]
+            e = [math.exp(o - max(out)) for o in out]
+            error = [x / sum(e) - (k == y) for k, x in enumerate(e)]
+            back = [sum(w[k] * error[k] for k in (0, 1)) for w in layer]
+            for d in range(qc.DIMENSIONS):
+                for k in (0, 1):
+                    layer[d][k] -= left * qc.LAYER_RATE * mean[d] * error[k]
+            bias = [b - left * qc.LAYER_RATE * 0.1 * x for b, x in zip(bias, error, strict=True)]
+            for g, s in share.items():
+                past[g] += s * s * sum(b * b for b in back)
+                vectors[g] = [v - left * qc.RATE * s / math.sqrt(past[g]) * b for v, b in zip(vectors[g], back, strict=True)]
+    weights = {g: sum(v * (w[1] - w[0]) for v, w in zip(vec, layer, strict=True)) for g, vec in vectors.items()}
+    assert model.bias == pytest.approx(bias[1] - bias[0], rel=1e-3, abs=1e-6)
+    for g, w in weights.items():
+        assert model.weights[g] == pytest.approx(w, rel=1e-2, abs=1e-4)
+    for text in [t for _, t in texts] + TEXTS:
+        logit = model.bias + sum(s * float(model.weights[g]) for g, s in plain_features(text).items())
+        assert model.scorer()(text) == pytest.approx(1 / (1 + math.exp(-logit)), rel=1e-9)
+
+
+def test_scores_do_not_depend_on_what_is_remembered(monkeypatch):
+    model = qc.Model(np.random.default_rng(1).normal(size=qc.BUCKETS), 0.3)
+    want = [model.scorer()(t) for t in TEXTS]
+    for memo, at_once, length in ((3, 5, 64), (10, 10 ** 6, 2), (10 ** 6, 1, 4)):
+        monkeypatch.setattr(qc, "MEMO", memo)
+        monkeypatch.setattr(qc, "WORDS_AT_ONCE", at_once)
+        monkeypatch.setattr(qc, "MEMO_LENGTH", length)
+        scorer = model.scorer()
+        assert scorer.scores(TEXTS * 2) == pytest.approx(want * 2, rel=1e-12) and len(scorer.known) <= memo
+
+
 def test_score_is_the_folded_model():
-    import numpy as np
     rng = np.random.default_rng(1)
     model = qc.Model(rng.normal(size=qc.BUCKETS), 0.3)
     for text in ("", "one", "two two three", "x " * 50):
