@@ -2,9 +2,10 @@
 
 Patterns give candidate spans.  A candidate's value is hashed, and each hash
 is counted by the distinct repositories and owners that hold it: a value that
-several owners hold is a copied example, one that an owner keeps to itself and
-that looks random is taken for live.  Base patterns are always reported; the
-looser pattern ``opaque`` is reported only where its value is live.
+several owners hold, or several repositories of one owner, is a copied example;
+one that few keep to themselves and that looks random is taken for live.  Base
+patterns are always reported; the looser pattern ``opaque`` is reported only
+where its value is live.
 """
 
 from __future__ import annotations
@@ -22,10 +23,15 @@ KINDS = [
 ]
 BASE = [k[0] for k in KINDS[:3]]
 NAMES = [k[0] for k in KINDS]
-# Opaque values mix all of these; live values use so many different characters.
+# Opaque values mix all of these; live values of the base kinds use so many different characters, not digits alone.
 MIXED = ("[a-z]", "[A-Z]", "[0-9]")
 LEAST_CHARS = 8
-MOST_OWNERS = 2
+# Random opaque values seldom repeat a character and often change between classes; paths, addresses and names in
+# mixed case repeat letters and keep to a class.  Two characters drawn from a value are equal once in EQUAL draws at
+# most, and of its characters two in FIRSTS at least begin a run of their class.
+CLASSES = "[a-z]+|[A-Z]+|[0-9]+|[+/_-]+"
+EQUAL, FIRSTS = 25, 5
+MOST_OWNERS, MOST_REPOS = 2, 2
 MASK = "[SECRET]"
 
 
@@ -47,6 +53,10 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", owner:
                repo: Column | None = None) -> DataFrame:
     """One row per candidate: _key, _text, _owner, _repo, kind (number), start, end, value.
 
+    Null, empty and blank texts have none, null keys, owners and repositories
+    are kept, repeated rows are candidates each, an empty table gives an empty
+    result, other columns are ignored.
+
     Positions are code points, the end exclusive.  Matches of a kind are
     leftmost and don't overlap; the pieces between them give the positions by
     a running sum over the document's own matches.
@@ -82,6 +92,18 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", owner:
             .select(*names[1:], "kind", (F.col("end") - F.length("m")).alias("start"), "end", "value"))
 
 
+def looks_live(kind: Column, value: Column) -> Column:
+    """Whether a value looks like a random one of its kind, in whole numbers."""
+    chars = F.split(value, "")
+    distinct, n = F.array_distinct(chars), F.length(value).cast("long")
+    times = lambda c: (F.length(value) - F.length(F.replace(value, c, F.lit("")))).cast("long")
+    equal = F.aggregate(distinct, F.lit(0).cast("long"), lambda a, c: a + times(c) * (times(c) - 1))
+    runs = F.size(F.regexp_extract_all(value, F.lit(CLASSES), F.lit(0)))
+    opaque = (EQUAL * equal <= n * (n - 1)) & (FIRSTS * runs >= 2 * n)
+    plain = (F.size(distinct) >= LEAST_CHARS) & ~F.rlike(value, F.lit("^[0-9]+$"))
+    return F.when(kind == NAMES.index("opaque"), opaque).otherwise(plain)
+
+
 def ownership(found: DataFrame) -> DataFrame:
     """(hash, n_repos, n_owners): repositories belong to owners; a null owner or repository counts as one.
 
@@ -95,21 +117,23 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: Column | None = None,
-         repo: Column | None = None, most_owners: int = MOST_OWNERS) -> DataFrame:
+         repo: Column | None = None, most_owners: int = MOST_OWNERS, most_repos: int = MOST_REPOS) -> DataFrame:
     """One row per reported span: _key, _text, kind, start, end, hash, n_repos, n_owners, n_found, live.
 
     ``hash`` is the SHA-256 of the value, so no value is kept.  ``live``: at
-    most ``most_owners`` owners hold the value and it uses LEAST_CHARS
-    different characters or more.  Null and empty texts have no spans;
+    most ``most_owners`` owners hold the value, in ``most_repos`` repositories
+    in all at most, and it :func:`looks_live`.  How often a repository holds it
+    (``n_found``) doesn't decide.  Null and empty texts have no spans;
     repeated rows of a document count each for frequencies and give each span
     once; an empty table gives an empty result; other columns are ignored.
     """
     found = candidates(docs, key, text, owner, repo)
-    random = F.size(F.array_distinct(F.split("value", ""))) >= LEAST_CHARS
+    random = looks_live(F.col("kind"), F.col("value"))
     found = found.select("_key", "_text", "_owner", "_repo", "kind", "start", "end",
                          F.sha2("value", 256).alias("hash"), random.alias("_random")).checkpoint()
     known = found.drop("_owner", "_repo").distinct().join(ownership(found), "hash")
-    known = known.withColumn("live", F.col("_random") & (F.col("n_owners") <= most_owners)).drop("_random")
+    known = known.withColumn("live", F.col("_random") & (F.col("n_owners") <= most_owners)
+                             & (F.col("n_repos") <= most_repos)).drop("_random")
     return known.filter(F.col("live") | (F.col("kind") < len(BASE)))
 
 
@@ -120,7 +144,12 @@ def _joined(spans: Column) -> Column:
 
 
 def summarize(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: key, n_assign, n_access, n_hex, n_live, n_example, base_spans, spans."""
+    """Per document: key, n_assign, n_access, n_hex, n_live, n_example, base_spans, spans.
+
+    A row for every row of ``docs``, repeated ones and null keys included; null
+    texts and those without spans have zeros and empty strings.  Other columns
+    of ``docs`` are ignored.
+    """
     place = F.struct("start", "kind", "end")
     base = F.col("kind") < len(BASE)
     counts = [F.count_if(F.col("kind") == i).alias(f"n_{n}") for i, n in enumerate(BASE)]
@@ -135,23 +164,27 @@ def summarize(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str
 
 
 def redact(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with every live span of the text replaced by MASK; spans that overlap share one mask."""
+    """``docs`` with every live span of the text replaced by MASK; spans that overlap share one mask.
+
+    All rows and columns stay, whatever their names; null and empty texts, and
+    those without live spans, are as before.
+    """
     live = (spans.filter("live").groupBy("_key", "_text")
             .agg(F.array_sort(F.collect_list(F.struct(F.col("start").cast("int").alias("start"),
-                                                      F.col("end").cast("int").alias("end")))).alias("_spans")))
-    d = docs.withColumn("_x", text_key(F.col(text))).withColumnRenamed(key, "_k")
-    joined = d.join(live, F.expr("_k <=> _key and _x = _text"), "left")
-    t = F.col(text)
+                                                      F.col("end").cast("int").alias("end")))).alias("spans")))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    row = row.withColumn("x", text_key(F.col("row")[text]))
+    joined = row.join(live, F.col("row")[key].eqNullSafe(F.col("_key")) & (F.col("x") == F.col("_text")), "left")
+    t = F.col("row")[text]
     masked = F.aggregate(
-        "_spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
+        "spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda a, s: F.struct(
             F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring(t, a["at"] + 1, s["start"] - a["at"]),
                                                    F.lit(MASK))).otherwise(a["out"]).alias("out"),
             F.greatest(a["at"], s["end"]).alias("at")),
         lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))))
-    return joined.select(*[F.col("_k").alias(key) if c == key else
-                           F.when(F.col("_spans").isNull(), t).otherwise(masked).alias(text) if c == text else F.col(c)
-                           for c in docs.columns])
+    return joined.select(*[F.when(F.col("spans").isNull(), t).otherwise(masked).alias(c) if c == text else
+                           F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def oracle(docs: str = "documents", owner: str = "source", repo: str = "lang") -> str:
@@ -165,8 +198,14 @@ def oracle(docs: str = "documents", owner: str = "source", repo: str = "lang") -
         value = f"regexp_extract(m, '{p}', {group})"
         mixed = " AND ".join([f"length({value}) >= {least}",
                               *([f"regexp_matches(m, '{c}')" for c in MIXED] if i == len(BASE) else [])])
+        chars, n = f"string_split({value}, '')", f"length({value})"
+        random = f"len(list_distinct({chars})) >= {LEAST_CHARS} AND NOT regexp_full_match({value}, '[0-9]+')"
+        if i == len(BASE):
+            times = f"({n} - length(replace({value}, c, '')))"
+            equal = f"list_sum(list_transform(list_distinct({chars}), lambda c: {times} * ({times} - 1)))"
+            random = f"{EQUAL} * {equal} <= {n} * ({n} - 1) AND {FIRSTS} * len(regexp_extract_all({value}, '{CLASSES}')) >= 2 * {n}"
         parts.append(f"""SELECT rid, owner, repo, {i} AS kind, e - length(m) AS s, e, sha256({value}) AS hash,
-  len(list_distinct(string_split({value}, ''))) >= {LEAST_CHARS} AS random FROM (
+  {random} AS random FROM (
   SELECT rid, owner, repo, m, sum(length(g) + length(m)) OVER (PARTITION BY rid ORDER BY n) AS e FROM (
     SELECT rid, owner, repo, unnest(regexp_extract_all(t, '{p}')) AS m, unnest(regexp_split_to_array(t, '{p}')) AS g,
       generate_subscripts(regexp_split_to_array(t, '{p}'), 1) AS n FROM x) WHERE m IS NOT NULL) WHERE {mixed}""")
@@ -175,11 +214,12 @@ def oracle(docs: str = "documents", owner: str = "source", repo: str = "lang") -
 x AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, {owner} AS owner,
   {repo} AS repo FROM {docs}),
 f AS MATERIALIZED ({' UNION ALL '.join(parts)}),
-o AS (SELECT hash, count(DISTINCT coalesce(owner, '')) AS n_owners FROM f GROUP BY hash),
-k AS (SELECT f.*, random AND n_owners <= {MOST_OWNERS} AS live FROM f JOIN o USING (hash)),
+o AS (SELECT hash, count(DISTINCT coalesce(owner, '')) AS n_owners,
+  count(DISTINCT (coalesce(owner, ''), coalesce(repo, ''))) AS n_repos FROM f GROUP BY hash),
+k AS (SELECT f.*, random AND n_owners <= {MOST_OWNERS} AND n_repos <= {MOST_REPOS} AS live FROM f JOIN o USING (hash)),
 d AS (SELECT rid, {', '.join(f'count(*) FILTER (kind = {i}) AS n_{n}' for i, n in enumerate(BASE))},
   count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example,
-  {spans.replace('ORDER', 'ORDER')} FILTER (kind < {len(BASE)}) AS base_spans, {spans} AS spans
+  {spans} FILTER (kind < {len(BASE)}) AS base_spans, {spans} AS spans
   FROM k WHERE live OR kind < {len(BASE)} GROUP BY rid)
 SELECT doc_id, {', '.join(f'coalesce(n_{n}, 0)::BIGINT AS n_{n}' for n in [*BASE, 'live', 'example'])},
   sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM x LEFT JOIN d USING (rid)"""

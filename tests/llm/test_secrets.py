@@ -68,3 +68,47 @@ def test_repeated_rows_give_each_span_once(spark):
     docs = frame(spark).filter("doc_id = 1")
     out = secrets.summarize(docs.unionAll(docs), secrets.scan(docs.unionAll(docs)))
     assert [r.n_assign for r in out.collect()] == [1, 1]
+
+
+LOOK = {"Zx81mQp0LsT5vYw2NbC7dFgH9": True, "ghp_Wq3Zr8LkT1vXy6NbM4cPsD9fGh2JaUeRo5Tk": True,
+        "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzK3vQ8tH2s": True,
+        "com/apache/spark/blob/Master/README2": False, "github-com/Example-Org/some-repository/tree/main/src2": False,
+        "getElementByIdAndName2Value": False, "AbstractSingletonProxyFactoryBean2": False,
+        "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaA1": False, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789": False}
+
+
+def test_opaque_values_must_look_random(spark):
+    docs = spark.createDataFrame([(i, f"see {v} here", "o", "r") for i, v in enumerate(LOOK)],
+                                 "doc_id long, text string, source string, lang string")
+    found = secrets.scan(docs, owner=F.col("source"), repo=F.col("lang"))
+    got = {r._key for r in found.filter(f"kind = {secrets.NAMES.index('opaque')}").collect()}
+    assert got == {i for i, live in enumerate(LOOK.values()) if live}
+
+
+def test_random_opaque_values_are_mostly_found(spark):
+    import random
+    rng = random.Random(5)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    docs = spark.createDataFrame([(i, "k " + "".join(rng.choices(alphabet, k=32)), "o", "r") for i in range(400)],
+                                 "doc_id long, text string, source string, lang string")
+    assert secrets.scan(docs, owner=F.col("source"), repo=F.col("lang")).filter("live").count() > 380
+
+
+def test_owners_and_repositories_decide_together(spark):
+    value = {"few": "secret=Few0wnersKeepThis1", "owners": "secret=ManyOwnersCopyThis2", "repos": "secret=ManyReposCopyThis3",
+             "often": "secret=OneRepoUsesThis4Often", "digits": "token: 1234567890123456"}
+    rows_ = [(value["few"], "a", "r1"), (value["few"], "b", "r1"), *[(value["owners"], o, "r") for o in "abc"],
+             *[(value["repos"], "a", f"r{i}") for i in range(3)], *[(value["often"], "a", "r1")] * 40, (value["digits"], "a", "r1")]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows_)], "doc_id long, text string, source string, lang string")
+    found = secrets.scan(docs, owner=F.col("source"), repo=F.col("lang")).filter("kind = 0").collect()
+    facts = {(rows_[r._key][0], r.live, r.n_owners, r.n_repos, r.n_found) for r in found}
+    assert facts == {(value["few"], True, 2, 2, 2), (value["owners"], False, 3, 3, 3), (value["repos"], False, 1, 3, 3),
+                     (value["often"], True, 1, 1, 40), (value["digits"], False, 1, 1, 2)}  # by two patterns
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "k Zx81mQp0LsT5vYw2NbC7dFgH9", "a", "b", 3, "c"), (None, None, "a", None, None, None)],
+                                 "doc_id long, text string, _x string, _k string, spans int, _text string")
+    out = secrets.redact(docs, secrets.scan(docs))
+    assert out.columns == docs.columns and rows(out) == rows(docs.selectExpr(
+        "doc_id", "replace(text, 'Zx81mQp0LsT5vYw2NbC7dFgH9', '[SECRET]') as text", "_x", "_k", "spans", "_text"))
