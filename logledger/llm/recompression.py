@@ -7,8 +7,8 @@ round give the same name to the same thing without a table of names.  What
 happens inside a passage then depends on the passage alone, but for a name lost
 at either end: the rest, its core, looks the same wherever the passage occurs.
 
-The anchor of a window of words is a symbol of its core after some rounds.
-Spark counts where each anchor's name occurs: a window whose anchor
+The anchor of a window of words is a pair of symbols of its core after some
+rounds.  Spark counts where each anchor's name occurs: a window whose anchor
 occurs at one place is not repeated.  The other windows, those inside and next
 to repeated passages, are named whole and counted in the same way, which
 verifies them.  Either count returns the names with one place, so a passage
@@ -17,6 +17,7 @@ that occurs everywhere is only aggregated, never gathered.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -32,7 +33,7 @@ from logledger.session import scratch_path
 
 WINDOW = 35
 RUNS_EVERY = 6       # a round of runs, then this many less one of pairs
-CORE = 4             # symbols of the smallest core that an anchor is taken from
+CORE = 6             # symbols of the smallest core that an anchor is taken from
 PIECE = 1 << 18      # words that one task names at once; longer texts are cut with an overlap
 # a place is the second half of the text's key, the word's number and the round, packed into a long
 WORD_SHIFT, KEY_SHIFT, KEY_BITS = 6, 38, 25
@@ -73,8 +74,9 @@ def anchors(names: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray
     """(first word, anchor's name, anchor's first word, the round that named it) of every window inside one text.
 
     ``names`` holds the words of some texts one after another, ``text`` which.
-    The anchor is the smallest name of the last core of ``CORE`` symbols or more,
-    so neighbouring windows mostly share theirs; smaller cores aren't followed.
+    The anchor is two neighbouring symbols of the last core of ``CORE`` symbols or
+    more, those with the smallest name together, so windows mostly share theirs
+    with the next; smaller cores aren't followed.
     """
     n = len(names)
     first = np.flatnonzero(text[:n - width + 1] == text[width - 1:]) if n >= width else np.zeros(0, np.int64)
@@ -105,11 +107,17 @@ def anchors(names: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray
             new_lo, new_hi = number[np.minimum(inner_lo, n - 1)], number[inner_hi]
             new_hi = np.where(inner_lo > inner_hi, new_lo - 1, new_hi)
         over = new_hi - new_lo < CORE - 1
-        ended, best, end = live[over], lo[over], hi[over]
-        for step in range(1, int((end - best).max(initial=0)) + 1):
-            other = np.minimum(lo[over] + step, end)
-            best = np.where(symbol[other] < symbol[best], other, best)
-        found[ended], place[ended], level[ended] = symbol[best], at[best], born[best]
+        if over.any():
+            ended, low, high = live[over], lo[over], hi[over]
+            two = np.append(_named(symbol[:-1], symbol[1:], 1), np.uint64(0))
+            best = low.copy()
+            for step in range(1, int((high - low).max())):
+                other = np.minimum(low + step, np.maximum(high - 1, low))
+                best = np.where(two[other] < two[best], other, best)
+            single = low == high
+            found[ended] = np.where(single, symbol[best], two[best])
+            place[ended] = at[best]
+            level[ended] = np.where(single, born[best], np.maximum(born[best], born[np.minimum(best + 1, len(born) - 1)]))
         live, lo, hi = live[~over], new_lo[~over], new_hi[~over]
         symbol, at, owner, born, n, k = after, at[starts], owner[starts], born[starts], len(starts), k + 1
         born[joined] = k
@@ -285,6 +293,21 @@ def _alone(named: DataFrame, name: list[str], text: str, place: str) -> DataFram
     return named.repartition("name").groupBy(*name).agg(*ends).filter("_text = _last_text and _place = _last_place").select("_text", "_place")
 
 
+def _forget(spark: SparkSession) -> None:
+    """Asks for the removal of finished jobs' shuffle files, which Spark does once the driver has forgotten their frames."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def _store(frame: DataFrame, path: str) -> DataFrame:
+    """``frame`` as written to the shared folder; the shuffles that made it aren't needed any more."""
+    spark = frame.sparkSession
+    frame.write.option("compression", "zstd").parquet(path)
+    del frame
+    _forget(spark)
+    return spark.read.parquet(path)
+
+
 def find_repeats(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
                  window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs``: key, n_words, n_removed, kept_sha256, removed.
@@ -313,10 +336,8 @@ def find_repeats(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
         F.col("_text").alias("_u1"), F.shiftright("_place", KEY_SHIFT).alias("_u2")).agg(F.collect_list("_place").alias("places"))
     texts = rows.groupBy("_k1", "_k2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     texts = texts.join(alone, F.expr("_k1 = _u1 and _k2 = _u2"), "left").drop("_u1", "_u2")
-    texts = texts.mapInArrow(_candidates(window), TEXTS).withColumn("_t", F.monotonically_increasing_id())
     path = scratch_path(spark, "repeats")
-    texts.write.option("compression", "zstd").parquet(f"{path}/texts")
-    texts = spark.read.parquet(f"{path}/texts")
+    texts = _store(texts.mapInArrow(_candidates(window), TEXTS).withColumn("_t", F.monotonically_increasing_id()), f"{path}/texts")
 
     # of these windows, those with one place are not repeated either
     left = texts.filter("text is not null").select("_t", "text", "starts", "kept_sha256")
@@ -335,8 +356,7 @@ def find_repeats(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
         F.when(all_gone, F.array(F.array(F.lit(0), F.col("n_words").cast("int")))).otherwise(
             F.coalesce("removed", F.array().cast("array<array<int>>"))).alias("removed"))
     # written, so that the join to the rows stands alone and Spark can split a text with very many rows
-    facts.write.parquet(f"{path}/facts")
-    facts = spark.read.parquet(f"{path}/facts")
+    facts = _store(facts, f"{path}/facts")
     found = keyed.select("_key", "_k1", "_k2").join(facts, F.expr("_k1 = _f1 and _k2 = _f2"))
     return found.select(F.col("_key").alias(key), "n_words", "n_removed", "kept_sha256", "removed")
 
