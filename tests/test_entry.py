@@ -1,0 +1,31 @@
+"""The entry without the training-data subpackage."""
+
+import subprocess
+import sys
+
+from tests.conftest import ROOT
+
+LOST = """
+import sys, warnings
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == {name!r}:
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+sys.meta_path.insert(0, Gone())
+warnings.simplefilter("always")
+with warnings.catch_warnings(record=True) as said:
+    warnings.simplefilter("always")
+    import __spark_entry__ as e
+    names, sql = set(e.queries()), set(e.oracle_sql())
+print(len(names), sql <= names, sum(n.startswith("op") and n[2].isdigit() for n in names), sum("left out" in str(w.message) for w in said) > 0)
+"""
+
+
+def counts(name):
+    out = subprocess.run([sys.executable, "-c", LOST.format(name=name)], cwd=ROOT, capture_output=True, text=True, check=True)
+    return out.stdout.strip().splitlines()[-1].split()
+
+
+def test_core_queries_do_not_need_the_subpackage():
+    n, known, operators, warned = counts("logledger.llm")
+    assert int(n) >= 70 and (known, operators, warned) == ("True", "0", "False")
