@@ -100,3 +100,16 @@ def test_hot_values_and_join(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sum(tasks.values()) == 40_002 and len(tasks) >= 4 and max(tasks.values()) <= 20_000
+
+
+def test_salted_joins_are_never_broadcast(spark):
+    """The planner takes the replicated side for as small as its source: a broadcast would hold every replica."""
+    from logledger.operators.joins import hot_join, salted_join
+    big = spark.range(2_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("size"), "id")
+    other = spark.createDataFrame([(k, f"v{k}") for k in [7, 7, 9, 11]] + [(None, "n")], "price long, v string")
+    for how in ("inner", "left"):
+        want = sorted(map(tuple, big.join(other, big["size"] == other["price"], how).collect()), key=repr)
+        for join in (lambda: salted_join(big, other, "size", "price", 64, how), lambda: hot_join(big, other, "size", "price", 0.1, how)):
+            found = join()
+            assert sorted(map(tuple, found.collect()), key=repr) == want
+            assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
