@@ -17,7 +17,6 @@ that occurs everywhere is only aggregated, never gathered.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -29,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logledger.llm.common import GAP, words
-from logledger.session import scratch_path
+from logledger.session import forget_shuffles, scratch_path
 
 WINDOW = 35
 RUNS_EVERY = 6       # a round of runs, then this many less one of pairs
@@ -293,18 +292,12 @@ def _alone(named: DataFrame, name: list[str], text: str, place: str) -> DataFram
     return named.repartition("name").groupBy(*name).agg(*ends).filter("_text = _last_text and _place = _last_place").select("_text", "_place")
 
 
-def _forget(spark: SparkSession) -> None:
-    """Asks for the removal of finished jobs' shuffle files, which Spark does once the driver has forgotten their frames."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def _store(frame: DataFrame, path: str) -> DataFrame:
     """``frame`` as written to the shared folder; the shuffles that made it aren't needed any more."""
     spark = frame.sparkSession
     frame.write.option("compression", "zstd").parquet(path)
     del frame
-    _forget(spark)
+    forget_shuffles(spark)
     return spark.read.parquet(path)
 
 

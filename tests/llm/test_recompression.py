@@ -1,3 +1,4 @@
+import glob
 import hashlib
 import random
 from collections import Counter
@@ -117,3 +118,20 @@ def test_window_names_differ_where_windows_do():
         assert len(names) == len(x) - width + 1
         pairs = {(tuple(x[i:i + width].tolist()), n) for i, n in enumerate(names.tolist())}
         assert len(pairs) == len({p for p, _ in pairs}) == len({n for _, n in pairs})
+
+
+def test_finished_shuffles_are_gone_between_the_phases(spark, monkeypatch):
+    """The phases' shuffles don't add up on disk."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in blocks for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    before, left, store = files(), [], rc._store
+
+    def stored(frame, path):
+        out = store(frame, path)
+        left.append(files() - before)
+        return out
+
+    monkeypatch.setattr(rc, "_store", stored)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(3)
+    rc.find_repeats(spark, docs)
+    assert left == [set(), set()]
