@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from logledger.session import forget_shuffles
 
 TOKENS_AT_ONCE = 1_000_000
-TEXT_AT_ONCE = 1 << 22  # bytes, or one text
+TEXT_AT_ONCE = 1 << 23  # bytes, or one text
 SHARD_BYTES = 1 << 24  # of text a shard, about; with it goes what a task merges
 START, END = 1, 2  # hashes kept for the text's beginning, never predicted, and its end
 ADDED = 0.1
@@ -528,20 +528,27 @@ class Model:
         self.cuts = [np.array(c) for c in cuts]
         self.n_words, self.n_tokens, self.n_pairs, self.spread = n_words, n_tokens, n_pairs, spread
 
-    def find(self, length: int, keys: np.ndarray) -> np.ndarray:
-        """The stored values (count, 4 rows of a context's, occurrences; see :func:`_store`) at the n-grams ``keys``, else 0."""
+    def find(self, length: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(different values, count and so on in rows, see :func:`_store`; for each of the n-grams ``keys`` the number of its own).
+
+        Number 0 are n-grams that aren't stored, all of whose values are 0.
+        """
         order = np.argsort(keys)
         keys = keys[order]
         bounds = np.searchsorted(_shard(keys, self.shards), np.arange(self.shards + 1))
-        out = np.zeros((1 if length == self.order else 6 if length == 1 else 5, len(keys)), np.int64)
+        rows = 1 if length == self.order else 6 if length == 1 else 5
+        values, size, found = [np.zeros((rows, 1), np.int64)], 1, np.zeros(len(keys), np.int64)
         for s in np.flatnonzero(np.diff(bounds)).tolist():
             files, part = self.levels[length - 1].get(s), slice(bounds[s], bounds[s + 1])
-            stored, numbers, values = map(_open, files) if files else ((), (), ())
+            stored, numbers, own = map(_open, files) if files else ((), (), ())
             if len(stored):
                 at = np.minimum(np.searchsorted(stored, keys[part]), len(stored) - 1)
-                known = np.flatnonzero(np.asarray(stored[at]) == keys[part])
-                out[:, order[part][known]] = np.asarray(values)[:, numbers[at[known]]]
-        return out
+                found[part] = np.where(stored[at] == keys[part], size + numbers[at].astype(np.int64), 0)
+                values.append(own)
+                size += own.shape[1]
+        out = np.empty_like(found)
+        out[order] = found
+        return np.concatenate(values, axis=1), out
 
     def unigram(self, different: np.ndarray) -> np.ndarray:
         """P(word) by the numbers of different words before, mixed with the uniform one over V + 1 words."""
@@ -553,7 +560,7 @@ class Model:
 
     def higher(self, length: int, count: np.ndarray, stats: np.ndarray, context: np.ndarray,
                lower: np.ndarray) -> np.ndarray:
-        """P(word | context) from the n-gram's count, the stats of contexts and which is its own, and P(word | shorter context)."""
+        """P(word | context) from the n-gram's count, stats and the number of its context's, and P(word | shorter context)."""
         cuts = self.cuts[length - 1]
         total, spread = stats[0][context], (cuts[1:] @ stats[1:])[context]
         kept = np.maximum(count - cuts[np.minimum(count, 3)], 0)
@@ -566,14 +573,13 @@ class Model:
     def score(self, tokens: _Tokens) -> tuple[list[int], list[int], list[float], list[float]]:
         """Per text: tokens, known tokens, base score, model's score."""
         hashes, grams, own = tokens.ngrams(self.order)
-        found = self.find(1, hashes)
-        different, stats, raw = found[0], found[1:5], found[5]
-        p = self.unigram(different)
+        values, number = self.find(1, hashes)
+        raw = values[5][number]
+        p = self.unigram(values[0][number])
         for length, g in enumerate(grams, 2):
-            found = self.find(length, g.keys)
-            p = self.higher(length, found[0], stats, g.context, p[g.suffix])
-            if length < self.order:  # and nothing for the context of START alone
-                stats = np.append(found[1:], np.zeros((4, 1), np.int64), axis=1)
+            stats, context = values[1:5], np.append(number, 0)[g.context]  # 0: nothing for the context of START alone
+            values, number = self.find(length, g.keys)
+            p = self.higher(length, values[0][number], stats, context, p[g.suffix])
         starts = np.concatenate(([0], np.cumsum(tokens.lengths)[:-1]))
         return (tokens.lengths, np.add.reduceat((raw > 0)[own].astype(np.int64), starts).tolist(),
                 np.add.reduceat(np.log10(self.base(raw))[own], starts).tolist(),
